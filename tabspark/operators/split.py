@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import column_quantiles
 from .rank import global_row_number, grouped_row_number
 
 
@@ -35,20 +36,20 @@ def target_bins(df: DataFrame, target: str, key: str, bins: int = 10,
     return ranked.withColumn(out, bin_of_rank(F.col("_r"), F.col("_n"), bins)).drop("_r", "_n")
 
 
-def quartile_edges(df: DataFrame, value: str) -> DataFrame:
-    """Exact linear-interpolated quartiles as a one-row table (q1, q2, q3)."""
-    return df.agg(F.percentile(value, [0.25, 0.5, 0.75]).alias("_q")).select(
-        F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q2"), F.col("_q")[2].alias("q3"))
+def quartile_edges(df: DataFrame, value: str, key: str) -> tuple[float, float, float]:
+    """Exact linear-interpolated quartiles (fitted scalars, computed distributed)."""
+    q = column_quantiles(df, [value], [0.25, 0.5, 0.75], key)
+    got = {r.p: r.value for r in q.collect()}
+    return got[0.25], got[0.5], got[0.75]
 
 
-def quartile_label(df: DataFrame, value: str, out: str = "quartile") -> DataFrame:
+def quartile_label(df: DataFrame, value: str, key: str, out: str = "quartile") -> DataFrame:
     """Q1..Q4, right-closed, lowest value included (``qcut(v, 4)``)."""
-    edges = quartile_edges(df, value)
+    q1, q2, q3 = quartile_edges(df, value, key)
     v = F.col(value)
-    label = (F.when(v <= F.col("q1"), "Q1").when(v <= F.col("q2"), "Q2")
-             .when(v <= F.col("q3"), "Q3").otherwise("Q4"))
-    # one-row table: the broadcast side has a fixed size
-    return df.crossJoin(F.broadcast(edges)).withColumn(out, label).drop("q1", "q2", "q3")
+    label = (F.when(v <= F.lit(q1), "Q1").when(v <= F.lit(q2), "Q2")
+             .when(v <= F.lit(q3), "Q3").otherwise("Q4"))
+    return df.withColumn(out, label)
 
 
 def stratified_split(df: DataFrame, key: str, strata: str, seed: int,
@@ -77,25 +78,21 @@ def nested_kfold(df: DataFrame, key: str, strata: str, k_outer: int, k_inner: in
     if fold not in df.columns:
         df = stratified_kfold(df, key, strata, k_outer, seed, out=fold)
     others = F.filter(F.sequence(F.lit(0), F.lit(k_outer - 1)), lambda x: x != F.col(fold))
-    expanded = df.withColumn("outer", F.explode(others).cast("int"))
+    expanded = df.withColumn("outer", F.explode(others)).withColumn("outer", F.col("outer").cast("int"))
     return stratified_kfold(expanded, key, strata, k_inner, inner_seed,
                             out="inner", within=("outer",))
 
 
 def split_check(df: DataFrame, key: str, split: str = "split") -> DataFrame:
-    """J9 + U4: sizes, overlap (left-semi join) and union of dev/test keys."""
-    dev = df.filter(F.col(split) == "dev").select(key)
-    test = df.filter(F.col(split) == "test").select(key)
-    overlap = dev.join(test, key, "left_semi")
-    union = dev.union(test).distinct()
-    stats = [
-        df.select(F.count(F.lit(1)).alias("n_all")),
-        dev.select(F.count(F.lit(1)).alias("n_dev")),
-        test.select(F.count(F.lit(1)).alias("n_test")),
-        overlap.select(F.count(F.lit(1)).alias("n_overlap")),
-        union.select(F.count(F.lit(1)).alias("n_union")),
-    ]
-    out = stats[0]
-    for s in stats[1:]:
-        out = out.crossJoin(s)  # one-row tables
-    return out
+    """J9 + U4: sizes, dev/test key overlap and the size of their union, in
+    one shuffle on the key (no self join)."""
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum((F.col(split) == "dev").cast("int")).alias("_dev"),
+        F.sum((F.col(split) == "test").cast("int")).alias("_test"))
+    return per_key.agg(
+        F.sum("_rows").cast("bigint").alias("n_all"),
+        F.sum("_dev").cast("bigint").alias("n_dev"),
+        F.sum("_test").cast("bigint").alias("n_test"),
+        F.sum(((F.col("_dev") > 0) & (F.col("_test") > 0)).cast("int")).cast("bigint").alias("n_overlap"),
+        F.sum(((F.col("_dev") > 0) | (F.col("_test") > 0)).cast("int")).cast("bigint").alias("n_union"))
