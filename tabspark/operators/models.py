@@ -286,3 +286,37 @@ def dense_grad(x: np.ndarray, t: np.ndarray, ws: Sequence[np.ndarray], activatio
         grads[2 * i + 1] = delta.sum(axis=0)
         delta = delta @ ws[2 * i].T
     return float(lval), grads
+
+
+def oof_linear_wide(df: DataFrame, key: str, y: str, models: dict[str, Sequence[str]],
+                    fold: str, alpha: float = 0.0, keep: Sequence[str] = (),
+                    prefix: str = "p_") -> DataFrame:
+    """E4 for several moment models at once: one moment pass over the union
+    of their features, one k-row coefficient table, one broadcast join."""
+    xs = sorted({x for v in models.values() for x in v})
+    center = df.agg(*[F.avg(c).alias(c) for c in [y, *xs]]).first().asDict()
+    rows = moment_table(df, y, xs, [fold], center).collect()
+    per = {r[fold]: Moments.from_row(r, y, xs) for r in rows}
+    total = None
+    for m in per.values():
+        total = m if total is None else total + m
+    cols, out = [fold], []
+    for name, mx in models.items():
+        cols.append(f"{name}__b0")
+        cols += [f"{name}__{x}" for x in mx]
+    for f, m in sorted(per.items()):
+        tr = total - m
+        row = [int(f)]
+        for name, mx in models.items():
+            idx = [xs.index(x) for x in mx]
+            sub = Moments(tr.n, tr.sx[idx], tr.sy, tr.sxx[np.ix_(idx, idx)], tr.sxy[idx], tr.syy)
+            b0, beta = ridge_from_moments(sub, alpha)
+            b0 = b0 + center[y] - float(sum(beta[i] * center[x] for i, x in enumerate(mx)))
+            row += [float(b0), *[float(b) for b in beta]]
+        out.append(tuple(row))
+    schema = ", ".join([f"`{fold}` int"] + [f"`{c}` double" for c in cols[1:]])
+    coefs = df.sparkSession.createDataFrame(out, schema)
+    j = df.join(F.broadcast(coefs), fold)  # k rows
+    preds = [linear_predict(mx, F.col(f"{name}__b0"), [F.col(f"{name}__{x}") for x in mx])
+             .alias(f"{prefix}{name}") for name, mx in models.items()]
+    return j.select(key, fold, y, *keep, *preds)

@@ -1,0 +1,18 @@
+"""Query catalogue (Spark) and its oracle statements (DuckDB SQL)."""
+
+from __future__ import annotations
+
+import importlib
+
+
+def all_queries() -> dict:
+    base = importlib.import_module(".catalogue", __name__)
+    importlib.import_module(".catalogue_models", __name__)  # registers part 2
+    importlib.import_module(".catalogue_ml", __name__)  # registers part 3
+    return dict(base.REGISTRY)
+
+
+def all_sql() -> dict:
+    base = importlib.import_module(".oracle", __name__)
+    importlib.import_module(".oracle_models", __name__)
+    return dict(base.SQL)
