@@ -15,4 +15,5 @@ def all_queries() -> dict:
 def all_sql() -> dict:
     base = importlib.import_module(".oracle", __name__)
     importlib.import_module(".oracle_models", __name__)
+    importlib.import_module(".oracle_ml", __name__)
     return dict(base.SQL)

@@ -1,7 +1,220 @@
-"""Catalogue, part 3: pyspark.ml models, iterative solvers, dense net, I/O.
+"""Catalogue, part 3: pyspark.ml models, iterative solvers, nested bagging,
+the dense net, and source/sink round trips.
 
-These have no SQL statement (model fits and iterative solvers); the driver
-checks their row counts and schemas.
+Model fits and iterative solvers have no SQL statement (the driver checks
+their rows and schema); nested bagging with moment models and the CSV
+round trip do.
 """
 
 from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import blend as B
+from ..operators import prep as P
+from ..operators.models import Moments, moment_table, ridge_from_moments
+from ..operators import oof as O
+from ..operators.oof import ml_fit_predict, oof_predictions
+from ..operators.search import coarse_to_fine
+from ..operators.split import nested_kfold, stratified_kfold
+from ..session import checkpoint_dir
+from ..sources.tables import docs, ord_table
+from .catalogue import query
+from .catalogue_models import BASE_MODELS, oof_base
+from .common import FOLD_SEED, K, docs_binned, docs_folds, docs_split, rounded
+
+NUM = ["n_words", "n_lines", "quality", "toxic"]
+
+
+def _prepped(kind: str, target_mode: str = "raw", **params):
+    """FitPredict: numeric pipeline fitted on the training rows only, then a
+    pyspark.ml estimator (F11 inside every fold: no leakage)."""
+    def run(train: DataFrame, score: DataFrame) -> DataFrame:
+        m = P.fit_numeric(train, NUM, "doc_id")
+        fp = ml_fit_predict(kind, m.output_cols, "n_chars", seed=7, target_mode=target_mode, **params)
+        return fp(P.apply_numeric(train, m), P.apply_numeric(score, m))
+    return run
+
+
+def _oof_ml(spark, sf, kind, target_mode="raw", **params) -> DataFrame:
+    f = docs_folds(spark, sf).select("doc_id", "fold", "n_chars", *NUM)
+    oof = oof_predictions(f, "doc_id", "n_chars", "fold", K, _prepped(kind, target_mode, **params))
+    return rounded(oof.select("doc_id", "fold", "n_chars", "pred"), 2)
+
+
+@query
+def gbt_oof(spark, sf):
+    """M6 + M11: boosted trees on a log target, out of fold."""
+    return _oof_ml(spark, sf, "gbt", "log", max_depth=3, rounds=20, learning_rate=0.2)
+
+
+@query
+def rf_oof(spark, sf):
+    """M7: random forest, out of fold."""
+    return _oof_ml(spark, sf, "rf", trees=30, max_depth=6)
+
+
+@query
+def huber_meta(spark, sf):
+    """M5 + M12 + E8 + J4: Huber meta-model over robust-scaled OOF
+    predictions and one raw column, itself evaluated out of fold."""
+    o = oof_base(spark, sf).join(docs(spark, sf).select("doc_id", "n_lines"), "doc_id")
+    cols = ["p_words", "p_lines", "n_lines"]
+    meta = stratified_kfold(o, "doc_id", "bin", 7, 7, out="meta_fold")
+
+    def fit_predict(train, score):
+        sc = P.fit_robust(train, cols, "doc_id")
+        fp = ml_fit_predict("huber", cols, "n_chars", epsilon=1.35)
+        return fp(P.apply_scale(train, sc, cols), P.apply_scale(score, sc, cols))
+    out = oof_predictions(meta.select("doc_id", "meta_fold", "n_chars", *cols), "doc_id",
+                          "n_chars", "meta_fold", 7, fit_predict)
+    return rounded(out.select("doc_id", "meta_fold", "pred"), 2)
+
+
+# ------------------------------------------------------------------ iterative blends (B1, B2, M4)
+
+def _weights_table(spark, weights: dict, extra: dict | None = None) -> DataFrame:
+    rows = [(m, float(w)) for m, w in weights.items()]
+    t = spark.createDataFrame(rows, "model string, weight double")
+    for k, v in (extra or {}).items():
+        t = t.withColumn(k, F.lit(v))
+    return t
+
+
+@query
+def simplex_blend(spark, sf):
+    o = oof_base(spark, sf)
+    cols = [f"p_{m}" for m in BASE_MODELS]
+    w = B.fit_simplex_blend(o, cols, "n_chars")
+    blended = o.select(B.apply_weights(w).alias("p"), "n_chars").agg(
+        F.sqrt(F.avg((F.col("n_chars") - F.col("p")) ** 2))).first()[0]
+    return rounded(_weights_table(spark, w, {"oof_rmse": blended}), 6)
+
+
+@query
+def stable_blend(spark, sf):
+    o = oof_base(spark, sf)
+    cols = [f"p_{m}" for m in BASE_MODELS]
+    w, cv = B.fit_stable_blend(o, cols, "n_chars", "fold")
+    return rounded(_weights_table(spark, w, {"cv_rmse": cv}), 6)
+
+
+@query
+def nnls_blend(spark, sf):
+    o = oof_base(spark, sf)
+    cols = [f"p_{m}" for m in BASE_MODELS]
+    b0, w = B.fit_nnls_blend(o, cols, "n_chars")
+    return rounded(_weights_table(spark, w, {"intercept": b0}), 6)
+
+
+# ------------------------------------------------------------------ search
+
+@query
+def cv_search(spark, sf):
+    b = docs_binned(spark, sf)
+    f = stratified_kfold(b, "doc_id", "bin", 3, 1, out="fold3")
+    f = stratified_kfold(f, "doc_id", "bin", 5, FOLD_SEED, out="fold5")
+    res = coarse_to_fine(spark, f, "n_chars", ["n_words", "n_lines"], "fold3", "fold5", 24, 3)
+    return rounded(res, 4)
+
+
+# ------------------------------------------------------------------ nested bagging
+
+@query
+def nested_bag(spark, sf):
+    """Per outer fold, the mean of the inner-fold models (fitted on the
+    inner training parts of the outer training rows) predicts the outer
+    validation rows; the direct-vs-bag weight is chosen on a 101-point grid."""
+    f = docs_folds(spark, sf)
+    n = nested_kfold(f, "doc_id", "bin", K, 4, FOLD_SEED, FOLD_SEED + 100)
+    rows = moment_table(n, "n_chars", ["n_words"], ["outer", "inner"]).collect()
+    per: dict = {}
+    for r in rows:
+        per.setdefault(r.outer, {})[r.inner] = Moments.from_row(r, "n_chars", ["n_words"])
+    coefs = []
+    for o, inner in per.items():
+        tot = None
+        for m in inner.values():
+            tot = m if tot is None else tot + m
+        fits = [ridge_from_moments(tot - m) for m in inner.values()]
+        coefs.append((int(o), float(np.mean([b0 for b0, _ in fits])),
+                      float(np.mean([b[0] for _, b in fits]))))
+    c = spark.createDataFrame(coefs, "fold int, b0 double, b1 double")
+    direct = oof_base(spark, sf).select("doc_id", "fold", "n_chars", "p_words")
+    x = f.select("doc_id", "n_words")
+    # the coefficient table has k rows: a bounded broadcast on the fold key
+    both = direct.join(x, "doc_id").join(F.broadcast(c), "fold").withColumn(
+        "p_bag", F.col("b0") + F.col("b1") * F.col("n_words").cast("double"))
+    best = B.grid_blend(both, "p_words", "p_bag", "n_chars", steps=100).first()
+    out = both.agg(F.sqrt(F.avg((F.col("n_chars") - F.col("p_bag")) ** 2)).alias("rmse_bag"))
+    return rounded(out.select(F.lit(best.weight).alias("direct_weight"), "rmse_bag",
+                              F.lit(best.rmse).alias("best_rmse")), 4)
+
+
+# ------------------------------------------------------------------ dense net (M8, M9)
+
+def _dense_inputs(spark, sf):
+    s = docs_split(spark, sf)
+    m = P.fit_numeric(s.filter(F.col("split") == "dev"), NUM, "doc_id")
+    t = P.fit_target_scaler(s.filter(F.col("split") == "dev"), "n_chars", "log1p")
+    _, get = t.attach(s, [])
+    x = P.apply_numeric(s, m).withColumn("z", P.target_forward("n_chars", get, "log1p"))
+    return x, m.output_cols, get
+
+
+@query
+def dense_score(spark, sf):
+    from ..operators.models import init_dense
+    x, feats, get = _dense_inputs(spark, sf)
+    ws = init_dense(len(feats), (16, 8), seed=0)
+    scored = O.dense_score(x.select("doc_id", "n_chars", *feats), feats, ws, "relu", out="zhat")
+    return rounded(scored.select("doc_id", P.target_inverse(F.col("zhat"), "n_chars", get, "log1p")
+                                 .alias("pred")), 4)
+
+
+@query
+def dense_fit(spark, sf):
+    x, feats, get = _dense_inputs(spark, sf)
+    train = x.filter(F.col("split") == "dev")
+    val = x.filter(F.col("split") == "test")
+    _, history, best = O.dense_fit(train, feats, "z", layers=(16, 8), activation="relu",
+                                 epochs=12, lr=0.02, val=val, patience=4, seed=0)
+    rows = [(h["epoch"], h["train_loss"], h.get("val_rmse"), best) for h in history]
+    return rounded(spark.createDataFrame(rows, "epoch int, train_loss double, val_rmse double, "
+                                               "best_epoch int"), 6)
+
+
+# ------------------------------------------------------------------ sources and sinks
+
+@query
+def csv_roundtrip(spark, sf):
+    """Write the order table as CSV (nulls become empty cells), read it
+    back under the declared schema with NA tokens and coercion."""
+    import uuid
+    from ..sources.io import read_csv_table
+    o = ord_table(spark, sf).select("o_orderkey", "l_qty", "l_n_lines", "c_mktsegment")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    o.write.option("header", True).csv(path)
+    schema = o.schema
+    return rounded(read_csv_table(spark, path, schema), 4)
+
+
+@query
+def predictions_csv(spark, sf):
+    """Id,Prediction text with six decimals in input order."""
+    from ..operators.infer import with_row_index
+    from ..sources.io import format_predictions
+    ids = with_row_index(docs(spark, sf).select("doc_id"))
+    scored = ids.join(oof_base(spark, sf).select("doc_id", "p_words"), "doc_id")
+    return format_predictions(scored.select(F.col("doc_id").alias("Id"),
+                                            F.col("p_words").alias("Prediction"), "row_index"))
+
+
+@query
+def table_digest(spark, sf):
+    """Order-free digest of the lineitem table (same for any partitioning)."""
+    from ..sources.io import table_digest as td
+    from ..sources.tables import read_table
+    return td(read_table(spark, sf, "lineitem"))
