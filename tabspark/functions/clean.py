@@ -43,9 +43,18 @@ def na_to_null(c) -> Column:
     return F.when(c.isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
 
 
+# A text that casts to a number starts (after blanks and a sign) with a digit,
+# a dot, or one of the special literals; anything else is null without trying.
+_MAYBE_NUMBER = r"^\s*[+-]?([0-9.]|(?i:inf|infinity|nan)\s*$)"
+
+
 def to_number(c, dtype: str = "double") -> Column:
-    """Numeric coercion, anything unparsable becomes null."""
-    return _c(c).try_cast(dtype)
+    """Numeric coercion, anything unparsable becomes null.
+
+    The guard keeps ``try_cast`` off the failure path (which raises and
+    catches internally) for ordinary words; results are those of ``try_cast``."""
+    c = _c(c)
+    return F.when(c.rlike(_MAYBE_NUMBER), c.try_cast(dtype))
 
 
 def strip_all(c) -> Column:

@@ -34,14 +34,24 @@ def _as_col(c) -> Column:
 
 def grouped_row_number(df: DataFrame, order: Sequence, group: Sequence[str] = (),
                        out: str = "rn", size_col: str | None = None,
-                       num_partitions: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None, key: str | None = None) -> DataFrame:
     """Add ``out`` = 1-based row number of each row inside its group.
 
     ``order`` must be a total order (finish with a unique key column).
     ``size_col`` optionally adds the group size, for free from the same counts.
+    ``key`` (unique) lets a wide or expensive frame be ranked through a narrow
+    projection (group, order columns, key) that is joined back on the key, so
+    the sampling and checkpoint passes never compute the other columns.
     """
     spark = df.sparkSession
     group = list(group)
+    if key is not None:
+        needed = list(dict.fromkeys([*group, *[c for c in order if isinstance(c, str)], key]))
+        if len(needed) < len(df.columns):
+            narrow = grouped_row_number(df.select(*needed), order, group, out, size_col,
+                                        num_partitions)
+            extra = [out] + ([size_col] if size_col else [])
+            return df.join(narrow.select(key, *extra), key)
     keys = [_as_col(c) for c in group] + [_as_col(c) for c in order]
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = materialize(
@@ -57,9 +67,14 @@ def grouped_row_number(df: DataFrame, order: Sequence, group: Sequence[str] = ()
     seg = seg.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
     if size_col:
         seg = seg.withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(*group)))
-    seg = materialize(seg.drop("_cnt"))
-    if seg.count() <= broadcast_limit_rows(spark):
-        seg = F.broadcast(seg)
+    seg = seg.drop("_cnt")
+    # segments = partitions + groups; fetch them when that count is small
+    limit = broadcast_limit_rows(spark)
+    rows = seg.limit(limit + 1).collect()
+    if len(rows) <= limit:
+        seg = F.broadcast(spark.createDataFrame(rows, seg.schema))
+    else:
+        seg = materialize(seg)
     joined = ranged.join(seg, ["_pid", *group])
     return joined.withColumn(
         out, (F.col("_mid") - F.col("_start") + F.col("_off") + 1).cast("bigint")
@@ -67,5 +82,5 @@ def grouped_row_number(df: DataFrame, order: Sequence, group: Sequence[str] = ()
 
 
 def global_row_number(df: DataFrame, order: Sequence, out: str = "rn",
-                      size_col: str | None = None) -> DataFrame:
-    return grouped_row_number(df, order, (), out=out, size_col=size_col)
+                      size_col: str | None = None, key: str | None = None) -> DataFrame:
+    return grouped_row_number(df, order, (), out=out, size_col=size_col, key=key)

@@ -32,7 +32,7 @@ def bin_of_rank(rank: Column, n: Column, bins: int) -> Column:
 def target_bins(df: DataFrame, target: str, key: str, bins: int = 10,
                 out: str = "bin") -> DataFrame:
     """``qcut(y.rank(method='first'), min(bins, n))`` -- ties broken by key."""
-    ranked = global_row_number(df, [target, key], out="_r", size_col="_n")
+    ranked = global_row_number(df, [target, key], out="_r", size_col="_n", key=key)
     return ranked.withColumn(out, bin_of_rank(F.col("_r"), F.col("_n"), bins)).drop("_r", "_n")
 
 
@@ -57,7 +57,7 @@ def stratified_split(df: DataFrame, key: str, strata: str, seed: int,
     """Per stratum, the first ceil(test_pct% of n_stratum) rows in seeded
     hash order are ``test``, the rest ``dev``."""
     r = grouped_row_number(df, [seeded_hash(key, seed), key], [strata],
-                           out="_r", size_col="_n")
+                           out="_r", size_col="_n", key=key)
     n_test = F.floor((F.col("_n") * test_pct + 99) / 100)
     return r.withColumn(out, F.when(F.col("_r") <= n_test, "test").otherwise("dev")).drop("_r", "_n")
 
@@ -67,7 +67,9 @@ def stratified_kfold(df: DataFrame, key: str, strata: str, k: int, seed: int,
     """fold = (position in seeded hash order inside the stratum - 1) mod k.
 
     ``within`` adds grouping columns (e.g. the outer fold for nested CV)."""
-    r = grouped_row_number(df, [seeded_hash(key, seed), key], [*within, strata], out="_r")
+    # with ``within`` the key repeats (one copy per outer fold): rank in place
+    r = grouped_row_number(df, [seeded_hash(key, seed), key], [*within, strata], out="_r",
+                           key=None if within else key)
     return r.withColumn(out, F.pmod(F.col("_r") - 1, F.lit(k)).cast("int")).drop("_r")
 
 

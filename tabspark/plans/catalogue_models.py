@@ -23,8 +23,10 @@ BASE_MODELS = {"words": ["n_words"], "lines": ["n_lines"], "mean": []}
 
 
 def oof_base(spark, sf, seed: int = FOLD_SEED) -> DataFrame:
+    """The OOF table is written once; blends, metrics and reports read it."""
+    from ..session import materialize
     f = docs_folds(spark, sf, seed)
-    return oof_linear_wide(f, "doc_id", "n_chars", BASE_MODELS, "fold", keep=["bin"])
+    return materialize(oof_linear_wide(f, "doc_id", "n_chars", BASE_MODELS, "fold", keep=["bin"]))
 
 
 def oof_long(oof: DataFrame) -> DataFrame:

@@ -69,4 +69,4 @@ def cache(df: DataFrame) -> DataFrame:
 
 def broadcast_limit_rows(spark: SparkSession) -> int:
     """Row bound under which a computed side table is broadcast explicitly."""
-    return int(spark.conf.get("tabspark.broadcast.maxRows", "1000000"))
+    return int(spark.conf.get("tabspark.broadcast.maxRows", "200000"))
