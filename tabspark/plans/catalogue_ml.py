@@ -212,6 +212,22 @@ def predictions_csv(spark, sf):
                                             F.col("p_words").alias("Prediction"), "row_index"))
 
 
+@query
+def stream_score(spark, sf):
+    """I1 on a stream: documents arrive through ``readStream``; features and
+    a linear model fitted on the batch table score them in a stateless plan."""
+    from ..operators.models import fit_linear, linear_predict
+    from ..sources.tables import line_count, word_count
+    from ..streaming.score import run_to_table, stream_table
+    b0, beta = fit_linear(docs(spark, sf), "n_chars", ["n_words", "n_lines"])
+
+    def score(s: DataFrame) -> DataFrame:
+        f = s.select("doc_id", word_count("text").cast("bigint").alias("n_words"),
+                     line_count("text").cast("bigint").alias("n_lines"))
+        return f.select("doc_id", linear_predict(["n_words", "n_lines"], b0, beta).alias("pred"))
+    return rounded(run_to_table(stream_table(spark, sf, "documents"), score), 2)
+
+
 @query
 def table_digest(spark, sf):
     """Order-free digest of the lineitem table (same for any partitioning)."""

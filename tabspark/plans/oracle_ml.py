@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .common import FOLD_SEED, K
-from .oracle import ORD, SQL, folds, r
+from .oracle import DOCS, ORD, SQL, folds, r
 from .oracle_models import BASE
 
 SQL["nested_bag"] = (f"""{BASE},
@@ -30,5 +30,18 @@ SELECT {r('best.weight', 4)} AS direct_weight, {r('(SELECT sqrt(avg((n_chars - p
 SQL["csv_roundtrip"] = f"""WITH {ORD}
 SELECT o_orderkey, {r('l_qty', 4)} AS l_qty, l_n_lines, c_mktsegment FROM ord"""
 
+SQL["stream_score"] = f"""WITH {DOCS},
+s AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(CAST(n_words AS DOUBLE)) AS mw, avg(CAST(n_lines AS DOUBLE)) AS ml,
+             avg(CAST(n_chars AS DOUBLE)) AS my,
+             sum((n_words - (SELECT avg(n_words) FROM docs)) ^ 2) AS a11,
+             sum((n_lines - (SELECT avg(n_lines) FROM docs)) ^ 2) AS a22,
+             sum((n_words - (SELECT avg(n_words) FROM docs)) * (n_lines - (SELECT avg(n_lines) FROM docs))) AS a12,
+             sum((n_words - (SELECT avg(n_words) FROM docs)) * (n_chars - (SELECT avg(n_chars) FROM docs))) AS cw,
+             sum((n_lines - (SELECT avg(n_lines) FROM docs)) * (n_chars - (SELECT avg(n_chars) FROM docs))) AS cl
+      FROM docs),
+b AS (SELECT *, (a22 * cw - a12 * cl) / (a11 * a22 - a12 * a12) AS bw,
+             (a11 * cl - a12 * cw) / (a11 * a22 - a12 * a12) AS bl FROM s)
+SELECT doc_id, {r('my - bw * mw - bl * ml + bw * n_words + bl * n_lines', 2)} AS pred FROM docs, b"""
+
 SQL["predictions_csv"] = f"""{BASE}
 SELECT doc_id AS "Id", printf('%.6f', p_words) AS "Prediction" FROM oof"""
