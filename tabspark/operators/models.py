@@ -26,7 +26,9 @@ def moment_table(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (
     center = center or {}
     v = {c: F.col(f"`{c}`").cast("double") - F.lit(center.get(c, 0.0)) for c in [y, *xs]}
     aggs = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(v[y]).alias(f"s_{y}"),
-            F.sum(v[y] * v[y]).alias(f"ss_{y}_{y}")]
+            F.sum(v[y] * v[y]).alias(f"ss_{y}_{y}"),
+            # uncentred target sum: exact for integer targets, gives the mean model
+            F.sum(F.col(f"`{y}`").cast("double")).alias("raw_sy")]
     for i, a in enumerate(xs):
         aggs.append(F.sum(v[a]).alias(f"s_{a}"))
         aggs.append(F.sum(v[a] * v[y]).alias(f"ss_{a}_{y}"))
@@ -43,6 +45,7 @@ class Moments:
     sxx: np.ndarray
     sxy: np.ndarray
     syy: float
+    raw_sy: float | None = None
 
     @staticmethod
     def from_row(row, y: str, xs: Sequence[str]) -> "Moments":
@@ -51,17 +54,27 @@ class Moments:
         for i, a in enumerate(xs):
             for j in range(i, p):
                 sxx[i, j] = sxx[j, i] = row[f"ss_{a}_{xs[j]}"]
+        d = row.asDict()
         return Moments(row["n"], np.array([row[f"s_{a}"] for a in xs], dtype=float),
                        row[f"s_{y}"], sxx,
-                       np.array([row[f"ss_{a}_{y}"] for a in xs], dtype=float), row[f"ss_{y}_{y}"])
+                       np.array([row[f"ss_{a}_{y}"] for a in xs], dtype=float), row[f"ss_{y}_{y}"],
+                       d.get("raw_sy"))
+
+    def _raw(self, o: "Moments", sign: int):
+        if self.raw_sy is None or o.raw_sy is None:
+            return None
+        return self.raw_sy + sign * o.raw_sy
 
     def __sub__(self, o: "Moments") -> "Moments":
         return Moments(self.n - o.n, self.sx - o.sx, self.sy - o.sy, self.sxx - o.sxx,
-                       self.sxy - o.sxy, self.syy - o.syy)
+                       self.sxy - o.sxy, self.syy - o.syy, self._raw(o, -1))
 
     def __add__(self, o: "Moments") -> "Moments":
         return Moments(self.n + o.n, self.sx + o.sx, self.sy + o.sy, self.sxx + o.sxx,
-                       self.sxy + o.sxy, self.syy + o.syy)
+                       self.sxy + o.sxy, self.syy + o.syy, self._raw(o, 1))
+
+    def raw_mean(self) -> float | None:
+        return None if self.raw_sy is None else self.raw_sy / self.n
 
     def centered(self):
         mx, my = self.sx / self.n, self.sy / self.n
@@ -123,8 +136,11 @@ def fold_linear_fits(df: DataFrame, y: str, xs: Sequence[str], fold: str, alpha:
         total = m if total is None else total + m
     out = []
     for f, m in sorted(per.items()):
-        b0, beta = ridge_from_moments(total - m, alpha, positive)
+        tr = total - m
+        b0, beta = ridge_from_moments(tr, alpha, positive)
         b0 = b0 + center[y] - float(sum(beta[i] * center[c] for i, c in enumerate(xs)))
+        if not xs and tr.raw_mean() is not None:
+            b0 = tr.raw_mean()  # M1: the training mean, from uncentred sums
         out.append((int(f), float(b0), *[float(v) for v in beta]))
     schema = ", ".join([f"{fold} int", "intercept double"] + [f"coef_{c} double" for c in xs])
     return df.sparkSession.createDataFrame(out, schema)
@@ -312,6 +328,8 @@ def oof_linear_wide(df: DataFrame, key: str, y: str, models: dict[str, Sequence[
             sub = Moments(tr.n, tr.sx[idx], tr.sy, tr.sxx[np.ix_(idx, idx)], tr.sxy[idx], tr.syy)
             b0, beta = ridge_from_moments(sub, alpha)
             b0 = b0 + center[y] - float(sum(beta[i] * center[x] for i, x in enumerate(mx)))
+            if not mx and tr.raw_mean() is not None:
+                b0 = tr.raw_mean()  # M1: the training mean, from uncentred sums
             row += [float(b0), *[float(b) for b in beta]]
         out.append(tuple(row))
     schema = ", ".join([f"`{fold}` int"] + [f"`{c}` double" for c in cols[1:]])

@@ -237,6 +237,20 @@ def eta_squared(spark, sf):
     return rounded(Q.eta_squared(d, "n_chars", ["lang", "source", "quality_s"]), 8)
 
 
+@query
+def event_profile(spark, sf):
+    """A5/A6 per category on the events analogue: JSON ``props`` parsed to
+    ``k``; a zero ``k`` is turned into a null (``nullif``) and counted."""
+    from ..functions.stats import skew_unbiased
+    from ..sources.tables import ev
+    e = ev(spark, sf).withColumn("k_nz", F.expr("nullif(k, 0)"))
+    return rounded(e.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value"),
+        skew_unbiased("value").alias("skew_value"),
+        F.sum(F.col("k_nz").isNull().cast("int")).alias("k_missing"),
+        F.avg("k_nz").alias("mean_k")), 6)
+
+
 @query
 def target_hist(spark, sf):
     d = docs(spark, sf)

@@ -28,19 +28,13 @@ from .common import FOLD_SEED, K, docs_binned, docs_folds, docs_split, rounded
 NUM = ["n_words", "n_lines", "quality", "toxic"]
 
 
-def _prepped(kind: str, target_mode: str = "raw", **params):
-    """FitPredict: numeric pipeline fitted on the training rows only, then a
-    pyspark.ml estimator (F11 inside every fold: no leakage)."""
-    def run(train: DataFrame, score: DataFrame) -> DataFrame:
-        m = P.fit_numeric(train, NUM, "doc_id")
-        fp = ml_fit_predict(kind, m.output_cols, "n_chars", seed=7, target_mode=target_mode, **params)
-        return fp(P.apply_numeric(train, m), P.apply_numeric(score, m))
-    return run
-
-
 def _oof_ml(spark, sf, kind, target_mode="raw", **params) -> DataFrame:
+    """Numeric pipeline fitted per fold on training rows only (F11, one
+    grouped pass for all folds), then a pyspark.ml estimator per fold."""
     f = docs_folds(spark, sf).select("doc_id", "fold", "n_chars", *NUM)
-    oof = oof_predictions(f, "doc_id", "n_chars", "fold", K, _prepped(kind, target_mode, **params))
+    design, feats = O.fold_design(f, "doc_id", "fold", K, NUM)
+    fp = ml_fit_predict(kind, feats, "n_chars", seed=7, target_mode=target_mode, **params)
+    oof = O.oof_on_design(design, "doc_id", "n_chars", "fold", K, fp)
     return rounded(oof.select("doc_id", "fold", "n_chars", "pred"), 2)
 
 
@@ -63,13 +57,10 @@ def huber_meta(spark, sf):
     o = oof_base(spark, sf).join(docs(spark, sf).select("doc_id", "n_lines"), "doc_id")
     cols = ["p_words", "p_lines", "n_lines"]
     meta = stratified_kfold(o, "doc_id", "bin", 7, 7, out="meta_fold")
-
-    def fit_predict(train, score):
-        sc = P.fit_robust(train, cols, "doc_id")
-        fp = ml_fit_predict("huber", cols, "n_chars", epsilon=1.35)
-        return fp(P.apply_scale(train, sc, cols), P.apply_scale(score, sc, cols))
-    out = oof_predictions(meta.select("doc_id", "meta_fold", "n_chars", *cols), "doc_id",
-                          "n_chars", "meta_fold", 7, fit_predict)
+    design, feats = O.fold_design(meta.select("doc_id", "meta_fold", "n_chars", *cols),
+                                  "doc_id", "meta_fold", 7, cols, scaler="robust")
+    fp = ml_fit_predict("huber", feats, "n_chars", epsilon=1.35)
+    out = O.oof_on_design(design, "doc_id", "n_chars", "meta_fold", 7, fp)
     return rounded(out.select("doc_id", "meta_fold", "pred"), 2)
 
 

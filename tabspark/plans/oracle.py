@@ -284,6 +284,14 @@ SELECT column_name AS "column", {r('CASE WHEN m.sst = 0 THEN 0 ELSE sum(n * (lm
 FROM g, m GROUP BY column_name, m.sst ORDER BY eta2 DESC, column_name LIMIT 15"""
 
 
+SQL["event_profile"] = f"""WITH e AS (
+  SELECT event_type, value, nullif(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), 0) AS k_nz FROM events)
+SELECT event_type, CAST(count(*) AS BIGINT) AS n, {r('avg(value)', 6)} AS mean_value,
+       {r('skewness(value)', 6)} AS skew_value,
+       CAST(sum(CASE WHEN k_nz IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS k_missing, {r('avg(k_nz)', 6)} AS mean_k
+FROM e GROUP BY event_type"""
+
+
 def _hist(expr: str, kind: str) -> str:
     return f"""SELECT b.bin, {r('lo + (b.bin - 1) * (hi - lo) / 35', 6)} AS lower, {r('lo + b.bin * (hi - lo) / 35', 6)} AS upper,
        CAST(coalesce(c.n, 0) AS BIGINT) AS n, '{kind}' AS kind

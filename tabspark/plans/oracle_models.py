@@ -208,7 +208,7 @@ log AS (SELECT c.trial, c.feature, c.alpha, c.fold + 1 AS step,
                sqrt(avg((xy.y - (c.my - c.b1 * c.mx) - c.b1 * xy.x) ^ 2)) AS rmse
         FROM coef c JOIN xy ON xy.feature = c.feature AND xy.fold = c.fold
         GROUP BY c.trial, c.feature, c.alpha, c.fold),
-summary AS (SELECT trial, feature, alpha, avg(rmse) AS mean_rmse FROM log GROUP BY ALL),
+summary AS (SELECT trial, feature, alpha, round(avg(rmse), 6) AS mean_rmse FROM log GROUP BY ALL),
 run AS (SELECT *, avg(rmse) OVER (PARTITION BY trial ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
         FROM log),
 med AS (SELECT *, median(running) OVER (PARTITION BY step ORDER BY trial ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mb
