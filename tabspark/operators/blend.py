@@ -170,6 +170,49 @@ def calibration_cv(oof: DataFrame, pred: str, y: str, fold: str) -> DataFrame:
         [(raw, cal, cal < raw)], "rmse_raw double, rmse_calibrated double, use_calibration boolean")
 
 
+def nested_bag_weight(df: DataFrame, key: str, y: str, xs: Sequence[str], fold: str,
+                      direct: str, inner: str = "inner", outer: str = "outer",
+                      steps: int = 100) -> dict:
+    """B8 for moment models.  ``df`` is the nested fold table (rows x outer
+    folds they train, with ``inner`` folds, from ``nested_kfold``); ``direct``
+    names the OOF column of the full-fold model.  Per outer fold the inner
+    models (training moments = outer part - inner fold) are averaged -- for a
+    linear model the mean prediction is the prediction of the mean
+    coefficients -- and score the outer validation rows; the weight between
+    direct and bagged predictions is chosen on a grid from three moments."""
+    from .models import Moments, linear_predict, moment_table, ridge_from_moments
+    rows = moment_table(df, y, list(xs), [outer, inner]).collect()
+    per: dict = {}
+    for r in rows:
+        per.setdefault(r[outer], {})[r[inner]] = Moments.from_row(r, y, list(xs))
+    coefs = []
+    for o, parts in per.items():
+        tot = None
+        for m in parts.values():
+            tot = m if tot is None else tot + m
+        fits = [ridge_from_moments(tot - m) for m in parts.values()]
+        coefs.append((int(o), float(np.mean([b0 for b0, _ in fits])),
+                      *[float(np.mean([b[i] for _, b in fits])) for i in range(len(xs))]))
+    schema = ", ".join([f"`{fold}` int", "_b0 double"] + [f"`_b_{x}` double" for x in xs])
+    c = df.sparkSession.createDataFrame(coefs, schema)
+    base = df.select(key, fold, y, direct, *xs).dropDuplicates([key])
+    both = base.join(F.broadcast(c), fold).withColumn(  # k rows
+        "p_bag", linear_predict(xs, F.col("_b0"), [F.col(f"_b_{x}") for x in xs]))
+    best = grid_blend(both, direct, "p_bag", y, steps=steps).first()
+    rmse_bag = both.agg(F.sqrt(F.avg((F.col(y) - F.col("p_bag")) ** 2))).first()[0]
+    return {"direct_weight": best.weight, "best_rmse": best.rmse, "rmse_bag": rmse_bag,
+            "bagged": both}
+
+
+def score_board(*candidates: DataFrame, value: str = "cv_rmse") -> DataFrame:
+    """All candidates in one table (missing columns null), best first;
+    ``first()`` of the result is the winner."""
+    out = candidates[0]
+    for c in candidates[1:]:
+        out = out.unionByName(c, allowMissingColumns=True)
+    return out.orderBy(F.asc_nulls_last(value))
+
+
 def override(base_long: DataFrame, replacements: DataFrame, key: str, model: str = "model",
              pred: str = "pred") -> DataFrame:
     """Replacement prediction for (key, model) if present, else the base."""

@@ -56,6 +56,30 @@ def check_template(output: DataFrame, template: DataFrame, key: str,
         raise ValueError(f"output order differs from the template: {r.asDict()}")
 
 
+def check_prefix(output: DataFrame, template: DataFrame, key: str,
+                 order: str = "row_index") -> bool:
+    """The output's keys equal the first n template keys, in order."""
+    n = output.count()
+    head = global_row_number(template.select(key, order), [order, key], out="pos").filter(
+        F.col("pos") <= n)
+    r = order_mismatches(head, output, key, order).first()
+    return r.n_template == r.n_output and r.n_mismatch == 0
+
+
+def apply_output_template(pred: DataFrame, template: DataFrame, key: str = "Id",
+                          columns: Sequence[str] = ("Id", "Prediction")) -> DataFrame:
+    """Predictions in the template's order and columns, after V5 checks
+    (template keys complete and unique, every template key predicted)."""
+    from .quality import check_key
+    check_key(template, key)
+    t = template.select(key, "row_index")
+    filled = t.join(pred.drop("row_index"), key, "left")
+    missing = filled.filter(F.col(columns[1]).isNull()).limit(1).count()
+    if missing:
+        raise ValueError("template keys without a prediction")
+    return filled.orderBy("row_index").select(*columns)
+
+
 def predict_table(df: DataFrame, key: str, score_fns, mode: str = "single",
                   out: str = "Prediction") -> DataFrame:
     """Score with each member (a DataFrame -> DataFrame with ``pred``),

@@ -49,6 +49,14 @@ def worst_cases(df: DataFrame, y: str, p: str, key: str, details: DataFrame,
     return details.join(F.broadcast(worst), key)
 
 
+def residual_table(df: DataFrame, y: str, p: str, key: str) -> tuple[DataFrame, tuple]:
+    """(key, truth, prediction, residual) plus the truth range (for the
+    identity line of a residual plot)."""
+    res = df.select(key, y, p, (F.col(y) - F.col(p)).alias("residual"))
+    lim = df.agg(F.min(y).alias("lo"), F.max(y).alias("hi")).first()
+    return res, (lim.lo, lim.hi)
+
+
 def fold_summary(fold_metrics: DataFrame, group: Sequence[str] = (), epoch: str | None = None,
                  population_std: bool = False) -> DataFrame:
     """Mean RMSE/MAE/R^2 over folds, std of RMSE (sample, 0.0 for a

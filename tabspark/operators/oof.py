@@ -52,6 +52,35 @@ def oof_on_design(design: DataFrame, key: str, y: str, fold: str, k: int,
     return out
 
 
+def rescore(df: DataFrame, key: str, features: Sequence[str], model_paths: Sequence[str],
+            target_mode: str = "raw", power: float | None = None) -> DataFrame:
+    """E5: score rows with stored fold/seed models (``pyspark.ml`` writers)
+    and average them (A20)."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.regression import (GBTRegressionModel, LinearRegressionModel,
+                                       RandomForestRegressionModel)
+
+    from ..functions.target import inverse_target
+    x = assemble(df, features)
+    preds = None
+    for i, path in enumerate(model_paths):
+        model = None
+        for cls in (PipelineModel, GBTRegressionModel, RandomForestRegressionModel,
+                    LinearRegressionModel):
+            try:
+                model = cls.load(path)
+                break
+            except Exception:  # noqa: BLE001 -- try the next model class
+                continue
+        if model is None:
+            raise ValueError(f"no model at {path}")
+        p = model.transform(x).select(key, inverse_target("prediction", target_mode, power)
+                                      .alias(f"_p{i}"))
+        preds = p if preds is None else preds.join(p, key)
+    mean = sum(F.col(f"_p{i}") for i in range(len(model_paths))) / F.lit(float(len(model_paths)))
+    return preds.select(key, mean.alias("pred"))
+
+
 def holdout_eval(df: DataFrame, y: str, split: str, fit_predict: FitPredict) -> DataFrame:
     """Fit on dev, metrics on dev (train) and test (validation)."""
     dev = df.filter(F.col(split) == "dev")

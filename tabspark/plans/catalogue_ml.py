@@ -118,30 +118,40 @@ def nested_bag(spark, sf):
     """Per outer fold, the mean of the inner-fold models (fitted on the
     inner training parts of the outer training rows) predicts the outer
     validation rows; the direct-vs-bag weight is chosen on a 101-point grid."""
-    f = docs_folds(spark, sf)
+    f = docs_folds(spark, sf).join(oof_base(spark, sf).select("doc_id", "p_words"), "doc_id")
     n = nested_kfold(f, "doc_id", "bin", K, 4, FOLD_SEED, FOLD_SEED + 100)
-    rows = moment_table(n, "n_chars", ["n_words"], ["outer", "inner"]).collect()
-    per: dict = {}
-    for r in rows:
-        per.setdefault(r.outer, {})[r.inner] = Moments.from_row(r, "n_chars", ["n_words"])
-    coefs = []
-    for o, inner in per.items():
-        tot = None
-        for m in inner.values():
-            tot = m if tot is None else tot + m
-        fits = [ridge_from_moments(tot - m) for m in inner.values()]
-        coefs.append((int(o), float(np.mean([b0 for b0, _ in fits])),
-                      float(np.mean([b[0] for _, b in fits]))))
-    c = spark.createDataFrame(coefs, "fold int, b0 double, b1 double")
-    direct = oof_base(spark, sf).select("doc_id", "fold", "n_chars", "p_words")
-    x = f.select("doc_id", "n_words")
-    # the coefficient table has k rows: a bounded broadcast on the fold key
-    both = direct.join(x, "doc_id").join(F.broadcast(c), "fold").withColumn(
-        "p_bag", F.col("b0") + F.col("b1") * F.col("n_words").cast("double"))
-    best = B.grid_blend(both, "p_words", "p_bag", "n_chars", steps=100).first()
-    out = both.agg(F.sqrt(F.avg((F.col("n_chars") - F.col("p_bag")) ** 2)).alias("rmse_bag"))
-    return rounded(out.select(F.lit(best.weight).alias("direct_weight"), "rmse_bag",
-                              F.lit(best.rmse).alias("best_rmse")), 4)
+    r = B.nested_bag_weight(n, "doc_id", "n_chars", ["n_words"], "fold", "p_words")
+    bagged = r["bagged"]
+    return rounded(bagged.agg(F.sqrt(F.avg((F.col("n_chars") - F.col("p_bag")) ** 2)).alias("rmse_bag"))
+                   .select(F.lit(r["direct_weight"]).alias("direct_weight"), "rmse_bag",
+                           F.lit(r["best_rmse"]).alias("best_rmse")), 4)
+
+
+ORD_NUMERIC_FEATURES = ["o_custkey", "o_year", "o_month", "c_acctbal", "n_regionkey", "l_n_lines",
+                        "l_qty", "l_price", "l_max_disc", "l_ship_year"]
+
+
+@query
+def preprocess_design(spark, sf):
+    """numeric / ordinal / nominal routing fitted on dev rows, applied to
+    every order, assembled into one vector; per-row size, sum and sum of
+    squares of the vector."""
+    from pyspark.ml.functions import vector_to_array
+    from ..functions.features import FeatureSpec
+    from ..operators.design import PreprocessConfig, fit_preprocessor
+    from .catalogue import ORD_LEVELS
+    from .common import ord_split
+    s = ord_split(spark, sf).select("o_orderkey", "o_totalprice", *ORD_NUMERIC_FEATURES,
+                                    "o_orderpriority", "o_orderstatus", "c_mktsegment", "n_name",
+                                    "split")
+    cfg = PreprocessConfig(feature_engineering=False, add_log_features=False, encoding="ordinal")
+    fitted = fit_preprocessor(s.filter(F.col("split") == "dev").drop("split"), "o_orderkey",
+                              "o_totalprice", FeatureSpec(), cfg, ORD_LEVELS)
+    x, names = fitted.transform(s.drop("split"))
+    arr = vector_to_array("features")
+    return rounded(x.select("o_orderkey", F.size(arr).alias("n_features"),
+                            F.aggregate(arr, F.lit(0.0), lambda a, v: a + v).alias("total"),
+                            F.aggregate(arr, F.lit(0.0), lambda a, v: a + v * v).alias("total_sq")), 6)
 
 
 # ------------------------------------------------------------------ dense net (M8, M9)

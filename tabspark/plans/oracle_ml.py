@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .common import FOLD_SEED, K
-from .oracle import DOCS, ORD, SQL, folds, r
+from .oracle import DOCS, ORD, ORD_SPLIT, SQL, folds, r
 from .oracle_models import BASE
 
 SQL["nested_bag"] = (f"""{BASE},
@@ -27,6 +27,43 @@ best AS (SELECT weight, rmse FROM g ORDER BY rmse, weight LIMIT 1)
 SELECT {r('best.weight', 4)} AS direct_weight, {r('(SELECT sqrt(avg((n_chars - p_bag) ^ 2)) FROM both_)', 4)} AS rmse_bag,
        {r('best.rmse', 4)} AS best_rmse FROM best""")
 
+_NUM = ["o_custkey", "o_year", "o_month", "c_acctbal", "n_regionkey", "l_n_lines", "l_qty", "l_price",
+        "l_max_disc", "l_ship_year"]
+# columns with a null among the dev orders (orders without lines) get an indicator
+_IND = ["l_n_lines", "l_qty", "l_price", "l_max_disc", "l_ship_year"]
+_LEVELS = {
+    "o_orderpriority": ["Missing", "5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"],
+    "o_orderstatus": ["Missing", "P", "O"],
+}
+
+
+def _ordinal(c: str, levels: list[str]) -> str:
+    arr = "[" + ", ".join("'" + lv + "'" for lv in levels) + "]"
+    return f"CAST(coalesce(list_position({arr}, coalesce({c}, 'Missing')), 0) - 1 AS DOUBLE)"
+
+
+_outs = _NUM + [f"mi_{c}" for c in _IND] + list(_LEVELS)
+_imputed = ", ".join([f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in _NUM]
+                     + [f"CAST({c} IS NULL AS DOUBLE) AS mi_{c}" for c in _IND]
+                     + [f"{_ordinal(c, lv)} AS {c}" for c, lv in _LEVELS.items()])
+_scaled = [f"(i.{o} - s.ce_{o}) / s.sc_{o}" for o in _outs]
+_onehot = ("(CASE WHEN coalesce(i.c_mktsegment, 'Missing') IN (SELECT lv FROM seg) THEN 1.0 ELSE 0.0 END"
+           " + CASE WHEN coalesce(i.n_name, 'Missing') IN (SELECT lv FROM nat) THEN 1.0 ELSE 0.0 END)")
+
+SQL["preprocess_design"] = f"""WITH {ORD_SPLIT},
+m AS (SELECT {', '.join(f'quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}' for c in _NUM)}
+      FROM ord_s WHERE split = 'dev'),
+i AS (SELECT o_orderkey, split, c_mktsegment, n_name, {_imputed} FROM ord_s, m),
+s AS (SELECT {', '.join(f'avg({o}) AS ce_{o}, coalesce(nullif(stddev_pop({o}), 0), 1.0) AS sc_{o}' for o in _outs)}
+      FROM i WHERE split = 'dev'),
+seg AS (SELECT DISTINCT coalesce(c_mktsegment, 'Missing') AS lv FROM ord_s WHERE split = 'dev'),
+nat AS (SELECT DISTINCT coalesce(n_name, 'Missing') AS lv FROM ord_s WHERE split = 'dev')
+SELECT i.o_orderkey,
+       CAST({len(_outs)} + (SELECT count(*) FROM seg) + (SELECT count(*) FROM nat) AS BIGINT) AS n_features,
+       {r(' + '.join(_scaled) + ' + ' + _onehot, 6)} AS total,
+       {r(' + '.join(f'({x}) * ({x})' for x in _scaled) + ' + ' + _onehot, 6)} AS total_sq
+FROM i, s"""
+
 SQL["csv_roundtrip"] = f"""WITH {ORD}
 SELECT o_orderkey, {r('l_qty', 4)} AS l_qty, l_n_lines, c_mktsegment FROM ord"""
 
