@@ -16,11 +16,10 @@ from ..functions import features as FE
 from ..functions.target import forward_target, inverse_target
 from ..operators import prep as P
 from ..operators import quality as Q
-from ..operators.rank import global_row_number
 from ..operators.split import nested_kfold, quartile_label, split_check, stratified_kfold
 from ..sources.tables import docs, ord_table, read_table
-from .common import (FOLD_SEED, K, SPLIT_SEED, docs_binned, docs_folds, docs_split,
-                     ord_split, rounded)
+from .common import (FOLD_SEED, K, docs_binned, docs_folds, docs_split, ord_split,
+                     rounded)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}

@@ -8,15 +8,13 @@ round trip do.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import blend as B
 from ..operators import prep as P
-from ..operators.models import Moments, moment_table, ridge_from_moments
 from ..operators import oof as O
-from ..operators.oof import ml_fit_predict, oof_predictions
+from ..operators.oof import ml_fit_predict
 from ..operators.search import coarse_to_fine
 from ..operators.split import nested_kfold, stratified_kfold
 from ..session import checkpoint_dir

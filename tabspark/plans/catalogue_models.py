@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from ..operators import blend as B
 from ..operators import metrics as M
 from ..operators import search as S
-from ..operators.models import fit_linear, linear_predict, oof_linear, oof_linear_wide
+from ..operators.models import fit_linear, linear_predict, oof_linear_wide
 from ..operators.split import stratified_kfold
 from ..sources.tables import docs
 from .catalogue import query
-from .common import FOLD_SEED, K, REPEAT_SEEDS, docs_folds, rounded
+from .common import FOLD_SEED, REPEAT_SEEDS, docs_folds, rounded
 
 BASE_MODELS = {"words": ["n_words"], "lines": ["n_lines"], "mean": []}
 
