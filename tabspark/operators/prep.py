@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import MISSING_TOKEN
 from ..functions.stats import count_true
+from ..session import broadcast_limit_rows, materialize
 from .quantiles import column_quantiles
+from .rank import grouped_row_number
 
 PARAM_SCHEMA = "feature string, stat string, value double"
 
@@ -249,22 +251,31 @@ def fit_onehot(df: DataFrame, cols: Sequence[str], min_frequency: int | None = N
     counts = (df.select(levels.alias("_l")).groupBy("_l.feature", "_l.level")
               .agg(F.count(F.lit(1)).alias("n")))
     minf = min_frequency or 0
-    rows = counts.withColumn("rare", F.col("n") < F.lit(minf)).collect()
-    out = []
-    for c in cols:
-        mine = sorted((r for r in rows if r.feature == c), key=lambda r: r.level)
-        frequent = [r.level for r in mine if not r.rare]
-        out += [(c, lv, i, False) for i, lv in enumerate(frequent)]
-        out += [(c, r.level, len(frequent), True) for r in mine if r.rare]
-    return df.sparkSession.createDataFrame(
-        out, "feature string, level string, slot int, rare boolean")
+    counts = counts.withColumn("rare", F.col("n") < F.lit(minf))
+    # the dictionary stays distributed: a column may have any number of levels
+    frequent = grouped_row_number(counts.filter(~F.col("rare")), ["level"], ["feature"], out="_r")
+    n_frequent = frequent.groupBy("feature").agg(F.count(F.lit(1)).alias("_nf"))
+    rare = counts.filter(F.col("rare")).join(n_frequent, "feature", "left")
+    out = frequent.select("feature", "level", (F.col("_r") - 1).cast("int").alias("slot"), "rare") \
+        .unionByName(rare.select("feature", "level", F.coalesce("_nf", F.lit(0)).cast("int").alias("slot"),
+                                 "rare"))
+    return materialize(out)
+
+
+MAX_DENSE_LEVELS = 10_000
 
 
 def onehot_columns(df: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, list[str]]:
     """Dense 0/1 column per slot (the assembler stores them sparsely);
-    unknown levels give all zeros."""
+    unknown levels give all zeros.  The width is the number of levels, so the
+    dictionary is fetched only below ``MAX_DENSE_LEVELS`` rows; past that use
+    ``min_frequency`` or the join form ``onehot_slots``."""
+    rows = dictionary.limit(MAX_DENSE_LEVELS + 1).collect()
+    if len(rows) > MAX_DENSE_LEVELS:
+        raise ValueError("too many one-hot levels for dense columns; raise min_frequency "
+                         "or use onehot_slots")
     slots: dict[str, dict[int, tuple[bool, list[str]]]] = {}
-    for r in dictionary.collect():
+    for r in sorted(rows, key=lambda r: (r.feature, r.slot, r.level)):
         slots.setdefault(r.feature, {}).setdefault(r.slot, (r.rare, []))[1].append(r.level)
     exprs, names = {}, []
     for c, per in slots.items():
@@ -284,7 +295,7 @@ def onehot_slots(df: DataFrame, dictionary: DataFrame, feature: str) -> DataFram
     d = dictionary.filter(F.col("feature") == feature).select(
         F.col("level").alias("_level"), "slot")
     n_slots = d.agg(F.max("slot") + 1).first()[0] or 0
-    if d.count() <= 1_000_000:
+    if d.count() <= broadcast_limit_rows(df.sparkSession):
         d = F.broadcast(d)
     v = F.coalesce(F.col(f"`{feature}`").cast("string"), F.lit(MISSING_TOKEN))
     out = df.join(d, v == F.col("_level"), "left").drop("_level")

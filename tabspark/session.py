@@ -35,7 +35,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
