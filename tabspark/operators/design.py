@@ -9,7 +9,7 @@ is saved as Parquet and applied as a projection (batch or stream).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,6 +74,8 @@ def fit_preprocessor(df: DataFrame, key: str, target: str | None, spec: FeatureS
                      config: PreprocessConfig = PreprocessConfig(),
                      ordinal_levels: Mapping[str, Sequence[str]] | None = None) -> FittedPreprocessor:
     """Fit every step on ``df`` (training rows only)."""
+    # the key is carried through (it is never a feature) even if the spec drops it
+    spec = replace(spec, drop=tuple(c for c in spec.drop if c != key))
     built = build_features(df, spec, config.feature_engineering, config.add_log_features)
     drop = {key, target} if target else {key}
     drop.add("row_index")
