@@ -51,6 +51,18 @@ def ols_oof(spark, sf):
     return rounded(o.select("doc_id", "fold", F.col("p_words").alias("pred")), 2)
 
 
+@query
+def holdout_metrics(spark, sf):
+    """OLS fitted on the dev split, metrics on dev (train) and test rows."""
+    from ..operators.oof import holdout_eval
+    from .common import docs_split
+
+    def fit_predict(train, score):
+        b0, beta = fit_linear(train, "n_chars", ["n_words"])
+        return score.withColumn("pred", linear_predict(["n_words"], b0, beta))
+    return rounded(holdout_eval(docs_split(spark, sf), "n_chars", "split", fit_predict), 4)
+
+
 @query
 def ridge_moments(spark, sf):
     from ..operators.models import fold_linear_fits

@@ -7,7 +7,7 @@ Spark side solves the same normal equations from a moment table.
 from __future__ import annotations
 
 from .common import FOLD_SEED, K, REPEAT_SEEDS
-from .oracle import DOCS, DOCS_BINS, SQL, bins, folds, r
+from .oracle import DOCS, DOCS_BINS, DOCS_SPLIT, SQL, bins, folds, r
 
 PHI = "CAST('0.6180339887498949' AS DOUBLE)"
 SQRT2 = "CAST('1.4142135623730951' AS DOUBLE)"
@@ -61,6 +61,12 @@ SELECT CAST(fold AS BIGINT) AS fold, CAST(count(*) AS BIGINT) AS n, {r('first(p_
 SQL["ols_oof"] = f"""{BASE}
 SELECT doc_id, CAST(fold AS BIGINT) AS fold, {r('p_words', 2)} AS pred FROM oof"""
 
+SQL["holdout_metrics"] = f"""WITH {DOCS_SPLIT},
+f AS (SELECT regr_slope(n_chars, n_words) AS s, avg(n_chars) - regr_slope(n_chars, n_words) * avg(n_words) AS b
+      FROM docs_s WHERE split = 'dev'),
+p AS (SELECT split, n_chars, b + s * n_words AS pred FROM docs_s, f)
+SELECT split, {metric_cols(d=4)} FROM p GROUP BY split"""
+
 SQL["ridge_moments"] = f"""WITH {DOCS_BINS},
 {folds("docs_b", "doc_id", "docs_f")},
 fm AS (

@@ -78,6 +78,17 @@ def test_rescore_stored_models(spark):
     assert out.count() == 200 and out.filter(F.col("pred").isNull()).count() == 0
 
 
+def test_seed_ensemble_is_member_mean(spark):
+    from tabspark.operators.oof import ml_fit_predict, seed_ensemble
+    df = spark.range(0, 300).select(F.col("id").alias("k"), (F.col("id") % 13).cast("double").alias("x"))
+    df = df.withColumn("y", F.col("x") * 2 + (F.col("k") % 3))
+    members = [ml_fit_predict("rf", ["x"], "y", seed=s, trees=4, max_depth=3) for s in (1, 2)]
+    ens = {r.k: r.pred for r in seed_ensemble(members)(df, df).select("k", "pred").collect()}
+    one = {r.k: r.pred for r in members[0](df, df).select("k", "pred").collect()}
+    two = {r.k: r.pred for r in members[1](df, df).select("k", "pred").collect()}
+    assert all(np.isclose(ens[k], (one[k] + two[k]) / 2) for k in ens)
+
+
 def test_candidates_and_running_mean(spark):
     c = S.ridge_candidates(spark, 24, ["a", "b"])
     assert c.count() == 24 and c.filter(~F.col("feature").isin("a", "b")).count() == 0
