@@ -184,12 +184,15 @@ def fit_numeric(df: DataFrame, cols: Sequence[str], key: str, winsorize: bool =
         wins = fit_winsor(cur, cols, key, by=by)
         cur = apply_winsor(cur, wins, cols)
     imp = fit_median_impute(cur, cols, key, by=by)
-    if by:
-        indicators = sorted({r.feature for r in imp.table.filter(
-            (F.col("stat") == "had_null") & (F.col("value") > 0)).select("feature").collect()})
-    else:
-        vals = imp.values()
-        indicators = [c for c in cols if vals.get((c, "had_null"), 0) > 0]
+    # one row per (group, feature, stat): a bounded fetch
+    stats = imp.table.filter(((F.col("stat") == "had_null") & (F.col("value") > 0))
+                             | ((F.col("stat") == "median") & F.col("value").isNotNull())) \
+        .select("feature", "stat").distinct().collect()
+    with_nulls = {r.feature for r in stats if r.stat == "had_null"}
+    with_values = {r.feature for r in stats if r.stat == "median"}
+    indicators = [c for c in cols if c in with_nulls]
+    # a column without any value at fit is dropped (its indicator is kept)
+    cols = [c for c in cols if c in with_values]
     cur = _apply_impute(cur, imp, cols, indicators)
     out_cols = cols + [f"missingindicator_{c}" for c in indicators]
     sc = (fit_robust(cur, out_cols, key, by=by) if scaler == "robust"

@@ -48,6 +48,25 @@ def test_numeric_pipeline_matches_numpy(spark):
     assert np.allclose(out.missingindicator_z, (ind - ind.mean()) / ind.std(ddof=0))
 
 
+def test_constant_all_null_and_nan_columns(spark):
+    df = spark.createDataFrame([(1, 5.0, None, 1.0), (2, 5.0, None, float("nan")), (3, 5.0, None, 3.0)],
+                               "k long, c double, n double, m double")
+    m = P.fit_numeric(df, ["c", "n", "m"], "k")
+    assert m.output_cols == ["c", "m", "missingindicator_n", "missingindicator_m"]
+    rows = P.apply_numeric(df, m).select(*m.output_cols).collect()
+    assert all(r.c == 0.0 and r.missingindicator_n == 0.0 for r in rows)   # zero variance -> 0
+    assert rows[1].m == 0.0                                                # NaN imputed by the median
+
+
+def test_apply_never_adds_or_drops_rows(spark):
+    df = _table(spark)
+    m = P.fit_numeric(df, ["x", "z"], "k", winsorize=True, scaler="robust")
+    d = P.fit_onehot(df, ["cat"], min_frequency=40)
+    assert P.apply_numeric(df, m).count() == df.count()
+    assert P.onehot_slots(df, d, "cat").count() == df.count()
+    assert P.onehot_columns(df, d)[0].count() == df.count()
+
+
 def test_fit_ignores_validation_rows(spark):
     """Leakage: changing rows outside the fit set leaves the parameters unchanged."""
     df = _table(spark).withColumn("split", F.when(F.col("k") < 80, "dev").otherwise("test"))
