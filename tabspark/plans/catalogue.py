@@ -236,6 +236,22 @@ def eta_squared(spark, sf):
     return rounded(Q.eta_squared(d, "n_chars", ["lang", "source", "quality_s"]), 8)
 
 
+@query
+def extreme_rows(spark, sf):
+    """Documents longer than 20,000 characters, with a few columns."""
+    from ..operators.joins import extreme_rows as er
+    return rounded(er(read_table(spark, sf, "documents"), "n_chars", 20000,
+                      ["doc_id", "n_chars", "lang", "source"]))
+
+
+@query
+def labelled_docs(spark, sf):
+    """Documents joined with their labels, asserted one-to-one."""
+    from ..operators.joins import join_one_to_one
+    d = read_table(spark, sf, "documents").select("doc_id", "n_chars", "lang")
+    return rounded(join_one_to_one(d, read_table(spark, sf, "labels"), "doc_id"))
+
+
 @query
 def event_profile(spark, sf):
     """A5/A6 per category on the events analogue: JSON ``props`` parsed to

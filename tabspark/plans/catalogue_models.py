@@ -102,6 +102,15 @@ def fold_summary(spark, sf):
     return rounded(samp.join(pop, "model"), 4)
 
 
+@query
+def residuals(spark, sf):
+    """Truth, prediction, residual per row and the truth range."""
+    o = oof_base(spark, sf).select("doc_id", "n_chars", F.col("p_words").alias("pred"))
+    res, (lo, hi) = M.residual_table(o, "n_chars", "pred", "doc_id")
+    return rounded(res.select("*", F.lit(lo).cast("double").alias("truth_min"),
+                              F.lit(hi).cast("double").alias("truth_max")), 2)
+
+
 @query
 def seed_mean(spark, sf):
     parts = [oof_base(spark, sf, s).select("doc_id", F.lit(s).alias("seed"), "p_words")

@@ -284,6 +284,11 @@ SELECT column_name AS "column", {r('CASE WHEN m.sst = 0 THEN 0 ELSE sum(n * (lm
 FROM g, m GROUP BY column_name, m.sst ORDER BY eta2 DESC, column_name LIMIT 15"""
 
 
+SQL["extreme_rows"] = """SELECT doc_id, n_chars, lang, source FROM documents WHERE n_chars > 20000"""
+
+SQL["labelled_docs"] = """SELECT d.doc_id, d.n_chars, d.lang, CAST(l.quality AS BIGINT) AS quality,
+       CAST(l.toxic AS BIGINT) AS toxic FROM documents d JOIN labels l USING (doc_id)"""
+
 SQL["event_profile"] = f"""WITH e AS (
   SELECT event_type, value, nullif(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), 0) AS k_nz FROM events)
 SELECT event_type, CAST(count(*) AS BIGINT) AS n, {r('avg(value)', 6)} AS mean_value,

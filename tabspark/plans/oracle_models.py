@@ -121,6 +121,11 @@ SELECT model, CAST(count(*) AS BIGINT) AS n_folds, {r('avg(rmse)', 4)} AS mean_r
        {r('avg(r2)', 4)} AS mean_r2, {r('stddev_pop(rmse)', 4)} AS std_rmse_pop
 FROM pf GROUP BY model"""
 
+SQL["residuals"] = f"""{BASE}
+SELECT doc_id, n_chars, {r('p_words', 2)} AS pred, {r('n_chars - p_words', 2)} AS residual,
+       {r('(SELECT min(n_chars) FROM oof)', 2)} AS truth_min, {r('(SELECT max(n_chars) FROM oof)', 2)} AS truth_max
+FROM oof"""
+
 _SEEDS = "WITH " + DOCS_BINS + ",\n" + ",\n".join(oof_ctes(s, f"_{i}") for i, s in enumerate(REPEAT_SEEDS))
 _ALL = " UNION ALL ".join(f"SELECT doc_id, n_chars, {i} AS rep, p_words FROM oof_{i}" for i in range(3))
 
