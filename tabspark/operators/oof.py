@@ -103,10 +103,11 @@ def oof_predictions(df: DataFrame, key: str, y: str, fold: str, k: int,
         scored = materialize(fit_predict(train, val).select(key, fold, y, "pred"))
         parts.append(scored)
         if extra is not None:
-            extras.append(fit_predict(train, extra).select(key, "pred"))
+            extras.append(materialize(fit_predict(train, extra).select(key, "pred")))
         if progress:
             rmses.append(scored.agg(F.sqrt(F.avg((F.col(y) - F.col("pred")) ** 2))).first()[0])
             progress(float(np.mean(rmses)))
+    base.unpersist()  # every result above is written; nothing reads the cache any more
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)

@@ -32,6 +32,31 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def target_partitions(df: DataFrame) -> int:
+    """Range partitions for ``df``: its estimated size / target bytes per
+    partition (``tabspark.rank.partitionBytes``, default 128 MiB), never
+    fewer than ``spark.sql.shuffle.partitions``; unknown sizes use the latter."""
+    spark = df.sparkSession
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = int(spark.conf.get("tabspark.rank.partitionBytes", str(128 << 20)))
+    def _int(v):
+        return v if isinstance(v, int) else int(v.toString())
+
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        size = _int(plan.stats().sizeInBytes())
+        # join estimates without cost-based statistics multiply the sides:
+        # cap by the scanned inputs (compressed bytes, x4 for decoding)
+        leaves = plan.collectLeaves()
+        scanned = sum(_int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+        size = min(size, 4 * scanned)
+    except Exception:  # noqa: BLE001 -- no statistics available
+        return default
+    if size <= 0 or size >= 1 << 60:  # unknown (e.g. an RDD without statistics)
+        return default
+    return max(default, min(size // target + 1, 1 << 20))
+
+
 def grouped_row_number(df: DataFrame, order: Sequence, group: Sequence[str] = (),
                        out: str = "rn", size_col: str | None = None,
                        num_partitions: int | None = None, key: str | None = None) -> DataFrame:
@@ -53,7 +78,7 @@ def grouped_row_number(df: DataFrame, order: Sequence, group: Sequence[str] = ()
             extra = [out] + ([size_col] if size_col else [])
             return df.join(narrow.select(key, *extra), key)
     keys = [_as_col(c) for c in group] + [_as_col(c) for c in order]
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = num_partitions or target_partitions(df)
     ranged = materialize(
         df.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
