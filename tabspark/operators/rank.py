@@ -57,6 +57,17 @@ def target_partitions(df: DataFrame) -> int:
     return max(default, min(size // target + 1, 1 << 20))
 
 
+def range_layout(df: DataFrame, keys: Sequence[Column], parts: int) -> DataFrame:
+    """Steps 1-3: range partitions sorted inside, each row tagged with
+    ``_mid`` (partition index << 33 | position) and ``_pid``, written once."""
+    return materialize(
+        df.repartitionByRange(parts, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("_mid", F.monotonically_increasing_id())
+        .withColumn("_pid", F.shiftright("_mid", _LOW_BITS))
+    )
+
+
 def grouped_row_number(df: DataFrame, order: Sequence, group: Sequence[str] = (),
                        out: str = "rn", size_col: str | None = None,
                        num_partitions: int | None = None, key: str | None = None) -> DataFrame:
@@ -78,13 +89,7 @@ def grouped_row_number(df: DataFrame, order: Sequence, group: Sequence[str] = ()
             extra = [out] + ([size_col] if size_col else [])
             return df.join(narrow.select(key, *extra), key)
     keys = [_as_col(c) for c in group] + [_as_col(c) for c in order]
-    parts = num_partitions or target_partitions(df)
-    ranged = materialize(
-        df.repartitionByRange(parts, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright("_mid", _LOW_BITS))
-    )
+    ranged = range_layout(df, keys, num_partitions or target_partitions(df))
     seg = ranged.groupBy("_pid", *group).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_start"))
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(

@@ -23,6 +23,22 @@ def test_grouped_row_number_equals_window(spark):
     assert got.count() == 3000
 
 
+def test_hot_value_spreads_over_range_partitions(spark):
+    """A value held by a third of the rows: the unique key in the range keys
+    lets the bounds cut through the tie, so no partition holds the hot value
+    alone."""
+    from tabspark.operators.rank import range_layout
+    n = 30000
+    df = spark.range(0, n).select("id", F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(
+        F.col("id") % 1000).alias("v"))
+    lay = range_layout(df, [F.col("v"), F.col("id")], 12)
+    sizes = [r["count"] for r in lay.groupBy("_pid").count().collect()]
+    assert max(sizes) < 2.0 * n / 12
+    r = global_row_number(df, ["v", "id"], out="r")
+    hot = r.filter(F.col("v") == 5).agg(F.max("r") - F.min("r") + 1, F.count(F.lit(1))).first()
+    assert hot[0] == hot[1] > n // 3  # the tie occupies one contiguous run of ranks
+
+
 def test_global_row_number_is_a_permutation(spark):
     df = spark.range(0, 1001).select("id", (F.col("id") % 4).alias("y"))
     r = global_row_number(df, ["y", "id"], out="r", size_col="n")
