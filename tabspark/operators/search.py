@@ -213,7 +213,9 @@ def coarse_to_fine(spark: SparkSession, df: DataFrame, y: str, features: Sequenc
     """Every candidate on the coarse folds, the best few on the fine folds."""
     cands = ridge_candidates(spark, n_trials, features)
     coarse = score_ridge_trials(cands, fold_moments_1d(df, y, features, fold_coarse), fold_coarse)
-    summary = coarse.groupBy("trial", "feature", "alpha").agg(F.avg("rmse").alias("mean_rmse"))
+    # compared at 1e-6, so equal configs tie exactly and the trial number decides
+    summary = coarse.groupBy("trial", "feature", "alpha").agg(
+        F.round(F.avg("rmse"), 6).alias("mean_rmse"))
     finalists = top_configs(summary, ["feature", "alpha"], "mean_rmse", n_finalists)
     fine = score_ridge_trials(finalists.select("trial", "feature", "alpha"),
                               fold_moments_1d(df, y, features, fold_fine), fold_fine)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .common import FOLD_SEED, K
-from .oracle import DOCS, ORD, ORD_SPLIT, SQL, folds, r
+from .oracle import DOCS, DOCS_BINS, ORD, ORD_SPLIT, SQL, folds, r
 from .oracle_models import BASE
 
 SQL["nested_bag"] = (f"""{BASE},
@@ -64,6 +64,43 @@ SELECT i.o_orderkey,
        {r(' + '.join(f'({x}) * ({x})' for x in _scaled) + ' + ' + _onehot, 6)} AS total_sq
 FROM i, s"""
 
+PHI = "CAST('0.6180339887498949' AS DOUBLE)"
+SQRT2 = "CAST('1.4142135623730951' AS DOUBLE)"
+
+
+def _trial_log(cands: str, fold_col: str, sfx: str) -> str:
+    """Per candidate x fold validation RMSE of 1-feature ridge, row-wise."""
+    return f"""trm{sfx} AS (
+  SELECT f.fold, xy.feature, avg(x) AS mx, avg(y) AS my, count(*) AS n, sum(x * x) AS sxx, sum(x * y) AS sxy
+  FROM (SELECT DISTINCT {fold_col} AS fold FROM xy) f JOIN xy ON xy.{fold_col} <> f.fold GROUP BY f.fold, xy.feature),
+coef{sfx} AS (
+  SELECT c.trial, c.feature, c.alpha, t.fold,
+         (t.sxy - t.n * t.mx * t.my) / (t.sxx - t.n * t.mx * t.mx + c.alpha) AS b1, t.mx, t.my
+  FROM {cands} c JOIN trm{sfx} t USING (feature)),
+log{sfx} AS (
+  SELECT c.trial, c.feature, c.alpha, c.fold, sqrt(avg((xy.y - (c.my - c.b1 * c.mx) - c.b1 * xy.x) ^ 2)) AS rmse
+  FROM coef{sfx} c JOIN xy ON xy.feature = c.feature AND xy.{fold_col} = c.fold
+  GROUP BY c.trial, c.feature, c.alpha, c.fold)"""
+
+
+SQL["cv_search"] = f"""WITH {DOCS_BINS},
+{folds("docs_b", "doc_id", "f3", 1, 3, col="fold3")},
+{folds("f3", "doc_id", "f35", FOLD_SEED, 5, col="fold5")},
+cand AS (
+  SELECT CAST(t AS BIGINT) AS trial,
+         CASE WHEN floor((t * {SQRT2} - floor(t * {SQRT2})) * 2) = 0 THEN 'n_words' ELSE 'n_lines' END AS feature,
+         pow(10.0, floor((t * {PHI} - floor(t * {PHI})) * 9) - 2) AS alpha
+  FROM (SELECT CAST(unnest(range(0, 24)) AS DOUBLE) AS t)),
+xy AS (SELECT fold3, fold5, 'n_words' AS feature, CAST(n_words AS DOUBLE) AS x, CAST(n_chars AS DOUBLE) AS y FROM f35
+       UNION ALL SELECT fold3, fold5, 'n_lines', CAST(n_lines AS DOUBLE), CAST(n_chars AS DOUBLE) FROM f35),
+{_trial_log("cand", "fold3", "_c")},
+summary AS (SELECT trial, feature, alpha, round(avg(rmse), 6) AS mean_rmse FROM log_c GROUP BY ALL),
+best AS (SELECT *, row_number() OVER (PARTITION BY feature, alpha ORDER BY mean_rmse, trial) AS rn FROM summary),
+fin AS (SELECT trial, feature, alpha FROM best WHERE rn = 1 ORDER BY mean_rmse, trial LIMIT 3),
+{_trial_log("fin", "fold5", "_f")}
+SELECT trial, feature, {r('alpha', 4)} AS alpha, {r('avg(rmse)', 4)} AS mean_rmse,
+       {r('stddev_samp(rmse)', 4)} AS std_rmse FROM log_f GROUP BY trial, feature, alpha"""
+
 SQL["csv_roundtrip"] = f"""WITH {ORD}
 SELECT o_orderkey, {r('l_qty', 4)} AS l_qty, l_n_lines, c_mktsegment FROM ord"""
 
