@@ -78,6 +78,34 @@ def test_rescore_stored_models(spark):
     assert out.count() == 200 and out.filter(F.col("pred").isNull()).count() == 0
 
 
+def test_quality_report_dict(spark):
+    from tabspark.operators.quality import quality_report
+    from tabspark.sources.tables import docs
+    rep = quality_report(docs(spark, SF_SMALL), "doc_id", "n_chars")
+    assert rep["rows"] == 200 and rep["duplicate_ids"] == 0
+    assert rep["columns_with_missing"] == 2 and set(rep["missing_rates"]) == {"quality", "toxic"}
+    assert rep["target_skew"] > 0 and rep["target_min"] <= rep["target_median"] <= rep["target_max"]
+    assert len(rep["top_iqr_outliers"]) <= 15
+
+
+def test_repeated_oof_mean_and_scores(spark):
+    from tabspark.operators.models import fit_linear, linear_predict
+    from tabspark.operators.oof import repeated_oof
+    from tabspark.operators.split import stratified_kfold, target_bins
+    from tabspark.sources.tables import docs
+    d = target_bins(docs(spark, SF_SMALL), "n_chars", "doc_id")
+    d = stratified_kfold(d, "doc_id", "bin", 5, 1, out="f1")
+    d = stratified_kfold(d, "doc_id", "bin", 5, 2, out="f2")
+
+    def fit_predict(train, score):
+        b0, beta = fit_linear(train, "n_chars", ["n_words"])
+        return score.withColumn("pred", linear_predict(["n_words"], b0, beta))
+    mean, scores = repeated_oof(d, "doc_id", "n_chars", {0: "f1", 1: "f2"}, 5, fit_predict)
+    assert mean.count() == 200
+    s = {r.repeat: r.rmse for r in scores.collect()}
+    assert set(s) == {0, 1, -1} and s[-1] <= max(s[0], s[1]) + 1e-9
+
+
 def test_seed_ensemble_is_member_mean(spark):
     from tabspark.operators.oof import ml_fit_predict, seed_ensemble
     df = spark.range(0, 300).select(F.col("id").alias("k"), (F.col("id") % 13).cast("double").alias("x"))
