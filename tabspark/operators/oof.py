@@ -194,10 +194,14 @@ def dense_fit(train: DataFrame, features: Sequence[str], target: str,
               layers: Sequence[int] = (16, 8), activation: str = "relu", epochs: int = 30,
               lr: float = 1e-2, weight_decay: float = 0.0, loss: str = "mse",
               clip_norm: float | None = 5.0, patience: int = 5, min_delta: float = 0.0,
-              val: DataFrame | None = None, seed: int = 0):
+              val: DataFrame | None = None, seed: int = 0, schedule: str = "constant",
+              plateau_factor: float = 0.5, plateau_patience: int = 2):
     """M9: full-batch Adam(W); each epoch is one Spark job summing per-partition
     gradients (``mapInPandas`` -> explode -> ``groupBy(pos).sum``), then one
     optimizer step on the driver.  Early stopping on validation RMSE.
+    ``schedule``: ``constant``, ``cosine`` (to 0 over ``epochs``) or
+    ``plateau`` (rate x ``plateau_factor`` after ``plateau_patience`` epochs
+    without a validation improvement).
 
     Returns (weights, history rows, best_epoch)."""
     feats = list(features)
@@ -208,8 +212,13 @@ def dense_fit(train: DataFrame, features: Sequence[str], target: str,
     v = [np.zeros_like(w) for w in ws]
     data = cache(train.select(*feats, target))
     n = data.count()
+    base_lr, since_drop = lr, 0
     best, best_ws, best_epoch, stale, history = np.inf, ws, 0, 0, []
     for epoch in range(1, epochs + 1):
+        if schedule == "cosine":
+            lr = 0.5 * base_lr * (1.0 + np.cos(np.pi * (epoch - 1) / max(epochs, 1)))
+        elif schedule == "plateau" and since_drop >= plateau_patience:
+            lr, since_drop = lr * plateau_factor, 0
         cur = [w.copy() for w in ws]
 
         def grads(batches, cur=cur):
@@ -249,9 +258,10 @@ def dense_fit(train: DataFrame, features: Sequence[str], target: str,
             vr = scored.agg(F.sqrt(F.avg((F.col(target) - F.col("pred")) ** 2))).first()[0]
             row["val_rmse"] = float(vr)
             if vr < best - min_delta:
-                best, best_ws, best_epoch, stale = vr, [w.copy() for w in ws], epoch, 0
+                best, best_ws, best_epoch, stale, since_drop = vr, [w.copy() for w in ws], epoch, 0, 0
             else:
                 stale += 1
+                since_drop += 1
         else:
             best_ws, best_epoch = [w.copy() for w in ws], epoch
         history.append(row)

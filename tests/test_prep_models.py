@@ -149,6 +149,21 @@ def test_prune_weights_renormalises(spark):
     assert set(out) == {"a", "b"} and abs(sum(out.values()) - 1) < 1e-12
 
 
+@pytest.mark.parametrize("schedule", ["cosine", "plateau"])
+def test_dense_fit_learns_and_schedules(spark, schedule):
+    from tabspark.operators.oof import dense_fit, dense_score
+    rng = np.random.default_rng(3)
+    rows = [(float(a), float(b), float(0.7 * a - 0.4 * b)) for a, b in rng.normal(size=(400, 2))]
+    df = spark.createDataFrame(rows, "a double, b double, t double")
+    ws, hist, best = dense_fit(df, ["a", "b"], "t", layers=(8,), epochs=25, lr=0.05,
+                               val=df, patience=25, schedule=schedule, loss="smooth_l1")
+    rates = [h["learning_rate"] for h in hist]
+    assert rates[-1] < rates[0]
+    assert hist[-1]["val_rmse"] < hist[0]["val_rmse"]
+    pred = dense_score(df, ["a", "b"], ws).agg(F.sqrt(F.avg((F.col("t") - F.col("pred")) ** 2))).first()[0]
+    assert np.isclose(pred, min(h["val_rmse"] for h in hist))
+
+
 def test_dense_net_shape():
     ws = init_dense(12, (16, 8), seed=0)
     assert dense_forward(np.zeros((7, 12)), ws).shape == (7,)
