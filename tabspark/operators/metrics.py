@@ -70,9 +70,13 @@ def fold_summary(fold_metrics: DataFrame, group: Sequence[str] = (), epoch: str
     return fold_metrics.groupBy(*group).agg(*aggs)
 
 
-def value_counts(df: DataFrame, col: str) -> DataFrame:
-    """Rows per state (map form: ``map_from_entries(collect_list(...))``)."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+def value_counts(df: DataFrame, col: str, as_map: bool = False) -> DataFrame:
+    """Rows per state; ``as_map`` folds the (few) states into one map."""
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    if not as_map:
+        return counts
+    return counts.agg(F.map_from_entries(F.collect_list(F.struct(F.col(col), F.col("n"))))
+                      .alias("counts"))
 
 
 def row_mean(df: DataFrame, key: str, pred: str, by: Sequence[str] = ()) -> DataFrame:

@@ -78,6 +78,35 @@ def test_rescore_stored_models(spark):
     assert out.count() == 200 and out.filter(F.col("pred").isNull()).count() == 0
 
 
+def test_signature_flatten_and_counts(spark):
+    from tabspark.functions.config import flatten_struct, signature
+    from tabspark.operators.metrics import value_counts
+    df = spark.createDataFrame([(1, ("a", (2, 3.0)))], "id int, cfg struct<name:string, m:struct<d:int, lr:double>>")
+    flat = flatten_struct(df)
+    assert flat.columns == ["id", "cfg.name", "cfg.m.d", "cfg.m.lr"]
+    a = df.select(signature(F.col("cfg.m")).alias("s")).first().s
+    b = spark.createDataFrame([((2, 3.0),)], "m struct<d:int, lr:double>").select(signature("m")).first()[0]
+    assert a == b and len(a) == 10
+    states = spark.createDataFrame([("COMPLETE",), ("PRUNED",), ("COMPLETE",)], "state string")
+    assert value_counts(states, "state", as_map=True).first().counts == {"COMPLETE": 2, "PRUNED": 1}
+
+
+def test_index_categories_and_error_report(spark):
+    from tabspark.operators.design import index_categories
+    from tabspark.operators.infer import error_report
+    from tabspark.operators.quality import same_columns
+    df = spark.createDataFrame([(i, ["x", "y", None][i % 3], float(i), float(i) + (i % 4)) for i in range(40)],
+                               "k long, c string, y double, p double").fillna({"c": "__MISSING__"})
+    model = index_categories(df, ["c"])
+    new = spark.createDataFrame([(100, "zzz", 1.0, 1.0)], df.schema)
+    assert model.transform(new).first().c_idx == 3.0  # unseen level: the extra bucket
+    rep = error_report(df, "y", "p", "k", df.select("k", "c"))
+    assert rep["metrics"].first().n == 40
+    assert rep["by_quartile"].count() == 4 and rep["worst"].count() == 10
+    with pytest.raises(ValueError):
+        same_columns(df, df.select("k", "y"))
+
+
 def test_quality_report_dict(spark):
     from tabspark.operators.quality import quality_report
     from tabspark.sources.tables import docs
