@@ -44,17 +44,23 @@ def target_partitions(df: DataFrame) -> int:
 
     try:
         plan = df._jdf.queryExecution().optimizedPlan()
-        size = _int(plan.stats().sizeInBytes())
+        leaves = plan.collectLeaves()
+        scanned = 0
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            # only file scans have trustworthy sizes; checkpoints and other
+            # relations may carry estimates of the plan they replaced
+            if leaf.getClass().getSimpleName() != "LogicalRelation":
+                return default
+            scanned += _int(leaf.stats().sizeInBytes())
         # join estimates without cost-based statistics multiply the sides:
         # cap by the scanned inputs (compressed bytes, x4 for decoding)
-        leaves = plan.collectLeaves()
-        scanned = sum(_int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-        size = min(size, 4 * scanned)
+        size = min(_int(plan.stats().sizeInBytes()), 4 * scanned)
     except Exception:  # noqa: BLE001 -- no statistics available
         return default
-    if size <= 0 or size >= 1 << 60:  # unknown (e.g. an RDD without statistics)
+    if size <= 0:
         return default
-    return max(default, min(size // target + 1, 1 << 20))
+    return max(default, min(size // target + 1, 1 << 17))
 
 
 def range_layout(df: DataFrame, keys: Sequence[Column], parts: int) -> DataFrame:
