@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +68,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a checkpoint, but later readers keep column pruning,
+    filter push-down and file statistics.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cache(df: DataFrame) -> DataFrame:
     """Spill-safe cache for inputs reused by a driver loop (recomputable)."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
