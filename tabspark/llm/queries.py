@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .exact_dedup import exact_groups
+from .line_dedup import drop_lines
+from .mixing import mix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +18,20 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = drop_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_source_mixing": op7_source_mixing,
 }
 
 SQL = {
@@ -25,4 +40,35 @@ SQL = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op6_line_dedup": r"""
+        WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+        lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM cut),
+        keys AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+        bad AS (SELECT key FROM keys WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (bad.key IS NOT NULL) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (bad.key IS NULL), '')) AS kept_sha256
+        FROM keys LEFT JOIN bad ON keys.key = bad.key GROUP BY doc_id""",
+    "op7_source_mixing": r"""
+        WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+                       FROM documents),
+        sums AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+        ranked AS (SELECT *, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS weight FROM sums),
+        filled AS (SELECT *, 3 * source_size AS most FROM ranked WHERE source_size > 0),
+        before AS (SELECT *, sum(most) OVER () / 3 - coalesce(sum(most) OVER w, 0) AS free,
+                          sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS rest
+                   FROM filled WINDOW w AS (ORDER BY most::DOUBLE / weight, source IS NULL, source
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        share AS (SELECT free, rest FROM before WHERE free::DOUBLE * weight::DOUBLE / rest::DOUBLE <= most
+                  ORDER BY most::DOUBLE / weight, source IS NULL, source LIMIT 1),
+        targets AS (SELECT source, source_size, CASE WHEN source_size = 0 THEN 0.0 ELSE
+                           least((SELECT free FROM share)::DOUBLE * weight::DOUBLE / (SELECT rest FROM share)::DOUBLE,
+                                 (3 * source_size)::DOUBLE) END AS target FROM ranked),
+        rated AS (SELECT doc_id, size, source_size, target,
+                         CASE WHEN source_size = 0 THEN 0.0 ELSE target / source_size END AS rate,
+                         ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE
+                         / 4503599627370496.0 AS draw
+                  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+        SELECT doc_id, size, source_size, target,
+               (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM rated""",
 }
