@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .exact_dedup import exact_groups
 from .line_dedup import drop_lines
 from .mixing import mix
+from .simhash import near_groups
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +29,16 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, radius=2)
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_source_mixing": op7_source_mixing,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
 SQL = {
