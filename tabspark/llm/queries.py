@@ -9,6 +9,7 @@ from .exact_dedup import exact_groups
 from .line_dedup import drop_lines
 from .mixing import mix
 from .simhash import near_groups
+from .substring_dedup import remove_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,8 +35,14 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=13)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
@@ -47,6 +54,18 @@ SQL = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op4_substring_dedup": r"""
+        WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(len(w) - 12)) AS s FROM words WHERE len(w) >= 13),
+        windows AS (SELECT doc_id, s, array_to_string(w[s + 1:s + 13], ' ') AS seq FROM starts),
+        marked AS (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY seq) AS first FROM windows),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS i FROM marked WHERE first < doc_id),
+        one AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM words),
+        kept AS (SELECT one.doc_id, count(*) FILTER (gone.i IS NOT NULL) AS n_removed,
+                        string_agg(word, ' ' ORDER BY one.i) FILTER (gone.i IS NULL) AS text
+                 FROM one LEFT JOIN gone ON one.doc_id = gone.doc_id AND one.i = gone.i GROUP BY one.doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM words LEFT JOIN kept USING (doc_id)""",
     "op6_line_dedup": r"""
         WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
         lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM cut),
