@@ -77,7 +77,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+def drop_stages(*staged: DataFrame) -> None:
+    """Delete the files of staged tables that nothing will read any more."""
+    for df in staged:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stage_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cache(df: DataFrame) -> DataFrame:
