@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import drop_stages, stage
 from .arrow import text_bytes, text_slices
 from .mph import mix
 
@@ -195,7 +195,10 @@ def free_shuffles(spark) -> None:
 
 
 def removals(docs: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(doc_id, anchor, context, mask): windows to remove of a document's occurrences, bit i the i-th window."""
+    """(doc_id, anchor, context, mask): windows to remove of a document's occurrences, bit i the i-th window.
+
+    The result is written; what led to it is deleted.
+    """
     spark = docs.sparkSession
     seeds = stage(occurrences(docs, length, anchor).groupBy("anchor")
                   .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
@@ -205,7 +208,7 @@ def removals(docs: DataFrame, length: int, anchor: int) -> DataFrame:
     free_shuffles(spark)
     classes = stage(found.groupBy("anchor", "context").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "classes")
     mixed = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    windows = stage(class_windows(docs, classes.join(mixed, "anchor"), length, anchor).distinct(), "windows")
+    windows = stage(class_windows(docs, classes.join(mixed, "anchor"), length, anchor), "windows")
     free_shuffles(spark)
     earliest = windows.groupBy("anchor", "window").agg(F.min("first").alias("least"))
     part = (windows.join(earliest, ["anchor", "window"]).filter("least < first")
@@ -213,15 +216,17 @@ def removals(docs: DataFrame, length: int, anchor: int) -> DataFrame:
             .select(F.col("first").alias("doc_id"), "anchor", "context", "mask"))
     whole = (found.join(classes.filter("first < last").select("anchor", "context", "first"), ["anchor", "context"])
              .filter("doc_id > first").select("doc_id", "anchor", "context", F.lit(-1).cast("long").alias("mask")))
-    return whole.unionByName(part)
+    gone = stage(whole.unionByName(part), "removals")
+    drop_stages(seeds, found, classes, windows)
+    free_shuffles(spark)
+    return gone
 
 
 def remove_repeats(docs: DataFrame, length: int = 13, anchor: int = 5) -> DataFrame:
     """``docs`` with text cut to its kept words (joined by one space), plus n_words and n_removed."""
     if not 1 <= anchor <= length <= 63 + anchor:
         raise ValueError("need 1 <= anchor <= length <= anchor + 63")
-    gone = stage(removals(docs, length, anchor), "removals")
-    free_shuffles(docs.sparkSession)
+    gone = removals(docs, length, anchor)
     per_doc = gone.groupBy(F.col("doc_id").alias("__id")).agg(
         F.collect_list(F.struct("anchor", "context", "mask")).alias("of"))
     keep = [c for c in docs.columns if c not in ("n_words", "n_removed")]
