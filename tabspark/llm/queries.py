@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe
 from .exact_dedup import exact_groups
 from .line_dedup import drop_lines
 from .mixing import mix
@@ -40,12 +41,22 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    words = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    rows = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), *words).drop("text")
+    return bpe.decode(rows, *words).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 SQL = {
