@@ -38,8 +38,8 @@ from ..session import drop_stages, stage
 from .arrow import text_bytes, text_slices
 from .mph import mix
 
-SLICE = 2 << 20
-PIECE = 4 << 20
+SLICE = 256 << 10
+PIECE = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BYTE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64)
