@@ -145,7 +145,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
                 [*part.columns, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                 names=[*keep, "n_tokens", "ids"])
 
-    return rows.mapInArrow(run, StructType(rows.schema.fields).add("n_tokens", "long").add("ids", "binary"))
+    return rows.mapInArrow(run, StructType(list(rows.schema.fields)).add("n_tokens", "long").add("ids", "binary"))
 
 
 def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
@@ -162,4 +162,4 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
                 raw = [codec.value.decode(x) if x else b"" for x in few.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*few.columns, pa.array(raw, pa.binary())], names=[*keep, "decoded"])
 
-    return rows.mapInArrow(run, StructType(rows.schema.fields).add("decoded", "binary"))
+    return rows.mapInArrow(run, StructType(list(rows.schema.fields)).add("decoded", "binary"))
