@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, language_id, toxicity
 from .exact_dedup import exact_groups
 from .line_dedup import drop_lines
 from .mixing import mix
+from .sampling import held_out
 from .simhash import near_groups
 from .substring_dedup import remove_repeats
 
@@ -21,6 +22,13 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out())
+    labels = _table(spark, sf_dir, "labels").filter(~held_out())
+    model = toxicity.fit(docs.filter("not held_out"), labels)
+    return toxicity.score(docs, model, threshold=0.3).drop("text")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = drop_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -36,6 +44,12 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    model = language_id.fit(docs.filter("not held_out"))
+    return language_id.identify(docs.select("doc_id", "text", "held_out"), model).drop("text")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=13)
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -52,7 +66,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
