@@ -344,4 +344,4 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
 
-    return rows.mapInArrow(run, StructType(list(rows.schema.fields)).add("score", "double").add("predicted", "int"))
+    return rows.mapInArrow(run, StructType(list(rows.schema.fields)).add("score", "double").add("predicted", "integer"))
