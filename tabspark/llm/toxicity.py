@@ -169,15 +169,15 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0) ->
     return w[:-1], float(w[-1])
 
 
-def _logistic(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Platt's logistic of the margins, with his smoothed targets."""
+def _logistic(m: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[float, float]:
+    """Platt's logistic of the margins, with his smoothed targets; row i counts ``times[i]``."""
     pos, neg = y.sum(), (1 - y).sum()
     t = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     a, b = 1.0, 0.0
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * m + b, -30, 30)))
-        g = np.array([((p - t) * m).sum() + 1e-3 * a, (p - t).sum()])
-        s = np.maximum(p * (1 - p), 1e-9)
+        g = np.array([(times * (p - t) * m).sum() + 1e-3 * a, (times * (p - t)).sum()])
+        s = times * np.maximum(p * (1 - p), 1e-9)
         h = np.array([[(s * m * m).sum() + 1e-3, (s * m).sum()], [(s * m).sum(), s.sum() + 1e-9]])
         step = np.linalg.solve(h, g)
         a, b = a - step[0], b - step[1]
@@ -186,14 +186,16 @@ def _logistic(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def _bar(clean: np.ndarray, toxic: np.ndarray, ratio: float = 20.0) -> float:
+def _bar(value: np.ndarray, held: list[np.ndarray], n: list[int], ratio: float = 20.0) -> float:
     """Lowest value above which words are ``ratio`` times as frequent in toxic texts as in clean ones."""
-    both = np.concatenate((clean, toxic))
-    order = np.argsort(-both, kind="stable")
-    mark = np.concatenate((np.zeros(len(clean), bool), np.ones(len(toxic), bool)))[order]
-    t, c = np.cumsum(mark) / max(1, len(toxic)), (np.cumsum(~mark) + 1) / max(1, len(clean))
+    order = np.argsort(-value, kind="stable")
+    t, c = np.cumsum(held[1][order]) / n[1], (np.cumsum(held[0][order]) + 1) / n[0]
     good = np.flatnonzero(t >= ratio * c)
-    return float(both[order[good[-1]]]) if len(good) else float(both.max())
+    return float(value[order[good[-1]]]) if len(good) else float(value.max())
+
+
+def _most(at: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return at[np.argsort(-count[at], kind="stable")]
 
 
 def _distinct(texts: list[str], toxic: np.ndarray) -> list[int]:
@@ -209,9 +211,11 @@ def _distinct(texts: list[str], toxic: np.ndarray) -> list[int]:
     return kept
 
 
-def train(texts: list[str], toxic: np.ndarray, landmarks: int = 400, rounds: int = 4, seed: int = 5) -> Model:
-    """Fit on labelled texts (a bounded sample)."""
+def train(texts: list[str], toxic: np.ndarray, landmarks: int = 300, rounds: int = 4, seed: int = 5,
+          totals: tuple[int, int] | None = None) -> Model:
+    """Fit on labelled texts (a bounded sample); ``totals``: the rows of label 0 and 1 that they stand for."""
     toxic = np.asarray(toxic, np.int64)
+    stands = np.ones(2) if totals is None else np.array(totals) / np.maximum(np.bincount(toxic, minlength=2), 1)
     if len(texts) == 0 or toxic.min() == toxic.max():
         return Model(None, 0, 0, 0, flat=float(toxic.mean()) if len(texts) else 0.0)
     own = _distinct(texts, toxic)
@@ -223,80 +227,85 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = 400, rounds: int
         for k in (0, 1):  # a half of each label for the SVM, the other for the logistic
             at = np.flatnonzero(toxic == k)
             part[at] = np.arange(len(at)) % 2 == 0
-    sentences = [(s, i) for i in np.flatnonzero(part) for s in SENTENCE.findall(texts[i])]
-    codes, starts, owner = encode_words([s for s, _ in sentences])
-    doc = np.array([i for _, i in sentences], np.int64)[owner]
-    label = toxic[doc]
-    size = _sizes(codes, starts)
-    # how far a subsequence's share of the toxic texts lies above that of the clean ones, in standard errors
-    row = np.repeat(doc, size + 1)
-    seen = np.unique(np.concatenate([row[inside] * CLASSES ** 3 + ids[inside] for _, inside, ids in _grams(codes)]))
-    tox_of = toxic[seen // CLASSES ** 3]
-    gram = seen % CLASSES ** 3
+    # distinct words of the labelled sentences, the texts that hold them, and texts of each label by subsequence
+    names: dict[bytes, int] = {}
+    count = [np.zeros(CLASSES ** 3, np.int64) for _ in (0, 1)]
+    pairs = []
+    for i in np.flatnonzero(part):
+        codes, starts, _ = encode_words(SENTENCE.findall(texts[i]))
+        if len(starts):
+            raw, ends = codes.tobytes(), np.append(starts[1:], len(codes) - SPAN).tolist()
+            own = np.unique([names.setdefault(raw[a + 1:b], len(names)) for a, b in zip(starts.tolist(), ends)])
+            pairs.append((own.astype(np.int32), np.full(len(own), toxic[i], np.int8)))
+            count[toxic[i]][np.unique(np.concatenate([ids[inside] for _, inside, ids in _grams(codes)]))] += 1
     n = [max(1, int(np.sum((toxic == k) & part))) for k in (0, 1)]
-    count = [np.bincount(gram[tox_of == k], minlength=CLASSES ** 3) for k in (0, 1)]
+    if not names:
+        return Model(None, 0, 0, 0, flat=float(toxic.mean()))
+    word, label = (np.concatenate(x) for x in zip(*pairs))
+    held = [np.bincount(word[label == k], minlength=len(names)) for k in (0, 1)]
+    words = list(names)
+    # how far a subsequence's share of the toxic texts lies above that of the clean ones, in standard errors
     both = (count[0] + count[1] + 1) / (n[0] + n[1] + 2)
     z = (count[1] / n[1] - count[0] / n[0]) / np.sqrt(both * (1 - np.minimum(both, 0.999)) * (1 / n[0] + 1 / n[1]))
     weight = np.sign(z) * np.maximum(np.abs(z) - 2, 0)
-    value = word_values(codes, starts, weight)
-    # distinct words with the number of toxic and clean texts that hold them
-    names, word = np.unique([bytes(codes[a + 1:a + 1 + k]) for a, k in zip(starts, size)], return_inverse=True)
-    pair = np.unique(word * len(texts) + doc)
-    held = [np.bincount(pair[toxic[pair % len(texts)] == k] // len(texts), minlength=len(names)) for k in (0, 1)]
-    telling = (held[1] * n[0] >= 10 * held[0] * n[1])[word] & (label == 1)
-    other = rng.choice(np.flatnonzero(label == 0), min(8000, int((label == 0).sum())), replace=False)
+    value = _values(words, weight)
+    telling = (held[1] > 0) & (held[1] * n[0] >= 10 * held[0] * n[1])
+    clean = np.flatnonzero(held[0] > 0)
     # so many toxic texts and no clean one are no chance
-    enough = max(2.0, np.log(1e-3) / np.log(n[1] / (n[0] + n[1])))
-    bias, hard = 0.0, np.zeros(0, np.int64)
+    enough = max(2.0, np.log(1e-5) / np.log(n[1] / (n[0] + n[1])))
+    other = rng.choice(clean, min(8000, len(clean)), replace=False)
+    bias, hard, first = 0.0, np.zeros(0, np.int64), np.zeros(len(words), bool)
     for step in range(rounds):
-        clean = value[label == 0]
         if step == 0:
-            high = _bar(clean, value[label == 1])
-            carries = (value > high) | (held[1][word] >= enough) & (value > np.quantile(clean, 0.99))
+            carries = (value > _bar(value, held, n)) & (held[1] >= n[1] / 500) | (held[1] >= enough) & (value > np.quantile(value[clean], 0.99))
         else:
-            carries = first | (held[1][word] >= enough) & (value > 0)
+            carries = first | (held[1] >= enough) & (value > 0)
         first = carries & telling
-        carriers = np.flatnonzero(first)
-        if not len(carriers):
-            carriers = np.flatnonzero(label == 1)[np.argsort(-value[label == 1])[:50]]
+        if not first.any():
+            first[np.argsort(-np.where(telling, value, -np.inf))[:50]] = True
+        pos = _most(np.flatnonzero(first), held[1])[:6000]
         # clean words closest to the label-carrying ones join those of the rounds before
-        hard = np.union1d(hard, np.flatnonzero(label == 0)[np.argsort(-clean)[:4000]])
-
-        def words(at, k):
-            """The distinct words, those of most texts of label k first."""
-            of = np.unique(word[at])
-            return {names[i]: int(held[k][i]) for i in of[np.argsort(-held[k][of], kind="stable")]}
-
-        pos = dict(list(words(carriers, 1).items())[:6000])
-        neg = [w for w in words(np.concatenate((hard, other)), 0) if w not in pos]
-        if not neg:
+        near = clean[np.argsort(-value[clean])[:3000]]
+        hard = np.union1d(hard, near)
+        neg = np.setdiff1d(np.union1d(hard, other), pos)
+        if not len(neg):
             break
-        near = [w for w in words(np.flatnonzero(label == 0)[np.argsort(-clean)[:4000]], 0) if w not in pos]
-        z = [*list(pos)[:landmarks // 2], *near[:landmarks // 4]]
-        z += [w for w in (neg[i] for i in rng.permutation(len(neg))) if w not in set(z)][:landmarks - len(z)]
-        weight, bias = _nystroem(list(pos), np.sqrt(np.array(list(pos.values()), np.float64)), neg, z)
-        value = word_values(codes, starts, weight) + bias
+        land = [*pos[:landmarks // 2], *np.setdiff1d(_most(near, held[0]), pos)[:landmarks // 4]]
+        land += [w for w in rng.permutation(neg) if w not in set(land)][:landmarks - len(land)]
+        of = lambda at: [words[i] for i in at]
+        weight, bias = _nystroem(of(pos), np.sqrt(held[1][pos].astype(np.float64)), of(neg), of(land))
+        value = _values(words, weight) + bias
     model = Model(weight, bias, 1.0, 0.0)
     rest = np.flatnonzero(~part) if not part.all() else np.arange(len(texts))
-    m = model.margins([texts[i] for i in rest])
+    m = np.concatenate([model.margins([texts[i] for i in rest[k:k + 100]]) for k in range(0, len(rest), 100)])
     use = np.isfinite(m)
-    model.slope, model.shift = _logistic(m[use], toxic[rest][use])
+    model.slope, model.shift = _logistic(m[use], toxic[rest][use], stands[toxic[rest][use]])
     return model
 
 
-def _embed(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(normalised feature vectors, the subsequences they stand for) of words given as classes."""
+def _laid_out(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, starts) of words given as classes, as encode_words lays them out."""
     codes = np.frombuffer(b"".join(b"\0" + w for w in words) + b"\0" * SPAN, np.uint8)
-    starts = np.flatnonzero(codes[:len(codes) - SPAN] == 0)
+    return codes, np.flatnonzero(codes[:len(codes) - SPAN] == 0)
+
+
+def _values(words: list[bytes], weight: np.ndarray, block: int = 50_000) -> np.ndarray:
+    return np.concatenate([word_values(*_laid_out(words[i:i + block]), weight) for i in range(0, len(words), block)])
+
+
+def _embed(words: list[bytes], seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(normalised feature vectors, subsequences they stand for); with ``seen``, of those subsequences alone."""
+    codes, starts = _laid_out(words)
     size = _sizes(codes, starts)
     row = np.repeat(np.arange(len(words)), size + 1)
-    used, cols = [], []
-    for w, inside, ids in _grams(codes):
-        used.append((w, row[inside], ids[inside]))
-    seen = np.unique(np.concatenate([ids for _, _, ids in used]))
+    used = [(w, row[inside], ids[inside]) for w, inside, ids in _grams(codes)]
+    if seen is None:
+        seen = np.unique(np.concatenate([ids for _, _, ids in used]))
     out = np.zeros((len(words), len(seen)), np.float32)
     for w, r, ids in used:
-        np.add.at(out, (r, np.searchsorted(seen, ids)), np.float32(w))
+        at = np.minimum(np.searchsorted(seen, ids), len(seen) - 1)
+        known = seen[at] == ids
+        np.add.at(out, (r[known], at[known]), np.float32(w))
     return out / _self(size)[:, None].astype(np.float32), seen
 
 
@@ -307,28 +316,28 @@ def _nystroem(pos: list[bytes], times: np.ndarray, neg: list[bytes], z: list[byt
     val, vec = np.linalg.eigh(kzz)
     root = vec * np.where(val > 1e-6 * val.max(), 1 / np.sqrt(np.maximum(val, 1e-12)), 0)  # K^-1/2 up to rotation
     feats = []
-    table = np.zeros((CLASSES ** 3, len(z)), np.float32)
-    table[seen] = land.T
     for group in (pos, neg):
         rows = []
         for i in range(0, len(group), 500):
-            own, ids = _embed(group[i:i + 500])
-            rows.append(own @ table[ids])
+            rows.append(_embed(group[i:i + 500], seen)[0] @ land.T)
         feats.append(np.vstack(rows).astype(np.float64) @ root)
     x = np.vstack(feats)
     y = np.concatenate((np.ones(len(pos)), -np.ones(len(neg))))
     # words carried by many texts cost more; the label-carrying words together as much as the others
     cost = 5.0 * np.concatenate((times * max(1.0, len(neg) / times.sum()), np.ones(len(neg))))
     w, bias = _svm(x, y, cost)
-    return table @ (root @ w).astype(np.float32).astype(np.float64), bias
+    weight = np.zeros(CLASSES ** 3)
+    weight[seen] = (root @ w) @ land
+    return weight, bias
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_chars: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 5000, max_chars: int = 20_000) -> Model:
     """Learn from the texts that ``labels`` marks (toxic 0 or 1); a bounded sample, see the parameters."""
     marked = labels.filter("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     rows = docs.filter(F.char_length("text") <= max_chars).select("doc_id", "text").join(marked, "doc_id")
-    sample, _ = sample_per_class(rows, "toxic", per_class)
-    return train([r["text"] for r in sample], np.array([r["toxic"] for r in sample], np.int64))
+    sample, counts = sample_per_class(rows, "toxic", per_class)
+    return train([r["text"] for r in sample], np.array([r["toxic"] for r in sample], np.int64),
+                 totals=(counts.get(0, 0), counts.get(1, 0)))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
