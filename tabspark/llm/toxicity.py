@@ -16,8 +16,8 @@ subsequence, and scoring a text is a table look-up for each gap pattern.  A
 text's margin is that of its worst word, so long texts aren't diluted; a
 logistic fitted on texts outside the SVM's half of the sample makes it a score.
 
-Scale: texts are read once and stay in their task; labels are joined by id for
-the sample alone.  The fit sees at most ``per_class`` labelled texts of each
+Scale: texts are scored in the task that reads them; the sample is drawn from ids
+and labels, and only its texts are fetched.  The fit sees at most ``per_class`` labelled texts of each
 label of up to ``max_chars`` characters (parameters); texts are scored whole.
 
 Defined results: a null or empty text, or one without words, scores like the
@@ -334,9 +334,12 @@ def _nystroem(pos: list[bytes], times: np.ndarray, neg: list[bytes], z: list[byt
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 5000, max_chars: int = 20_000) -> Model:
     """Learn from the texts that ``labels`` marks (toxic 0 or 1); a bounded sample, see the parameters."""
     marked = labels.filter("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    rows = docs.filter(F.char_length("text") <= max_chars).select("doc_id", "text").join(marked, "doc_id")
+    rows = docs.filter(F.char_length("text") <= max_chars).select("doc_id").join(marked, "doc_id")
     sample, counts = sample_per_class(rows, "toxic", per_class)
-    return train([r["text"] for r in sample], np.array([r["toxic"] for r in sample], np.int64),
+    # the sampled ids are bounded by the parameter; texts are fetched for them alone, without a shuffle
+    ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in sample], "doc_id long, toxic int")
+    picked = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").orderBy("doc_id").collect()
+    return train([r["text"] for r in picked], np.array([r["toxic"] for r in picked], np.int64),
                  totals=(counts.get(0, 0), counts.get(1, 0)))
 
 
