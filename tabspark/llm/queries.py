@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, language_id, toxicity
+from .embedding_dedup import near_vectors
 from .exact_dedup import exact_groups
 from .line_dedup import drop_lines
 from .mixing import mix
+from .pii import pseudonymise
 from .sampling import held_out
 from .simhash import near_groups
 from .substring_dedup import remove_repeats
@@ -44,6 +46,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), threshold=0.93)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", held_out())
     model = language_id.fit(docs.filter("not held_out"))
@@ -55,6 +61,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), key="public example key")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -66,12 +76,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_pii": op9_pii,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
@@ -81,6 +93,16 @@ SQL = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op2_embedding_near_dedup": r"""
+        WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.label = b.label AND a.vec_id <> b.vec_id
+                  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+        many AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+               vec_id = coalesce(component_id, vec_id) AS kept
+        FROM embeddings LEFT JOIN many ON vec_id = many.a LEFT JOIN least ON vec_id = least.a""",
     "op4_substring_dedup": r"""
         WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         starts AS (SELECT doc_id, w, unnest(range(len(w) - 12)) AS s FROM words WHERE len(w) >= 13),
