@@ -29,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import stage
 from .components import components
@@ -101,7 +102,6 @@ def _cells(items: DataFrame, rotation, width: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(dims), pa.array(cell[:, 0]), pa.array(cell[:, 1])],
                                                  names=[*part.schema.names, "d", "x", "y"])
 
-    from pyspark.sql.types import StructType
     schema = StructType(list(items.schema.fields)).add("d", "integer").add("x", "long").add("y", "long")
     return items.mapInArrow(run, schema)
 
@@ -214,7 +214,7 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93) -> DataFrame:
     rooted = (distinct.select("key", "least", "many").join(links, "key", "left").join(roots, F.col("key") == F.col("node"), "left")
               .select("key", "least", (F.col("many") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "key").alias("root")))
     rooted = stage(rooted, "rooted")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     decisions = stage(rooted.join(least, "root").select("key", "n_links", "component_id"), "decisions")
     out = items.select("vec_id", "key").join(decisions, "key", "left")
     group = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))

@@ -156,9 +156,9 @@ def exact_groups(docs: DataFrame, historical=None) -> DataFrame:
 def exact_dedup(docs: DataFrame, historical=None) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns only."""
     _, decisions = decide(docs, historical)
-    d, k, r = "__digest", "__keep", "__row"
-    keep = decisions.select(F.col("digest").alias(d), F.col("keep_id").alias(k))
-    rows = docs.withColumn(d, digest_of(F.col("text")))
-    rows = rows.join(keep, (rows[d] == keep[d]) & rows["doc_id"].eqNullSafe(keep[k]), "left_semi")
-    one = Window.partitionBy("doc_id", d).orderBy(F.lit(1))
+    text_of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    d, i, r = "__digest", "__id", "__row"
+    keep = decisions.select(F.col("digest").alias(d), text_of("keep_id").alias(i))
+    rows = docs.withColumn(d, digest_of(F.col("text"))).withColumn(i, text_of("doc_id")).join(keep, [d, i], "left_semi")
+    one = Window.partitionBy(d, i).orderBy(F.lit(1))
     return rows.withColumn(r, F.row_number().over(one)).filter(F.col(r) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -265,9 +265,9 @@ def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame
     rows = stage(fingerprints(docs, shingle), "fingerprints")
     distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(links(distinct, radius))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = stage(distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
+    least = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     decisions = stage(rooted.join(least, "root").select("fp", "component_id"), "decisions")
     return rows.join(decisions, "fp").select("doc_id", "fp", "component_id")
 

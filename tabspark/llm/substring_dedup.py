@@ -228,12 +228,12 @@ def remove_repeats(docs: DataFrame, length: int = 13, anchor: int = 5) -> DataFr
         raise ValueError("need 1 <= anchor <= length <= anchor + 63")
     gone = removals(docs, length, anchor)
     per_doc = gone.groupBy(F.col("doc_id").alias("__id")).agg(
-        F.collect_list(F.struct("anchor", "context", "mask")).alias("of"))
+        F.collect_list(F.struct("anchor", "context", "mask")).alias("__of"))
     keep = [c for c in docs.columns if c not in ("n_words", "n_removed")]
     rows = docs.select(*[F.col(f"`{c}`") for c in keep]).join(
         per_doc, F.col("doc_id").cast("long") == F.col("__id"), "left").select(
-        *[F.col(f"`{c}`") for c in keep], F.col("of.anchor").alias("__anchor"), F.col("of.context").alias("__context"),
-        F.col("of.mask").alias("__mask"))
+        *[F.col(f"`{c}`") for c in keep], F.col("__of.anchor").alias("__anchor"), F.col("__of.context").alias("__context"),
+        F.col("__of.mask").alias("__mask"))
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("n_words", "long").add("n_removed", "long")
     at = keep.index("text")
 
