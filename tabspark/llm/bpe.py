@@ -35,7 +35,7 @@ from pyspark.sql.types import StructType
 from . import mph
 from .arrow import text_slices
 
-MEMO = 600_000
+MEMO = 200_000
 SLICE = 1 << 20
 
 

@@ -37,7 +37,7 @@ from .sampling import sample_per_class
 
 UND = "und"
 BLOCK = 1024
-SLICE = 4 << 20
+SLICE = 2 << 20
 FLAG = -(1 << 31)
 LETTER = regex.compile(r"\p{L}")
 
