@@ -44,11 +44,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens and ids (little-endian uint32), checked by decoding them again."""
-    words = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), *words), *words)
-    return coded.selectExpr("doc_id", "lang", "source", "n_tokens", "ids",
-                            "decoded = cast(coalesce(text, '') as binary) AS round_trip")
+    """doc_id, lang, source, n_tokens, ids (little-endian uint32) and whether they decode to the text."""
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path(VOCABULARY),
+                       public_tokenizers.PATTERN, verify=True)
+    return coded.drop("text")
 
 
 STAGES = [

@@ -130,22 +130,31 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """``docs`` plus n_tokens and ids (binary: little-endian uint32), from the text column."""
+def encode(docs: DataFrame, vocabulary: str, pattern: str, verify: bool = False) -> DataFrame:
+    """``docs`` plus n_tokens and ids (binary: little-endian uint32), from the text column.
+
+    With ``verify`` the ids are decoded in the same pass: round_trip says whether they give the text.
+    """
     spark = docs.sparkSession
     codec = spark.sparkContext.broadcast(Codec(read_ranks(vocabulary), pattern))
-    keep = [c for c in docs.columns if c not in ("n_tokens", "ids")]
+    more = ["n_tokens", "ids", *(["round_trip"] if verify else [])]
+    keep = [c for c in docs.columns if c not in more]
     rows = docs.select(*[F.col(f"`{c}`") for c in keep])
     at = keep.index("text")
+    schema = StructType(list(rows.schema.fields)).add("n_tokens", "long").add("ids", "binary")
+    if verify:
+        schema = schema.add("round_trip", "boolean")
 
     def run(batches):
         for part in text_slices(batches, limit=SLICE):
-            ids = codec.value.encode(part.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=[*keep, "n_tokens", "ids"])
-
-    return rows.mapInArrow(run, StructType(list(rows.schema.fields)).add("n_tokens", "long").add("ids", "binary"))
+            texts = part.column(at).to_pylist()
+            ids = codec.value.encode(texts)
+            out = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            if verify:
+                out.append(pa.array([codec.value.decode(x) == (t or "").encode() for x, t in zip(ids, texts)]))
+            yield pa.RecordBatch.from_arrays([*part.columns, *out], names=[*keep, *more])
+
+    return rows.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
