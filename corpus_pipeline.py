@@ -22,10 +22,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; a null text or one without a letter (``und``) goes."""
     model = language_id.fit(docs.filter(~held_out()))
-    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    rows = named.withColumnRenamed(f"c{docs.columns.index('text')}", "text")
-    kept = language_id.identify(rows, model).filter(f"lang_pred <> '{language_id.UND}'").select(*rows.columns)
-    return kept.toDF(*docs.columns)
+    return language_id.identify(docs, model).filter(f"lang_pred <> '{language_id.UND}'").select(
+        *[f"`{c}`" for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from . import mph
-from .arrow import text_slices
+from .arrow import map_slices
 
 MEMO = 200_000
 SLICE = 1 << 20
@@ -137,38 +137,34 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, verify: bool = False)
     """
     spark = docs.sparkSession
     codec = spark.sparkContext.broadcast(Codec(read_ranks(vocabulary), pattern))
-    more = ["n_tokens", "ids", *(["round_trip"] if verify else [])]
-    keep = [c for c in docs.columns if c not in more]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep])
-    at = keep.index("text")
-    schema = StructType(list(rows.schema.fields)).add("n_tokens", "long").add("ids", "binary")
+    added = StructType().add("n_tokens", "long").add("ids", "binary")
     if verify:
-        schema = schema.add("round_trip", "boolean")
+        added = added.add("round_trip", "boolean")
 
-    def run(batches):
-        for part in text_slices(batches, limit=SLICE):
-            texts = part.column(at).to_pylist()
-            ids = codec.value.encode(texts)
-            out = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
-            if verify:
-                out.append(pa.array([codec.value.decode(x) == (t or "").encode() for x, t in zip(ids, texts)]))
-            yield pa.RecordBatch.from_arrays([*part.columns, *out], names=[*keep, *more])
+    def run(part, column):
+        texts = column.to_pylist()
+        ids = codec.value.encode(texts)
+        out = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+        if verify:
+            out.append(pa.array([codec.value.decode(x) == (t or "").encode() for x, t in zip(ids, texts)], pa.bool_()))
+        return out
 
-    return rows.mapInArrow(run, schema)
+    return map_slices(docs, run, added, SLICE)
 
 
 def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """``encoded`` plus decoded: the bytes that its ids stand for."""
     codec = encoded.sparkSession.sparkContext.broadcast(Codec(read_ranks(vocabulary), pattern))
     keep = [c for c in encoded.columns if c != "decoded"]
-    rows = encoded.select(*[F.col(f"`{c}`") for c in keep])
+    rows = encoded.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)])
     at = keep.index("ids")
+    schema = StructType(list(rows.schema.fields)).add("decoded", "binary")
 
     def run(batches):
         for part in batches:
             for i in range(0, part.num_rows, 256):
                 few = part.slice(i, 256)
                 raw = [codec.value.decode(x) if x else b"" for x in few.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*few.columns, pa.array(raw, pa.binary())], names=[*keep, "decoded"])
+                yield pa.RecordBatch.from_arrays([*few.columns, pa.array(raw, pa.binary())], names=schema.names)
 
-    return rows.mapInArrow(run, StructType(list(rows.schema.fields)).add("decoded", "binary"))
+    return rows.mapInArrow(run, schema).toDF(*keep, "decoded")

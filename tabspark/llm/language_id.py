@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .arrow import text_slices
+from .arrow import map_slices
 from .sampling import sample_per_class
 
 UND = "und"
@@ -173,15 +173,8 @@ def fit(docs: DataFrame, docs_per_language: int = 40, chars_per_doc: int = 2000,
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` plus lang_pred and score, from the text column alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep])
-    at = keep.index("text")
-
-    def run(batches):
-        for part in text_slices(batches, limit=SLICE):
-            langs, scores = shared.value.predict(part.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*keep, "lang_pred", "score"])
-
-    return rows.mapInArrow(run, StructType(list(rows.schema.fields)).add("lang_pred", "string").add("score", "double"))
+    def run(part, column):
+        langs, scores = shared.value.predict(column.to_pylist())
+        return [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+
+    return map_slices(docs, run, StructType().add("lang_pred", "string").add("score", "double"), SLICE)

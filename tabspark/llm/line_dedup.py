@@ -116,11 +116,13 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batche
           .select("row", "pos", line_hash(F.col("col")).alias("hash"))
           .join(bad, "hash")
           .groupBy("row").agg(F.collect_set("pos").alias("__drop")))
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    rows = docs.select(*rest, row_id().alias("__row"), lines_of(F.col("text")).alias("__lines"))
+    rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    plain = [f"c{i}" for i in range(len(rest))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(rest, plain)], row_id().alias("__row"),
+                       lines_of(F.col("text")).alias("__lines"))
     keep = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__drop"))
     kept = F.transform(keep, lambda i: F.get(F.col("__lines"), i))
     return rows.join(at.withColumnRenamed("row", "__row"), "__row", "left").select(
-        *rest, F.array_join(F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(kept), "\n").alias("text"),
+        *plain, F.array_join(F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(kept), "\n").alias("text"),
         F.size("__lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"))
+        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped")).toDF(*rest, "text", "n_lines", "n_dropped")

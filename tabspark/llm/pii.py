@@ -9,8 +9,8 @@ linked across documents, different ones stay different, and a pseudonym passes
 the same validation as its original.
 
 Kinds: email (letters and digits of the local part), ipv4, card (13 to 19
-digits, last one the Luhn digit), ssn, phone (North American; area and exchange
-codes keep a first digit of 2 to 9) and date (yyyy-mm-dd, mm/dd/yyyy,
+digits, last one the Luhn digit), ssn, phone (North American; the first digit of an area
+or exchange code stays in 2 to 9, or as it is if not) and date (yyyy-mm-dd, mm/dd/yyyy,
 dd.mm.yyyy; days are permuted in blocks of 72,960 days).
 
 Scale: one projection of built-in functions; nothing is shuffled, the JVM's
@@ -33,12 +33,12 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-PHONE = (r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])"
-         r"[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])")
+PHONE = (r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])"
+         r"[0-9]{3}[ .-][0-9]{4}(?![0-9])")
 DATE = (r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])"
         r"|(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9]|\.[0-9])")
 ANY = "|".join([EMAIL, IPV4, SSN, PHONE, CARD, DATE])
-FIRST, LETTERS = "23456789", "ABCDEFGH"
+FIRST, LETTERS = "0123456789", "!#ABCDEFGH"
 BLOCK_L, BLOCK_R = 256, 285  # 72,960 days
 SERIALS = 9999
 
@@ -140,7 +140,7 @@ def _ssn(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    start = F.length(F.regexp_extract(m, r"^(?:\+?1[ .-]?(?=[(2-9]))?", 0)) + 1  # the country code stays
+    start = F.length(F.regexp_extract(m, r"^(?:\+?1[ .-]?(?=[(0-9]))?", 0)) + 1  # the country code stays
     own = F.substr(m, start)
     d = _digits(own)
     first = lambda at: F.translate(F.substring(d, at, 1), FIRST, LETTERS)

@@ -33,9 +33,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import drop_stages, stage
-from .arrow import text_bytes, text_slices
+from .arrow import as_bytes, map_slices, text_bytes, text_slices
 from .mph import mix
 
 SLICE = 256 << 10
@@ -230,47 +231,43 @@ def remove_repeats(docs: DataFrame, length: int = 13, anchor: int = 5) -> DataFr
     per_doc = gone.groupBy(F.col("doc_id").alias("__id")).agg(
         F.collect_list(F.struct("anchor", "context", "mask")).alias("__of"))
     keep = [c for c in docs.columns if c not in ("n_words", "n_removed")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep]).join(
-        per_doc, F.col("doc_id").cast("long") == F.col("__id"), "left").select(
-        *[F.col(f"`{c}`") for c in keep], F.col("__of.anchor").alias("__anchor"), F.col("__of.context").alias("__context"),
-        F.col("__of.mask").alias("__mask"))
-    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("n_words", "long").add("n_removed", "long")
-    at = keep.index("text")
-
-    def run(batches):
-        for part in text_slices(batches, limit=SLICE):
-            texts = text_bytes(part)
-            lists = [part.column(len(keep) + i) for i in range(3)]
-            hit = np.flatnonzero(lists[0].is_valid().to_numpy(zero_copy_only=False))
-            occ = Occurrences([texts[i] for i in hit], length, anchor)
-            cut = np.searchsorted(occ.text, np.arange(len(hit) + 1))
-            masks, mine = np.zeros(len(occ.text), np.int64), occ.key()
-            for j, i in enumerate(hit):
-                a, c, m = (x[int(i)].values.to_numpy() for x in lists)
-                keys = class_key(a.view(np.uint64), c.view(np.uint64))
-                order = np.argsort(keys)
-                own = mine[cut[j]:cut[j + 1]]
-                where = np.minimum(np.searchsorted(keys[order], own), len(keys) - 1)
-                masks[cut[j]:cut[j + 1]] = np.where(keys[order][where] == own, m[order][where], 0)
-            owner, offset, _ = occ.windows(np.flatnonzero(masks))
-            a = (occ.low[owner] + offset)[(masks[owner] >> offset) & 1 == 1]
-            level = np.zeros(len(occ.word) + 1, np.int64)
-            np.add.at(level, a, 1)
-            np.add.at(level, a + length, -1)
-            stays = np.cumsum(level[:-1]) == 0
-            of = dict(zip(hit.tolist(), range(len(hit))))
-            kept, n_words, n_removed = [], [], []
-            for i, t in enumerate(texts):
-                words = t.split()
-                n_words.append(len(words))
-                if i in of and len(words):
-                    b = int(occ.first_word[of[i]])
-                    words = list(itertools.compress(words, stays[b:b + len(words)].tolist()))
-                n_removed.append(n_words[-1] - len(words))
-                kept.append(b" ".join(words))
-            cols = [part.column(i) for i in range(len(keep))]
-            cols[at] = pa.array(kept, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())],
-                                             names=[*keep, "n_words", "n_removed"])
-
-    return rows.mapInArrow(run, schema)
+    plain = docs.select(*[F.col(f"`{c}`").alias("text" if c == "text" else f"c{i}") for i, c in enumerate(keep)],
+                        F.col("doc_id").cast("long").alias("__id"))
+    rows = plain.join(per_doc, "__id", "left").select(
+        *plain.columns[:-1], F.col("__of.anchor").alias("anchors"), F.col("__of.context").alias("contexts"), F.col("__of.mask").alias("masks"))
+
+    def run(part, column):
+        texts = as_bytes(column)
+        lists = [part.column(len(keep) + i) for i in range(3)]
+        hit = np.flatnonzero(lists[0].is_valid().to_numpy(zero_copy_only=False))
+        occ = Occurrences([texts[i] for i in hit], length, anchor)
+        cut = np.searchsorted(occ.text, np.arange(len(hit) + 1))
+        masks, mine = np.zeros(len(occ.text), np.int64), occ.key()
+        for j, i in enumerate(hit):
+            a, c, m = (x[int(i)].values.to_numpy() for x in lists)
+            keys = class_key(a.view(np.uint64), c.view(np.uint64))
+            order = np.argsort(keys)
+            own = mine[cut[j]:cut[j + 1]]
+            where = np.minimum(np.searchsorted(keys[order], own), len(keys) - 1)
+            masks[cut[j]:cut[j + 1]] = np.where(keys[order][where] == own, m[order][where], 0)
+        owner, offset, _ = occ.windows(np.flatnonzero(masks))
+        a = (occ.low[owner] + offset)[(masks[owner] >> offset) & 1 == 1]
+        level = np.zeros(len(occ.word) + 1, np.int64)
+        np.add.at(level, a, 1)
+        np.add.at(level, a + length, -1)
+        stays = np.cumsum(level[:-1]) == 0
+        of = dict(zip(hit.tolist(), range(len(hit))))
+        kept, n_words, n_removed = [], [], []
+        for i, t in enumerate(texts):
+            words = t.split()
+            n_words.append(len(words))
+            if i in of and len(words):
+                b = int(occ.first_word[of[i]])
+                words = list(itertools.compress(words, stays[b:b + len(words)].tolist()))
+            n_removed.append(n_words[-1] - len(words))
+            kept.append(b" ".join(words))
+        return {"text": pa.array(kept, pa.binary()).cast(pa.string()),
+                "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())}
+
+    out = map_slices(rows, run, StructType().add("n_words", "long").add("n_removed", "long"), SLICE)
+    return out.drop("anchors", "contexts", "masks").toDF(*keep, "n_words", "n_removed")

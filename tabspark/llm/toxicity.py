@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .arrow import text_slices
+from .arrow import map_slices
 from .sampling import sample_per_class
 
 CLASSES = 64
@@ -346,14 +346,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 5000, max_chars: in
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """``docs`` plus score and predicted, from the text column alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep])
-    at = keep.index("text")
+    def run(part, column):
+        s = shared.value.scores(column.to_pylist())
+        return [pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))]
 
-    def run(batches):
-        for part in text_slices(batches, limit=SLICE):
-            s = shared.value.scores(part.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
-
-    return rows.mapInArrow(run, StructType(list(rows.schema.fields)).add("score", "double").add("predicted", "integer"))
+    return map_slices(docs, run, StructType().add("score", "double").add("predicted", "integer"), SLICE)
