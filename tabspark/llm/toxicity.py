@@ -257,7 +257,8 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = 300, rounds: int
     bias, hard, first = 0.0, np.zeros(0, np.int64), np.zeros(len(words), bool)
     for step in range(rounds):
         if step == 0:
-            carries = (value > _bar(value, held, n)) & (held[1] >= n[1] / 500) | (held[1] >= enough) & (value > np.quantile(value[clean], 0.99))
+            carries = (value > _bar(value, held, n)) & (held[1] >= n[1] / 500) | (held[1] >= enough) & (
+                (held[0] == 0) | (value > np.quantile(value[clean], 0.99)))
         else:
             carries = first | (held[1] >= enough) & (value > 0)
         first = carries & telling
