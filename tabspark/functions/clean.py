@@ -45,7 +45,8 @@ def na_to_null(c) -> Column:
 
 # A text that casts to a number starts (after blanks and a sign) with a digit,
 # a dot, or one of the special literals; anything else is null without trying.
-_MAYBE_NUMBER = r"^\s*[+-]?([0-9.]|(?i:inf|infinity|nan)\s*$)"
+# the whole text is matched: Java literals such as 1d, 2f or 0x1p3 are no numbers.
+_MAYBE_NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\s*$"
 
 
 def to_number(c, dtype: str = "double") -> Column:

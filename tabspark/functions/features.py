@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from .clean import fill_token
+from .clean import fill_token, to_number
 
 
 def _c(c) -> Column:
@@ -58,7 +58,7 @@ def presence(c) -> Column:
 
 def log1p_floor0(c) -> Column:
     """log1p of the value floored at 0, numeric coercion first."""
-    return F.log1p(floor0(_c(c).try_cast("double")))
+    return F.log1p(floor0(to_number(_c(c).cast("string"))))
 
 
 def nominal(c) -> Column:
@@ -77,6 +77,14 @@ class FeatureSpec:
     nominal: Sequence[str] = ()
     drop: Sequence[str] = ()
 
+    def source_columns(self) -> list[str]:
+        """Input columns that the derived ones read, in order of first use."""
+        used = [c for pair in (*self.ages.values(), *self.products.values()) for c in pair]
+        used += [c for cols, _ in self.sums.values() for c in cols]
+        used += [*self.flags.values(), *self.log_candidates]
+        made = {*self.ages, *self.sums, *self.products, *self.flags}
+        return [c for c in dict.fromkeys(used) if c not in made]
+
 
 def build_features(df: DataFrame, spec: FeatureSpec, enabled: bool = True,
                    add_log_features: bool = True, null_as_zero: bool = False) -> DataFrame:

@@ -44,27 +44,45 @@ def _system(rows, cols: Sequence[str], y: str):
     return rows[0].n, g, c, m[(y, y)], mp, m[(y, "1")], k
 
 
-def simplex_weights(g: np.ndarray, c: np.ndarray, iters: int = 5000) -> np.ndarray:
-    """B1: argmin_w w'Gw - 2c'w on the simplex (projected gradient; convex,
-    so one start suffices)."""
+def simplex_weights(g: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """B1: argmin_w w'Gw - 2c'w over w >= 0, sum w = 1, by an exact active set.
+
+    On the simplex the objective equals w'Ew with E = G - c1' - 1c' (+ a constant),
+    the moments of the members' errors, which keeps the digits that G loses to
+    the size of the target.  Raises if the optimality conditions fail."""
     k = len(c)
+    e = g - c[:, None] - c[None, :]
+    e = e - e.min()  # a constant matrix changes nothing on the simplex
+    scale = max(np.abs(e).max(), 1e-300)
+    e = e / scale
+    free = np.ones(k, bool)
     w = np.full(k, 1.0 / k)
-    step = 1.0 / (2 * max(np.linalg.eigvalsh(g).max(), 1e-12))
-    for _ in range(iters):
-        w_new = _project_simplex(w - step * 2 * (g @ w - c))
-        if np.abs(w_new - w).max() < 1e-13:
-            w = w_new
-            break
-        w = w_new
-    return w
-
-
-def _project_simplex(v: np.ndarray) -> np.ndarray:
-    u = np.sort(v)[::-1]
-    css = np.cumsum(u)
-    rho = np.nonzero(u * np.arange(1, len(v) + 1) > (css - 1))[0][-1]
-    theta = (css[rho] - 1) / (rho + 1.0)
-    return np.maximum(v - theta, 0.0)
+    for _ in range(50 * (k + 1)):
+        idx = np.flatnonzero(free)
+        m = np.zeros((len(idx) + 1, len(idx) + 1))
+        m[:-1, :-1], m[:-1, -1], m[-1, :-1] = e[np.ix_(idx, idx)], 1.0, 1.0
+        target = np.zeros(k)
+        target[idx] = np.linalg.lstsq(m, np.append(np.zeros(len(idx)), 1.0), rcond=None)[0][:-1]
+        if (target[idx] >= -1e-12).all():
+            w = np.maximum(target, 0.0)
+            w /= w.sum()
+            grad = e @ w
+            low = grad[idx].min()
+            worst = int(np.argmin(np.where(free, np.inf, grad))) if not free.all() else -1
+            if worst < 0 or grad[worst] >= low - 1e-10:
+                if (grad[w > 1e-9] - grad.min() > 1e-6).any():
+                    raise ArithmeticError("blend weights miss the optimality conditions")
+                return w
+            free[worst] = True
+        else:
+            down = idx[target[idx] < w[idx]]
+            steps = w[down] / np.maximum(w[down] - target[down], 1e-300)
+            t = min(1.0, float(steps[target[down] < 0].min()))
+            w = np.maximum(w + t * (target - w), 0.0)
+            drop = idx[(w[idx] <= 1e-12) & (target[idx] < 0)]
+            w[drop] = 0.0
+            free[drop] = False
+    raise ArithmeticError("blend weights did not settle")
 
 
 def fit_simplex_blend(oof: DataFrame, cols: Sequence[str], y: str) -> dict[str, float]:

@@ -20,8 +20,18 @@ from .rank import global_row_number
 
 
 def with_row_index(df: DataFrame, out: str = "row_index") -> DataFrame:
-    """H3: must be applied directly on the scan, before any shuffle."""
-    return df.withColumn(out, F.monotonically_increasing_id())
+    """H3: must be applied directly on the scan, before any shuffle.
+
+    A file scan is numbered by file path, then by the offset of its block and the
+    position inside, so several files and splits keep their order (Spark packs
+    splits by size); other inputs keep their partition order."""
+    if not df.inputFiles():
+        return df.withColumn(out, F.monotonically_increasing_id())
+    cols = df.columns
+    marked = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_at"))
+    return global_row_number(marked, ["_file", "_block", "_at"], out=out).withColumn(
+        out, F.col(out) - 1).select(*[F.col(f"`{c}`") for c in cols], out)
 
 
 def positions(df: DataFrame, key: str, order: str = "row_index") -> DataFrame:
@@ -47,7 +57,7 @@ def order_mismatches(template: DataFrame, output: DataFrame, key: str,
 def check_template(output: DataFrame, template: DataFrame, key: str,
                    columns: Sequence[str] = ("Id", "Prediction")) -> None:
     """V5: exact ordered columns, complete unique key, identical key order."""
-    if list(output.columns[:len(columns)]) != list(columns):
+    if list(output.columns) not in (list(columns), [*columns, "row_index"]):
         raise ValueError(f"output columns {output.columns} differ from template {list(columns)}")
     from .quality import check_key
     check_key(output, key)
@@ -73,6 +83,13 @@ def apply_output_template(pred: DataFrame, template: DataFrame, key: str = "Id",
     from .quality import check_key
     check_key(template, key)
     t = template.select(key, "row_index")
+    if "row_index" in pred.columns:
+        r = order_mismatches(template, pred, key).first()
+        if r.n_template != r.n_output or r.n_mismatch:
+            raise ValueError(f"prediction order differs from the template: {r.asDict()}")
+    stray = pred.join(t, key, "left_anti").limit(1).count()
+    if stray:
+        raise ValueError("predictions whose key is not in the template")
     filled = t.join(pred.drop("row_index"), key, "left")
     missing = filled.filter(F.col(columns[1]).isNull()).limit(1).count()
     if missing:

@@ -12,12 +12,14 @@ from .split import quartile_label
 
 def metric_aggs(y: str, p: str) -> list[Column]:
     """RMSE, MAE, R^2 as aggregate expressions (R^2 via n * var_pop(y),
-    a numerically stable total sum of squares; null for a constant target)."""
+    a numerically stable total sum of squares; null for a constant target).
+    Every term, ``n`` too, covers the rows that have both truth and prediction."""
     err = F.col(y).cast("double") - F.col(p).cast("double")
+    scored = F.when(err.isNotNull(), F.col(y).cast("double"))
     sse = F.sum(err * err)
-    sst = F.var_pop(F.col(y).cast("double")) * F.count(F.col(y))
+    sst = F.var_pop(scored) * F.count(scored)
     return [
-        F.count(F.lit(1)).cast("bigint").alias("n"),
+        F.count(scored).cast("bigint").alias("n"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
         (F.lit(1.0) - F.try_divide(sse, sst)).alias("r2"),

@@ -106,7 +106,7 @@ def nnls_quadratic(a: np.ndarray, b: np.ndarray, iters: int = 500) -> np.ndarray
         if not cand.any():
             break
         passive[np.argmax(np.where(cand, grad, -np.inf))] = True
-        while True:
+        while passive.any():
             z = np.zeros(p)
             idx = np.where(passive)[0]
             z[idx] = np.linalg.lstsq(a[np.ix_(idx, idx)], b[idx], rcond=None)[0]
@@ -118,6 +118,8 @@ def nnls_quadratic(a: np.ndarray, b: np.ndarray, iters: int = 500) -> np.ndarray
             w = w + t * (z - w)
             passive &= w > 1e-14
             w[~passive] = 0.0
+    else:
+        raise ArithmeticError("non-negative least squares did not settle")
     return w
 
 

@@ -10,8 +10,9 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from ..functions.clean import absent, is_quote_wrapped, string_columns
+from ..functions.clean import absent, is_quote_wrapped, string_columns, to_number
 from ..functions.features import numeric_columns
 from ..functions.stats import count_true, not_finite, safe_corr, skew_unbiased
 from .quantiles import column_quantiles, quantile_wide
@@ -40,7 +41,9 @@ def table_counts(df: DataFrame, target: str | None = None) -> DataFrame:
 def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A2: rows beyond the first of each identical row (nulls compare equal)."""
     cols = list(cols or df.columns)
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    # rows meet by a 256-bit digest of their values, so wide text columns are not shuffled
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]), {"ignoreNullFields": "false"})
+    groups = df.groupBy(F.sha2(row, 256).alias("_row")).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(
         F.sum("_n").cast("bigint").alias("rows"),
         F.count(F.lit(1)).cast("bigint").alias("distinct_rows"),
@@ -63,8 +66,16 @@ def duplicate_keys(df: DataFrame, key: Sequence[str] | str) -> DataFrame:
 
 # ---------------------------------------------------------------- nulls
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN of floating columns becomes null: a missing value for every audit below."""
+    return df.select(*[
+        F.when(~F.isnan(F.col(f"`{f.name}`")), F.col(f"`{f.name}`")).alias(f.name)
+        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """A4: per column null count and rate, columns with nulls only, rate desc."""
+    """A4: per column null (or NaN) count and rate, columns with nulls only, rate desc."""
+    df = nan_to_null(df)
     cols = list(cols or df.columns)
     one = df.agg(F.count(F.lit(1)).alias("__rows"),
                  *[F.sum(F.col(f"`{c}`").isNull().cast("int")).alias(c) for c in cols])
@@ -73,7 +84,8 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         for c in cols])).alias("_kv")).select("__rows", "_kv.*")
     return (long.filter(F.col("n_null") > 0)
             .select("column", "n_null",
-                    (F.col("n_null") / F.col("__rows")).alias("null_rate")))
+                    (F.col("n_null") / F.col("__rows")).alias("null_rate"))
+            .orderBy(F.desc("null_rate"), F.asc("column")))
 
 
 def null_totals(df: DataFrame) -> DataFrame:
@@ -87,6 +99,7 @@ def null_totals(df: DataFrame) -> DataFrame:
 
 def target_profile(df: DataFrame, y: str, key: str) -> DataFrame:
     """A5: mean, exact median, sample std, min, max of the target."""
+    df = nan_to_null(df)
     med = column_quantiles(df, [y], [0.5], key).collect()
     median = med[0].value if med else None
     return df.agg(
@@ -105,6 +118,7 @@ def skewness_pair(df: DataFrame, y: str) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], key: str, top: int = 15) -> DataFrame:
     """Values strictly outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR], per column, top-k."""
+    df = nan_to_null(df)
     q = {(r.column, r.p): r.value
          for r in column_quantiles(df, cols, [0.25, 0.75], key).collect()}
     counts = []
@@ -139,6 +153,7 @@ def consistency(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
 
 def describe(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per column (transposed)."""
+    df = nan_to_null(df)
     stats = df.agg(*[
         F.struct(F.count(F.col(f"`{c}`")).cast("bigint").alias("count"),
                  F.avg(F.col(f"`{c}`")).alias("mean"),
@@ -198,6 +213,7 @@ def eta_squared(df: DataFrame, y: str, cols: Sequence[str], top: int = 15,
 def histogram(df: DataFrame, x, bins: int = 35) -> DataFrame:
     """Equal-width bins over [min, max], last bin right-closed."""
     xc = (F.col(x) if isinstance(x, str) else x).cast("double")
+    xc = F.when(~F.isnan(xc), xc)
     lim = df.agg(F.min(xc).alias("lo"), F.max(xc).alias("hi")).collect()[0]
     lo, hi = lim.lo, lim.hi
     if lo is None:
@@ -235,7 +251,7 @@ def key_violations(df: DataFrame, key: Sequence[str] | str) -> DataFrame:
 
 def target_violations(df: DataFrame, y: str) -> DataFrame:
     """V4: target must be numeric, finite and > 0 -- one aggregation."""
-    v = F.col(y).cast("string").try_cast("double")
+    v = to_number(F.col(y).cast("string"))
     return df.agg(
         F.count(F.lit(1)).cast("bigint").alias("rows"),
         count_true(v.isNull()).alias("not_numeric"),

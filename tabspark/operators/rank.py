@@ -111,10 +111,16 @@ def grouped_row_number(df: DataFrame, order: Sequence, group: Sequence[str] = ()
         seg = F.broadcast(spark.createDataFrame(rows, seg.schema))
     else:
         seg = materialize(seg)
-    joined = ranged.join(seg, ["_pid", *group])
-    return joined.withColumn(
+    # null-safe: a null group is a group like any other
+    for i, g in enumerate(group):
+        seg = seg.withColumnRenamed(g, f"_g{i}")
+    seg = seg.withColumnRenamed("_pid", "_spid")
+    same = F.col("_pid") == F.col("_spid")
+    for i, g in enumerate(group):
+        same = same & F.col(f"`{g}`").eqNullSafe(F.col(f"_g{i}"))
+    return ranged.join(seg, same).withColumn(
         out, (F.col("_mid") - F.col("_start") + F.col("_off") + 1).cast("bigint")
-    ).drop("_mid", "_pid", "_start", "_off")
+    ).drop("_mid", "_pid", "_spid", "_start", "_off", *[f"_g{i}" for i in range(len(group))])
 
 
 def global_row_number(df: DataFrame, order: Sequence, out: str = "rn",

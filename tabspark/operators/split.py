@@ -44,11 +44,11 @@ def quartile_edges(df: DataFrame, value: str, key: str) -> tuple[float, float, f
 
 
 def quartile_label(df: DataFrame, value: str, key: str, out: str = "quartile") -> DataFrame:
-    """Q1..Q4, right-closed, lowest value included (``qcut(v, 4)``)."""
+    """Q1..Q4, right-closed, lowest value included (``qcut(v, 4)``); null and NaN have no label."""
     q1, q2, q3 = quartile_edges(df, value, key)
     v = F.col(value)
     label = (F.when(v <= F.lit(q1), "Q1").when(v <= F.lit(q2), "Q2")
-             .when(v <= F.lit(q3), "Q3").otherwise("Q4"))
+             .when(v <= F.lit(q3), "Q3").when(v.isNotNull() & ~F.isnan(v.cast("double")), "Q4"))
     return df.withColumn(out, label)
 
 

@@ -12,24 +12,33 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import NumericType, StringType, StructType
 
-from ..functions.clean import na_to_null
+from ..functions.clean import na_to_null, to_number
 
 
 # ------------------------------------------------------------------ S1 CSV with NA tokens
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read every column as text, turn NA tokens into null, then ``try_cast``
-    to the declared type (bad numbers become null, as with coercion)."""
-    text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-           .option("nullValue", None).option("emptyValue", "").option("quote", '"')
-           .schema(text).csv(path))
+    """Read every column as text, turn NA tokens into null, then coerce to the
+    declared type (bad numbers become null).
+
+    Columns are found by the name in the header, in any order; a column that the
+    header lacks raises an error naming it, extra ones are left out.  Quoted
+    values follow RFC 4180: doubled quotes, commas and line breaks.
+    """
+    rfc = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": "", "mode": "PERMISSIVE"}
+    # the header is read from the files themselves; without inference every column is text
+    raw = spark.read.options(**rfc).option("inferSchema", False).option("enforceSchema", False).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"columns missing in {path}: {missing}")
     cols = []
     for f in schema.fields:
         c = na_to_null(F.col(f"`{f.name}`"))
-        if not isinstance(f.dataType, StringType):
+        if isinstance(f.dataType, NumericType):
+            c = to_number(c, f.dataType)
+        elif not isinstance(f.dataType, StringType):
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
     return raw.select(*cols)
@@ -42,8 +51,9 @@ def read_json(spark: SparkSession, path: str, schema: StructType | None = None)
     return (r.schema(schema) if schema else r).json(path)
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """S3: JSON lines; ``single_file`` is for small reports only."""
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").json(path)
 
 
 # ------------------------------------------------------------------ S4 / S5 predictions
@@ -133,11 +143,19 @@ def model_path(root: str, config: Mapping) -> str:
 
 
 def load_or_fit(root: str, config: Mapping, fit, loader):
-    """Reuse a stored model when its config signature matches."""
+    """Reuse a stored model when its config signature matches.
+
+    Fits only where nothing is stored; a stored model that can't be read raises
+    its error and stays as it is."""
     path = model_path(root, config)
-    try:
+    if path_exists(path):
         return loader(path)
-    except Exception:  # noqa: BLE001 -- absent or unreadable: fit again
-        model = fit()
-        model.write().overwrite().save(path)
-        return model
+    model = fit()
+    model.write().save(path)
+    return model
+
+
+def path_exists(path: str) -> bool:
+    spark = SparkSession.getActiveSession()
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

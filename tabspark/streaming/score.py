@@ -17,13 +17,15 @@ from ..session import checkpoint_dir
 from ..sources.tables import read_table
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = 64) -> DataFrame:
     """A driver table read as a stream (schema taken from the batch reader)."""
     schema = read_table(spark, sf_dir, name).schema
-    return (spark.readStream.schema(schema)
-            .option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", max_files)
-            .parquet(sf_dir))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    table = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return reader.parquet(table)  # a table of many files
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def run_to_table(stream: DataFrame, transform: Callable[[DataFrame], DataFrame],
