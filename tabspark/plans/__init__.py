@@ -9,6 +9,7 @@ def all_queries() -> dict:
     base = importlib.import_module(".catalogue", __name__)
     importlib.import_module(".catalogue_models", __name__)  # registers part 2
     importlib.import_module(".catalogue_ml", __name__)  # registers part 3
+    importlib.import_module(".catalogue_contract", __name__)  # registers part 4
     return dict(base.REGISTRY)
 
 
@@ -16,4 +17,5 @@ def all_sql() -> dict:
     base = importlib.import_module(".oracle", __name__)
     importlib.import_module(".oracle_models", __name__)
     importlib.import_module(".oracle_ml", __name__)
+    importlib.import_module(".oracle_contract", __name__)
     return dict(base.SQL)

@@ -202,13 +202,14 @@ def csv_roundtrip(spark, sf):
 
 @query
 def predictions_csv(spark, sf):
-    """Id,Prediction text with six decimals in input order."""
+    """Id,Prediction text with six decimals in input order (row_index: the place in the scan)."""
     from ..operators.infer import with_row_index
     from ..sources.io import format_predictions
-    ids = with_row_index(docs(spark, sf).select("doc_id"))
+    from ..sources.tables import read_table
+    ids = with_row_index(read_table(spark, sf, "documents").select("doc_id"))
     scored = ids.join(oof_base(spark, sf).select("doc_id", "p_words"), "doc_id")
-    return format_predictions(scored.select(F.col("doc_id").alias("Id"),
-                                            F.col("p_words").alias("Prediction"), "row_index"))
+    named = scored.select(F.col("doc_id").alias("Id"), F.col("p_words").alias("Prediction"), "row_index")
+    return format_predictions(named).join(named.select("Id", F.col("row_index").cast("bigint").alias("row_index")), "Id")
 
 
 @query

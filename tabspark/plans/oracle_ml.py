@@ -118,4 +118,4 @@ b AS (SELECT *, (a22 * cw - a12 * cl) / (a11 * a22 - a12 * a12) AS bw,
 SELECT doc_id, {r('my - bw * mw - bl * ml + bw * n_words + bl * n_lines', 2)} AS pred FROM docs, b"""
 
 SQL["predictions_csv"] = f"""{BASE}
-SELECT doc_id AS "Id", printf('%.6f', p_words) AS "Prediction" FROM oof"""
+SELECT doc_id AS "Id", printf('%.6f', p_words) AS "Prediction", row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM oof"""
