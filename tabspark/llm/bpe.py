@@ -35,7 +35,7 @@ from pyspark.sql.types import StructType
 from . import mph
 from .arrow import map_slices
 
-MEMO = 200_000
+MEMO = 400_000
 SLICE = 1 << 20
 
 
