@@ -13,9 +13,16 @@ digits, last one the Luhn digit), ssn, phone (North American; the first digit of
 or exchange code stays in 2 to 9, or as it is if not) and date (yyyy-mm-dd, mm/dd/yyyy,
 dd.mm.yyyy; days are permuted in blocks of 72,960 days).
 
-Scale: one projection of built-in functions; nothing is shuffled, the JVM's
+Cards are looked for at every digit group of a run of digits, spaces and
+hyphens and taken, from the left, where the Luhn digit holds: an unseparated
+number, or groups of 4-4-4-4, 4-6-5, 4-6-4, 4-4-4-n and 4-4-4-4-n (n of 1 to 3
+digits) with one kind of separator, whatever numbers stand beside them.  Other
+groupings count where they are a run of their own.
+
+Scale: projections of built-in functions; nothing is shuffled, the JVM's
 linear scan of a text finds all kinds at once (every alternative starts behind
-a character that can't belong to it), and networks run on matches alone.
+a character that can't belong to it), only texts with a long run of digits are
+scanned for cards before, and networks run on matches alone.
 
 Defined results: a null text stays null with nothing found; values that don't
 validate stay.  Repeated rows get equal results, other columns stay, and an
@@ -31,13 +38,25 @@ ROUNDS = 8
 KINDS = ["email", "ipv4", "card", "ssn", "phone", "date"]
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
+RUN = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}+"
+# cards at a digit group, one of whose shapes at most fits; LONG goes on where a group of four may end one of them
+SHAPE = r"[0-9]{13,19}|[0-9]{4}([ -])(?:[0-9]{4}\2[0-9]{4}\2(?!TAKEN)[0-9]{1,4}|[0-9]{6}\2(?!TAKEN)[0-9]{4,5})"
+LONG = r"[0-9]{4}([ -])(?:[0-9]{4}\2){3}(?!TAKEN)[0-9]{1,3}"
+# digit groups behind a letter that says how many groups make up a card found there (a: none)
+MARKS = {1: "b", 3: "d", 4: "e", 5: "f"}
+MARKED = "|".join(f"{x}[0-9]+(?:[ -][a-f][0-9]+){{{n - 1}}}" for n, x in MARKS.items())
+OPEN, CLOSE, LITERAL = "\ufdd0", "\ufdd1", "\ufdd2"  # around a card; after an OPEN of the text
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])"
          r"[0-9]{3}[ .-][0-9]{4}(?![0-9])")
 DATE = (r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])"
         r"|(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9]|\.[0-9])")
-ANY = "|".join([EMAIL, IPV4, SSN, PHONE, CARD, DATE])
+FOUND = f"{OPEN}[0-9][0-9 -]*{CLOSE}"
+ANY = "|".join([FOUND, EMAIL, IPV4, SSN, PHONE, CARD, DATE])
+BEFORE = "|".join([EMAIL, IPV4, SSN, PHONE, DATE, RUN])
+# a card's last group isn't the first one of these, or of a date or expiry with slashes or dots
+TAKEN = rf"[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9-])|[0-9]{{3}}[ -][0-9]{{3}}[ -][0-9]{{4}}(?![0-9])|[0-9]{{1,2}}[/.][0-9]|{DATE}"
 FIRST, LETTERS = "0123456789", "!#ABCDEFGH"
 BLOCK_L, BLOCK_R = 256, 285  # 72,960 days
 SERIALS = 9999
@@ -102,6 +121,34 @@ def _digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 
 
+def _luhn(m: Column) -> Column:
+    return (m != "") & F.call_function("luhn_check", _digits(m))
+
+
+def _run_cards(run: Column) -> Column:
+    """A run of digits (and what follows its last group) with its cards between OPEN and CLOSE."""
+    at_groups = lambda shape: F.regexp_extract_all(run, F.lit(
+        rf"(?<![0-9])(?=({shape.replace('TAKEN', TAKEN)})(?![0-9])|)[0-9]+"), F.lit(1))
+    groups = F.arrays_zip(F.regexp_extract_all(run, F.lit("[0-9]+[^0-9]*"), F.lit(0)).alias("g"),
+                          at_groups(f"(?:{SHAPE})").alias("w"), at_groups(LONG).alias("l"))
+    def mark(x: Column) -> Column:
+        card = F.when(_luhn(x["w"]), x["w"]).when(_luhn(x["l"]), x["l"])
+        n = F.size(F.split(card, "[ -]"))
+        return F.coalesce(*[F.when(card.isNotNull() & (n == k), F.lit(c)) for k, c in MARKS.items()], F.lit("a"))
+    marked = F.array_join(F.transform(groups, lambda x: F.concat(mark(x), x["g"])), "")
+    return F.regexp_replace(F.regexp_replace(marked, f"({MARKED})", f"{OPEN}$1{CLOSE}"), "[a-f]", "")
+
+
+def mark_cards(text: Column) -> Column:
+    """The text with OPEN and CLOSE around the cards of its runs of digits, and LITERAL after any OPEN of its own."""
+    own = F.replace(text, F.lit(OPEN), F.lit(OPEN + LITERAL))
+    is_run = lambda m: m.rlike(f"^{RUN}(?:[/.][0-9])?$")
+    tail = BEFORE + "(?:[/.][0-9])?"  # the run's, as it is the last
+    hits = F.transform(F.regexp_extract_all(own, F.lit(tail), F.lit(0)), lambda m: F.when(is_run(m), _run_cards(m)).otherwise(m))
+    pieces = F.arrays_zip(F.split(own, tail, -1).alias("a"), hits.alias("b"))
+    return F.when(text.rlike(RUN), F.array_join(F.transform(pieces, lambda x: F.concat(x["a"], F.coalesce(x["b"], F.lit("")))), "")).otherwise(own)
+
+
 def _with(value: Column, f) -> Column:
     """f of a value that is computed once."""
     return F.element_at(F.transform(F.array(value), f), 1)
@@ -173,7 +220,8 @@ def kind_of(m: Column) -> Column:
     area, group, serial = _ssn_parts(m)
     whole = lambda p: m.rlike(f"^(?:{p})$")
     year = F.year(_day(m))
-    return (F.when(m.contains("@"), F.lit("email"))
+    return (F.when(m.startswith(OPEN), F.lit("card"))
+            .when(m.contains("@"), F.lit("email"))
             .when(whole(IPV4) & F.forall(_octets(m), lambda o: o <= 255), F.lit("ipv4"))
             .when(whole(SSN), F.when((area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0), F.lit("ssn")))
             .when(whole(PHONE), F.lit("phone"))
@@ -185,17 +233,19 @@ def kind_of(m: Column) -> Column:
 def pseudonym(m: Column, key: str) -> Column:
     """The pseudonym of a match of ANY; values that don't validate stay."""
     kind = kind_of(m)
-    return (F.when(kind == "email", _email(m, key)).when(kind == "ipv4", _ipv4(m, key)).when(kind == "card", _card(m, key))
+    return (F.when(kind == "email", _email(m, key)).when(kind == "ipv4", _ipv4(m, key)).when(kind == "card", _card(F.translate(m, OPEN + CLOSE, ""), key))
             .when(kind == "ssn", _ssn(m, key)).when(kind == "phone", _phone(m, key)).when(kind == "date", _date(m, key)).otherwise(m))
 
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with text freed of personal numbers and dates, plus n_found and found (kind and count)."""
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_found", "found")]
+    marked = docs.select(*keep, mark_cards(F.col("text")).alias("text"))
     hits = F.regexp_extract_all(F.col("text"), F.lit(ANY), F.lit(0))
     each = F.transform(hits, lambda m: F.struct(kind_of(m).alias("kind"), pseudonym(m, key).alias("new")))
-    rows = docs.select(*keep, "text", each.alias("__each"))
+    rows = marked.select(*keep, "text", each.alias("__each"))
     pieces = F.arrays_zip(F.split("text", ANY, -1).alias("a"), F.col("__each.new").alias("b"))
     text = F.when(F.size("__each") > 0, F.array_join(F.transform(pieces, lambda x: F.concat(x["a"], F.coalesce(x["b"], F.lit("")))), "")).otherwise(F.col("text"))
+    text = F.replace(text, F.lit(OPEN + LITERAL), F.lit(OPEN))
     kinds = F.filter(F.col("__each.kind"), lambda k: k.isNotNull())
     return rows.select(*keep, text.alias("text"), F.coalesce(F.size(kinds), F.lit(0)).cast("long").alias("n_found"), kinds.alias("found"))

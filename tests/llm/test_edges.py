@@ -178,3 +178,28 @@ def test_vectors(spark):
     none = spark.createDataFrame([(None, a, 1), (None, a, 1)], "vec_id long, embedding array<float>, label int")
     assert [tuple(r) for r in near_vectors(none).collect()] == [(None, 1, None, True)] * 2
     assert near_vectors(df.limit(0)).collect() == []
+
+
+def card_texts(spark, texts):
+    rows = pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()
+    return {texts[r.doc_id]: r for r in rows}
+
+
+def test_pii_cards_beside_other_numbers(spark):
+    want = {
+        "4111111111111111 5500000000000004": 2, "4111 1111 1111 1111 12/27": 1, "4111111111111111 123": 1,
+        "qty 3 4111 1111 1111 1111": 1, "1000 2000 3000 4111 1111 1111 1111 2027": 1, "4111-1111-1111-1111 5500-0000-0000-0004": 2,
+        "3782 822463 10005 123": 1, "x 17 4222222222222 9": 1, "4111 1111 1111 1111 123 2027": 1,
+        "6304 0000 0000 0000 000 12/27": 1, "40470 54433 95352 2": 1, "4111111111111112 4111111111111113": 0,
+    }
+    for text, r in card_texts(spark, list(want)).items():
+        assert (r.found, len(r.text)) == (["card"] * want[text], len(text)), text
+        for raw in ("4111", "5500", "3782", "4222222222222", "6304 0000", "40470 54433") if want[text] else ():
+            assert raw not in r.text
+
+
+def test_pii_card_marks_of_the_text_stay(spark):
+    text = "﷐ ﷐4111111111111112﷑ ﷐﷒ me4111111111111111@a.example"
+    r = card_texts(spark, [text])[text]
+    assert r.found == ["email"] and r.text.startswith("﷐ ﷐4111111111111112﷑ ﷐﷒ ") and r.text.endswith("@a.example")
+    assert card_texts(spark, ["﷐"])["﷐"].text == "﷐"
