@@ -11,7 +11,8 @@ the same validation as its original.
 Kinds: email (letters and digits of the local part), ipv4, card (13 to 19
 digits, last one the Luhn digit), ssn, phone (North American; the first digit of an area
 or exchange code stays in 2 to 9, or as it is if not) and date (yyyy-mm-dd, mm/dd/yyyy,
-dd.mm.yyyy; days are permuted in blocks of 72,960 days).
+dd.mm.yyyy; days are permuted in blocks of 72,960 days).  A date with slashes that is none as mm/dd
+is read as dd/mm and gets a pseudonym of that kind, with a day above 12.
 
 Cards are looked for at every digit group of a run of digits, spaces and
 hyphens and taken, from the left, where the Luhn digit holds: an unseparated
@@ -46,14 +47,16 @@ LONG = r"[0-9]{4}([ -])(?:[0-9]{4}\2){3}(?!TAKEN)[0-9]{1,3}"
 MARKS = {1: "b", 3: "d", 4: "e", 5: "f"}
 MARKED = "|".join(f"{x}[0-9]+(?:[ -][a-f][0-9]+){{{n - 1}}}" for n, x in MARKS.items())
 OPEN, CLOSE, LITERAL = "\ufdd0", "\ufdd1", "\ufdd2"  # around a card; after an OPEN of the text
-CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])"
          r"[0-9]{3}[ .-][0-9]{4}(?![0-9])")
 DATE = (r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])"
         r"|(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9]|\.[0-9])")
+# a run of its own in which no other kind begins
+CARD = (rf"(?<![0-9])(?<![0-9][ -])(?!(?:[0-9]+[ -])+(?:{IPV4}|{SSN}|{PHONE}|{DATE}|{OPEN}))"
+        r"[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])")
 FOUND = f"{OPEN}[0-9][0-9 -]*{CLOSE}"
-ANY = "|".join([FOUND, EMAIL, IPV4, SSN, PHONE, CARD, DATE])
+ANY = "|".join([FOUND, EMAIL, IPV4, SSN, PHONE, DATE, CARD])
 BEFORE = "|".join([EMAIL, IPV4, SSN, PHONE, DATE, RUN])
 # a card's last group isn't the first one of these, or of a date or expiry with slashes or dots
 TAKEN = rf"[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9-])|[0-9]{{3}}[ -][0-9]{{3}}[ -][0-9]{{4}}(?![0-9])|[0-9]{{1,2}}[/.][0-9]|{DATE}"
@@ -200,19 +203,30 @@ def _day(m: Column) -> Column:
     """The calendar day of a date in one of the three formats, or null."""
     iso = F.when(F.substring(m, 5, 1) == "-", m)
     us = F.when(F.substring(m, 3, 1) == "/", F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 1, 2), F.substring(m, 4, 2)))
-    de = F.when(F.substring(m, 3, 1) == ".", F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2)))
-    return F.coalesce(iso, us, de).try_cast("date")
+    eu = F.when(F.substring(m, 3, 1).isin("/", "."), F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2)))
+    return F.coalesce(*[x.try_cast("date") for x in (iso, us, eu)])
 
 
-def _date(m: Column, key: str) -> Column:
+def _moved_day(day: Column, key: str) -> Column:
+    """The day that takes a day's place."""
     size = BLOCK_L * BLOCK_R
-    n = F.datediff(_day(m), F.lit("1600-01-01").cast("date")).cast("long")
+    n = F.datediff(day, F.lit("1600-01-01").cast("date")).cast("long")
     block, at = F.floor(n / size), F.pmod(n, F.lit(size))
     p = feistel_pair(F.floor(at / BLOCK_R), at % BLOCK_R, BLOCK_L, BLOCK_R, key, "date", block)
-    day = F.date_add(F.lit("1600-01-01").cast("date"),
-                     (block * size + _with(p, lambda s: s["l"] * BLOCK_R + s["r"])).cast("int"))
-    return (F.when(F.substring(m, 5, 1) == "-", F.date_format(day, "yyyy-MM-dd"))
-            .when(F.substring(m, 3, 1) == "/", F.date_format(day, "MM/dd/yyyy")).otherwise(F.date_format(day, "dd.MM.yyyy")))
+    return F.date_add(F.lit("1600-01-01").cast("date"),
+                      (block * size + _with(p, lambda s: s["l"] * BLOCK_R + s["r"])).cast("int"))
+
+
+def _date(m: Column, key: str) -> Column:
+    slash = F.substring(m, 3, 1) == "/"
+    day_first = slash & (F.substring(m, 1, 2).cast("int") > 12)
+    # dd/mm: on to the next day with a number above 12, so that these stay apart from mm/dd (within 64 steps but for odds of 1e-20)
+    above = lambda d: F.dayofmonth(d) > 12
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(64)), _moved_day(_day(m), key),
+                         lambda d, _: F.when(above(d), d).otherwise(_moved_day(d, key)))
+    return _with(F.when(day_first, walked).otherwise(_moved_day(_day(m), key)), lambda day: (
+        F.when(F.substring(m, 5, 1) == "-", F.date_format(day, "yyyy-MM-dd")).when(day_first, F.date_format(day, "dd/MM/yyyy"))
+        .when(slash, F.date_format(day, "MM/dd/yyyy")).otherwise(F.date_format(day, "dd.MM.yyyy"))))
 
 
 def kind_of(m: Column) -> Column:

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tabspark.llm import bpe, language_id, toxicity
+from tabspark.llm import bpe, language_id, pii, toxicity
 from tabspark.llm.embedding_dedup import near_vectors
 from tabspark.llm.exact_dedup import exact_dedup, exact_groups
 from tabspark.llm.line_dedup import drop_lines
@@ -203,3 +203,26 @@ def test_pii_card_marks_of_the_text_stay(spark):
     r = card_texts(spark, [text])[text]
     assert r.found == ["email"] and r.text.startswith("﷐ ﷐4111111111111112﷑ ﷐﷒ ") and r.text.endswith("@a.example")
     assert card_texts(spark, ["﷐"])["﷐"].text == "﷐"
+
+
+def test_pii_dates_beside_numbers_and_day_first(spark):
+    want = {
+        "2024-01-05 2024-01-06": ["date"] * 2, "2024-01-05 123456": ["date"], "123456 2024-01-05": ["date"],
+        "7 8 2024-01-05 99 25.12.2024 1": ["date"] * 2, "12345678901 25/12/2024": ["date"],
+        "1234 5678 9012 2024-01-05": ["date"], "123456 877-555-1855 77": ["phone"],
+        "25/12/2024 and 12/25/2024": ["date"] * 2, "4111111111111111 25/12/2024": ["card", "date"], "31/02/2024 13/13/2024": [],
+    }
+    for text, r in card_texts(spark, list(want)).items():
+        assert (r.found, len(r.text)) == (want[text], len(text)), text
+        for raw in ("2024-01-0", "25.12.2024", "25/12/2024", "12/25/2024", "555-1855", "4111"):
+            assert raw not in r.text, text
+
+
+def test_pii_day_first_dates_stay_apart(spark):
+    days = F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int"))
+    one = spark.range(3000).select(F.date_format(days, "MM/dd/yyyy").alias("m"))
+    two = spark.range(3000).filter(F.dayofmonth(days) > 12).select(F.date_format(days, "dd/MM/yyyy").alias("m"))
+    both = one.union(two)
+    out = both.select("m", pii._date(F.col("m"), "k").alias("p")).collect()
+    assert len({r.p for r in out}) == len({r.m for r in out}) == len(out)
+    assert all((int(r.p[:2]) > 12) == (int(r.m[:2]) > 12) for r in out)
