@@ -5,7 +5,9 @@ The kernel of two words sums, over all subsequences of three characters
 a subsequence that spans more characters weighs less, and spans go up to
 ``SPAN``, so gaps and inserted characters cost weight but not the match.  It is
 normalised by word length.  Punctuation inside a word and single spaces between
-single letters are passed over.
+single letters are passed over.  A character from U+3000 up (Chinese, Japanese,
+Korean, emoji) counts as two characters of a hash of it; punctuation there ends
+a word like a space, and full-width letters and digits are read as ASCII ones.
 
 Training takes labelled sentences: a sentence of a toxic text is a bag of words
 of which some carry the label.  Words start with the log-odds of their
@@ -45,17 +47,25 @@ SPAN = 5
 DECAY = 0.5
 SLICE = 1 << 20
 GAPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
-SENTENCE = regex.compile(r"[^.!?\n]*[^.!?\n\s][^.!?\n]*")
+SENTENCE = regex.compile(r"[^.!?\n。！？｡]*[^.!?\n\s。！？｡][^.!?\n。！？｡]*")
+PAIR, FIRST, RADIX = 28, 28, 35  # class of characters that become two; those two are of the classes 28 to 62
 
 
 def _class_table() -> np.ndarray:
-    """Class of each code point below 0x3000: 0 space, 1-26 letters, 27 digits, 63 left out, others by hash."""
-    table = (29 + np.arange(0x3000) * 40503 // 16 % 33).astype(np.uint8)
+    """Class of each code point below 0x10000: 0 space, 1-26 letters, 27 digits, 63 left out, others by hash or (from 0x3000) PAIR."""
+    table = (29 + np.arange(0x10000) * 40503 // 16 % 33).astype(np.uint8)
+    table[0x3000:] = PAIR
     table[:128] = 63
     table[ord("a"):ord("z") + 1] = np.arange(1, 27)
     table[ord("0"):ord("9") + 1] = 27
     table[[9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x2028, 0x2029]] = 0
     table[0x2000:0x200B] = 0
+    for a, b in ((0x3000, 0x3005), (0x3008, 0x3021), (0x3030, 0x3031), (0x303D, 0x3040), (0x30FB, 0x30FC), (0xFE10, 0xFE20), (0xFE30, 0xFE70),
+                 (0xFF00, 0xFF66)):
+        table[a:b] = 0
+    table[0xFE00:0xFE10] = 63
+    for a, b in ((0x30, 0x3A), (0x61, 0x7B)):
+        table[a + 0xFEE0:b + 0xFEE0] = table[a:b]
     return table
 
 
@@ -68,8 +78,8 @@ def encode_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nd
     The codes end with SPAN zeros.
     """
     points = np.frombuffer("\n".join([(t or "").lower() for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.full(len(points), 28, np.uint8)
-    low = points < 0x3000
+    codes = np.full(len(points), PAIR, np.uint8)
+    low = points < len(CLASS)
     codes[low] = CLASS[points[low]]
     breaks = np.flatnonzero(points == 10)
     lens = np.array([(t or "").count("\n") for t in texts], np.int64)
@@ -87,7 +97,14 @@ def encode_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nd
     owner = np.zeros(len(points), np.int64)
     owner[joints] = 1
     owner = np.cumsum(owner)[keep]
-    codes = codes[keep]
+    points, codes = points[keep], codes[keep]
+    pair = codes == PAIR
+    if pair.any():
+        hashed = ((points[pair].astype(np.uint64) * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) >> np.uint64(12)) % np.uint64(RADIX * RADIX)
+        codes[pair] = FIRST + hashed // RADIX
+        times = 1 + pair
+        codes, owner = np.repeat(codes, times), np.repeat(owner, times)
+        codes[np.cumsum(times)[pair] - 1] = FIRST + hashed % RADIX
     solid = codes != 0
     first = solid.copy()
     first[1:] &= ~solid[:-1]

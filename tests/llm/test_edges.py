@@ -226,3 +226,29 @@ def test_pii_day_first_dates_stay_apart(spark):
     out = both.select("m", pii._date(F.col("m"), "k").alias("p")).collect()
     assert len({r.p for r in out}) == len({r.m for r in out}) == len(out)
     assert all((int(r.p[:2]) > 12) == (int(r.m[:2]) > 12) for r in out)
+
+
+@pytest.mark.parametrize("bad,words,space", [
+    (["白痴", "混蛋"], "今天 天气 很好 我们 一起 去 公园 散步 看书 喝茶 朋友 学习 工作 音乐 电影 早上 晚上 吃饭 回家 老师", ""),
+    (["바보새끼", "멍청이"], "오늘 날씨 좋아요 우리 함께 공원 산책 책을 읽고 차를 마셔요 친구 공부 일하고 음악 영화 아침 저녁 식사 집으로", " "),
+])
+def test_toxicity_learns_scripts_from_u3000_up(bad, words, space):
+    import random
+    rng, words = random.Random(3), words.split()
+    def text(toxic):
+        w = [rng.choice(words) for _ in range(12)]
+        if toxic:
+            w[rng.randrange(12)] = rng.choice(bad)
+        return "。".join(space.join(w[i:i + 4]) for i in range(0, 12, 4)) + "。"
+    labels = [i % 2 for i in range(240)]
+    model = toxicity.train([text(k) for k in labels], labels)
+    m = model.margins([text(k) for k in labels])
+    above = [m[i] > m[j] for i in range(1, 240, 2) for j in range(0, 240, 2)]
+    assert sum(above) / len(above) > 0.95  # 0.5: no better than chance
+
+
+def test_toxicity_breaks_and_widths():
+    one = lambda t: [x.tolist() for x in toxicity.encode_words([t])]
+    assert one("ｉｄｉｏｔ　９") == one("idiot 9")
+    assert one("白痴。好、人") != one("白痴好人") and len(one("白痴。好、人")[1]) == 3
+    assert one("白痴") != one("好人") and len(one("白痴")[0]) == 1 + 4 + toxicity.SPAN
