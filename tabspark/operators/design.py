@@ -41,6 +41,10 @@ class FittedPreprocessor:
     nominal: list[str] = field(default_factory=list)
 
     def transform(self, df: DataFrame, vector: str | None = "features") -> tuple[DataFrame, list[str]]:
+        """Key, columns and vector, and the names of the vector's parts.  Above ``MAX_DENSE_LEVELS``
+        one-hot levels the vector is sparse and a nominal column is one part, ``<column>_onehot``,
+        whose positions are the slots of ``dictionary``; there are no columns per level then, so
+        ``vector=None`` raises."""
         built = build_features(df, self.spec, self.config.feature_engineering,
                                self.config.add_log_features)
         out = P.apply_numeric(built, self.numeric)
@@ -48,6 +52,8 @@ class FittedPreprocessor:
         if self.ordinal is not None:
             out = P.apply_ordinal(out, self.ordinal_levels, self.ordinal)
             names += list(self.ordinal_levels)
+        if self.dictionary is not None and vector and P.too_wide(self.dictionary):
+            return self._sparse(out, names, [self.key] + [c for c in df.columns if c == "row_index"], vector)
         if self.dictionary is not None:
             out, oh = P.onehot_columns(out, self.dictionary)
             names += oh
@@ -58,6 +64,29 @@ class FittedPreprocessor:
             out = assemble(out, names, vector)
         return out, names
 
+    def _sparse(self, out: DataFrame, names: list[str], keep: list[str], vector: str) -> tuple[DataFrame, list[str]]:
+        """Slots joined per nominal column, encoded as sparse vectors and put behind the other parts."""
+        from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+        # one row per nominal column
+        sizes = {r.feature: r.n for r in self.dictionary.groupBy("feature").agg((F.max("slot") + 1).alias("n")).collect()}
+        nominal = [c for c in self.nominal if c in sizes]
+        cols = [f"__n{i}" for i in range(len(nominal))]
+        cur = out.select(F.struct(*[F.col(f"`{c}`") for c in keep + names]).alias("__row"),
+                         *[F.col(f"`{n}`").cast("double").alias(f"__x{i}") for i, n in enumerate(names)],
+                         *[F.col(f"`{c}`").alias(n) for c, n in zip(nominal, cols)])
+        for c, n in zip(nominal, cols):
+            own = self.dictionary.filter(F.col("feature") == c).withColumn("feature", F.lit(n))
+            # an unseen level takes the slot past the last one, which the encoder leaves out
+            cur = P.onehot_slots(cur, own, n).withColumn(
+                f"{n}_slot", F.when(F.col("slot") < 0, F.col("n_slots")).otherwise(F.col("slot")).cast("double")).drop("slot", "n_slots")
+        ends = out.sparkSession.createDataFrame([tuple(float(sizes[c] - 1) for c in nominal)],
+                                                ", ".join(f"{n}_slot double" for n in cols))
+        encoder = OneHotEncoder(inputCols=[f"{n}_slot" for n in cols], outputCols=[f"{n}_vec" for n in cols],
+                                handleInvalid="keep", dropLast=True).fit(ends)
+        parts = [f"__x{i}" for i in range(len(names))] + [f"{n}_vec" for n in cols]
+        wide = VectorAssembler(inputCols=parts, outputCol="__features", handleInvalid="keep").transform(encoder.transform(cur))
+        return wide.select("__row.*", F.col("__features").alias(vector)), names + [f"{c}_onehot" for c in nominal]
+
     def save(self, root: str) -> None:
         """The parameter tables under ``root``."""
         self.numeric.impute.save(f"{root}/impute")

@@ -268,11 +268,16 @@ def fit_onehot(df: DataFrame, cols: Sequence[str], min_frequency: int | None = N
 MAX_DENSE_LEVELS = 10_000
 
 
+def too_wide(dictionary: DataFrame) -> bool:
+    """Whether the levels are too many for a column each."""
+    return dictionary.limit(MAX_DENSE_LEVELS + 1).count() > MAX_DENSE_LEVELS
+
+
 def onehot_columns(df: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, list[str]]:
     """Dense 0/1 column per slot (the assembler stores them sparsely);
     unknown levels give all zeros.  The width is the number of levels, so the
-    dictionary is fetched only below ``MAX_DENSE_LEVELS`` rows; past that use
-    ``min_frequency`` or the join form ``onehot_slots``."""
+    dictionary is fetched only below ``MAX_DENSE_LEVELS`` rows; past that
+    ``FittedPreprocessor.transform`` makes sparse vectors of ``onehot_slots``."""
     rows = dictionary.limit(MAX_DENSE_LEVELS + 1).collect()
     if len(rows) > MAX_DENSE_LEVELS:
         raise ValueError("too many one-hot levels for dense columns; raise min_frequency "

@@ -180,3 +180,18 @@ def test_stream_scoring_matches_batch(spark):
                        lambda s: s.select("item_id", F.length("text").alias("n")))
     batch = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", F.length("text").alias("n"))
     assert sorted(out.collect()) == sorted(batch.collect())
+
+
+def test_router_takes_more_levels_than_dense_columns(spark):
+    df = spark.range(11_000).select(F.col("id").alias("Id"), (F.col("id") % 7).cast("double").alias("slot"),
+                                    F.format_string("v%06d", "id").alias("Code"), F.format_string("w%d", F.col("id") % 3).alias("Kind"),
+                                    F.col("id").cast("double").alias("Price"))
+    fitted = fit_preprocessor(df, "Id", "Price", FeatureSpec(), PreprocessConfig(False, False))
+    new = spark.createDataFrame([(20_000, 3.0, "v000005", "w2", 0.0), (20_001, 3.0, "unseen", "w0", 0.0)], df.schema)
+    x, names = fitted.transform(df.union(new))
+    assert names == ["slot", "Code_onehot", "Kind_onehot"]
+    assert x.columns == ["Id", "slot", "features"] and x.count() == 11_002
+    got = {r.Id: r.features for r in x.filter("Id in (0, 10999, 20000, 20001)").collect()}
+    assert {v.size for v in got.values()} == {1 + 11_000 + 3}
+    on = {k: [int(i) for i, a in zip(v.indices, v.values) if i > 0 and a == 1.0] for k, v in got.items()}
+    assert on == {0: [1, 11_001], 10_999: [11_000, 11_002], 20_000: [6, 11_003], 20_001: [11_001]}
