@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, toxicity
+from . import bpe, language_id, merkle, token_records, toxicity
 from .embedding_dedup import near_vectors
 from .exact_dedup import exact_groups
 from .line_dedup import drop_lines
@@ -14,6 +14,7 @@ from .pii import pseudonymise
 from .sampling import held_out
 from .simhash import near_groups
 from .substring_dedup import remove_repeats
+from .vector_codes import vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +75,54 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), parts=8, entries=16, rounds=6, scale=4096)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    col = F.col
+    changed = F.coalesce(F.crc32(col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    claimed = merkle.leaf_digest([col("doc_id"), col("source"), col("lang"), F.when(changed, col("n_chars") + 1).otherwise(col("n_chars")), col("text")])
+    made = merkle.merkle_manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", {"claimed": claimed})
+    return made.rows.select(
+        "doc_id", "leaf", "subroot", F.lit(made.root).cast("string").alias("root"), merkle.proof_digest(col("path")).alias("proof_sha256"),
+        merkle.fold(col("claimed"), col("path")).alias("folded_root")).withColumn("verified", col("folded_root") == col("root"))
+
+
+def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    manifest = token_records.write_records(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                           public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_records.read_records(manifest).select(
+        "doc_id", "start", F.expr("length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Chained rounds over (vec_id, p, x): a has each part's nearest entry, b the codebooks."""
+    nearest = """SELECT vec_id, p, min((list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c))::BIGINT * 16 + e) AS m
+                FROM parts JOIN b{k} USING (p) GROUP BY vec_id, p"""
+    steps = []
+    for k in range(rounds):
+        steps.append(f"""a{k} AS MATERIALIZED ({nearest.format(k=k)}),
+        s{k} AS (SELECT p, m % 16 AS e, i, sum(x[i]::BIGINT)::BIGINT AS s, count(*) AS n
+                 FROM a{k} JOIN parts USING (vec_id, p), (SELECT unnest(range(1, 1 + (SELECT max(len(x)) FROM parts))) AS i) GROUP BY ALL),
+        n{k} AS (SELECT p, e, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY i) AS c FROM s{k} GROUP BY p, e),
+        b{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(n{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN n{k} USING (p, e))""")
+    return f"""
+        WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)) AS v FROM embeddings
+                      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS MATERIALIZED (SELECT vec_id, p, v[p * len(v) // 8 + 1:(p + 1) * len(v) // 8] AS x FROM kept, (SELECT unnest(range(8)) AS p)),
+        b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts QUALIFY e < 16),
+        {", ".join(steps)},
+        last AS ({nearest.format(k=rounds)}),
+        coded AS (SELECT vec_id, string_agg(format('{{:02x}}', m % 16), '' ORDER BY p) AS code, sum(m // 16)::BIGINT AS error FROM last GROUP BY vec_id),
+        book AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY p, e)) AS h FROM b{rounds})
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+        FROM coded JOIN kept USING (vec_id), book"""
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -85,6 +134,9 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_pii": op9_pii,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_records": op13_token_records,
 }
 
 SQL = {
@@ -146,4 +198,28 @@ SQL = {
                   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
         SELECT doc_id, size, source_size, target,
                (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM rated""",
+    "op11_vector_codes": _lloyd_sql(6),
+    "op12_merkle_manifest": r"""
+        WITH RECURSIVE fields AS (
+            SELECT doc_id, lang, coalesce((xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT),
+                lambda c, b: list_reduce(range(8), lambda y, k: xor(y >> 1, (y & 1) * 3988292384), xor(c, b)), 4294967295::BIGINT), 4294967295::BIGINT)) % 7 = 0, false) AS bad,
+                [doc_id::VARCHAR, source, lang, n_chars::VARCHAR, text] AS own, [doc_id::VARCHAR, source, lang, (n_chars + 1)::VARCHAR, text] AS other FROM documents),
+        hashed AS (SELECT doc_id, lang, sha256(list_aggregate(list_transform(own, lambda x: coalesce(strlen(x) || ':' || x, '-')), 'string_agg', '')) AS leaf,
+                   sha256(list_aggregate(list_transform(CASE WHEN bad THEN other ELSE own END, lambda x: coalesce(strlen(x) || ':' || x, '-')), 'string_agg', '')) AS claimed FROM fields),
+        leaves AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM hashed WINDOW w AS (PARTITION BY lang ORDER BY doc_id)),
+        nodes AS (SELECT lang, 0 AS level, i, n, leaf AS digest FROM leaves UNION ALL
+                  SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY lang, level, i // 2, n),
+        subs AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+        tops AS (SELECT 0 AS level, i, n, subroot AS digest FROM subs UNION ALL
+                 SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, i // 2, n),
+        low AS (SELECT doc_id, lang, leaf, 0 AS level, i, n, claimed AS acc, '' AS proof FROM leaves UNION ALL
+                SELECT doc_id, low.lang, leaf, low.level + 1, low.i // 2, (low.n + 1) // 2,
+                       sha256(CASE WHEN s.i < low.i THEN s.digest ELSE '' END || acc || CASE WHEN s.i > low.i THEN s.digest ELSE '' END), proof || coalesce(s.digest, '')
+                FROM low LEFT JOIN nodes AS s ON s.lang IS NOT DISTINCT FROM low.lang AND s.level = low.level AND s.i = xor(low.i, 1) WHERE low.n > 1),
+        high AS (SELECT doc_id, leaf, subroot, 0 AS level, subs.i, subs.n, acc, proof FROM low JOIN subs ON low.lang IS NOT DISTINCT FROM subs.lang WHERE low.n = 1 UNION ALL
+                 SELECT doc_id, leaf, subroot, high.level + 1, high.i // 2, (high.n + 1) // 2,
+                        sha256(CASE WHEN s.i < high.i THEN s.digest ELSE '' END || acc || CASE WHEN s.i > high.i THEN s.digest ELSE '' END), proof || coalesce(s.digest, '')
+                 FROM high LEFT JOIN tops AS s ON s.level = high.level AND s.i = xor(high.i, 1) WHERE high.n > 1)
+        SELECT doc_id, leaf, subroot, tops.digest AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = tops.digest AS verified
+        FROM high, tops WHERE high.n = 1 AND tops.n = 1""",
 }
