@@ -10,9 +10,10 @@ the same validation as its original.
 
 Kinds: email (letters and digits of the local part), ipv4, card (13 to 19
 digits, last one the Luhn digit), ssn, phone (North American; the first digit of an area
-or exchange code stays in 2 to 9, or as it is if not) and date (yyyy-mm-dd, mm/dd/yyyy,
-dd.mm.yyyy; days are permuted in blocks of 72,960 days).  A date with slashes that is none as mm/dd
-is read as dd/mm and gets a pseudonym of that kind, with a day above 12.
+or exchange code stays in 2 to 9, or as it is if not) and date (yyyy-mm-dd, yyyy/mm/dd, mm/dd/yyyy,
+dd.mm.yyyy, also d/m/yyyy without zeros; days are permuted in blocks of 72,960 days).  A date with
+slashes that is none as mm/dd is read as dd/mm.  A calendar day has one pseudonym in all formats:
+days above the 12th and the others are permuted among themselves, so a printed order stays readable.
 
 Cards are looked for at every digit group of a run of digits, spaces and
 hyphens and taken, from the left, where the Luhn digit holds: an unseparated
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 KINDS = ["email", "ipv4", "card", "ssn", "phone", "date"]
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 RUN = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}+"
 # cards at a digit group, one of whose shapes at most fits; LONG goes on where a group of four may end one of them
@@ -50,10 +51,11 @@ OPEN, CLOSE, LITERAL = "\ufdd0", "\ufdd1", "\ufdd2"  # around a card; after an O
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])"
          r"[0-9]{3}[ .-][0-9]{4}(?![0-9])")
-DATE = (r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])"
+DATE = (r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9/])[0-9]{4}/[0-9]{2}/[0-9]{2}(?![0-9/])"
+        r"|(?<![0-9/])[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}(?![0-9/])"
         r"|(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9]|\.[0-9])")
-# a run of its own in which no other kind begins
-CARD = (rf"(?<![0-9])(?<![0-9][ -])(?!(?:[0-9]+[ -])+(?:{IPV4}|{SSN}|{PHONE}|{DATE}|{OPEN}))"
+# a run of its own in which no other kind begins; more groups than a card has digits are no card
+CARD = (rf"(?<![0-9])(?<![0-9][ -])(?!(?:[0-9]{{1,19}}[ -]){{1,18}}(?:{IPV4}|{SSN}|{PHONE}|{DATE}|{OPEN}))"
         r"[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])")
 FOUND = f"{OPEN}[0-9][0-9 -]*{CLOSE}"
 ANY = "|".join([FOUND, EMAIL, IPV4, SSN, PHONE, DATE, CARD])
@@ -62,6 +64,7 @@ BEFORE = "|".join([EMAIL, IPV4, SSN, PHONE, DATE, RUN])
 TAKEN = rf"[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9-])|[0-9]{{3}}[ -][0-9]{{3}}[ -][0-9]{{4}}(?![0-9])|[0-9]{{1,2}}[/.][0-9]|{DATE}"
 FIRST, LETTERS = "0123456789", "!#ABCDEFGH"
 BLOCK_L, BLOCK_R = 256, 285  # 72,960 days
+WALK = 256
 SERIALS = 9999
 
 
@@ -199,12 +202,15 @@ def _phone(m: Column, key: str) -> Column:
     return F.concat(F.substr(m, F.lit(1), start - 1), _with(new, lambda n: _refill(own, n)))
 
 
+def _calendar(year: Column, month: Column, day: Column) -> Column:
+    return F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")).try_cast("date")
+
+
 def _day(m: Column) -> Column:
-    """The calendar day of a date in one of the three formats, or null."""
-    iso = F.when(F.substring(m, 5, 1) == "-", m)
-    us = F.when(F.substring(m, 3, 1) == "/", F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 1, 2), F.substring(m, 4, 2)))
-    eu = F.when(F.substring(m, 3, 1).isin("/", "."), F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2)))
-    return F.coalesce(*[x.try_cast("date") for x in (iso, us, eu)])
+    """The calendar day of a date in one of the formats, or null."""
+    x = [F.get(F.split(m, "[-/.]"), i) for i in range(3)]
+    us = F.when(m.contains("/"), _calendar(x[2], x[0], x[1]))
+    return F.when(F.length(x[0]) == 4, _calendar(*x)).otherwise(F.coalesce(us, _calendar(x[2], x[1], x[0])))
 
 
 def _moved_day(day: Column, key: str) -> Column:
@@ -218,15 +224,16 @@ def _moved_day(day: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    slash = F.substring(m, 3, 1) == "/"
-    day_first = slash & (F.substring(m, 1, 2).cast("int") > 12)
-    # dd/mm: on to the next day with a number above 12, so that these stay apart from mm/dd (within 64 steps but for odds of 1e-20)
+    first = F.get(F.split(m, "[-/.]"), 0)
+    # on to the next day on the same side of the 12th, so that dd/mm stays apart from mm/dd and a day
+    # has one pseudonym in all formats (within WALK steps but for odds of 1e-55)
     above = lambda d: F.dayofmonth(d) > 12
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(64)), _moved_day(_day(m), key),
-                         lambda d, _: F.when(above(d), d).otherwise(_moved_day(d, key)))
-    return _with(F.when(day_first, walked).otherwise(_moved_day(_day(m), key)), lambda day: (
-        F.when(F.substring(m, 5, 1) == "-", F.date_format(day, "yyyy-MM-dd")).when(day_first, F.date_format(day, "dd/MM/yyyy"))
-        .when(slash, F.date_format(day, "MM/dd/yyyy")).otherwise(F.date_format(day, "dd.MM.yyyy"))))
+    walked = _with(_day(m), lambda own: F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), _moved_day(own, key),
+                                                    lambda d, _: F.when(above(d) == above(own), d).otherwise(_moved_day(d, key))))
+    month, day = F.when(F.length(m) < 10, "M").otherwise("MM"), F.when(F.length(m) < 10, "d").otherwise("dd")
+    form = (F.when(m.contains("-"), "yyyy-MM-dd").when(F.length(first) == 4, "yyyy/MM/dd").when(m.contains("."), "dd.MM.yyyy")
+            .when(first.cast("int") > 12, F.concat(day, F.lit("/"), month, F.lit("/yyyy"))).otherwise(F.concat(month, F.lit("/"), day, F.lit("/yyyy"))))
+    return _with(walked, lambda d: F.call_function("date_format", d, form))
 
 
 def kind_of(m: Column) -> Column:
