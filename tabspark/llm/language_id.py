@@ -13,7 +13,8 @@ together.  Texts are parsed whole, in blocks of ``BLOCK`` bytes.
 
 Scale: rows stay where they were read; nothing is shuffled but the counts per
 label.  The model is bounded by ``docs_per_language`` x ``chars_per_doc``
-labelled characters (a parameter), cut to ``train_bytes`` a language.
+labelled characters (parameters), taken from places all over the sampled texts
+and shared evenly over them up to ``train_bytes`` a language.
 
 Defined results: a null text or one without a letter is ``und`` with score 0.
 Other texts get the learnt language with the fewest normalised phrases, ties
@@ -37,6 +38,7 @@ from .sampling import sample_per_class
 
 UND = "und"
 BLOCK = 1024
+PIECES = 8
 SLICE = 2 << 20
 FLAG = -(1 << 31)
 LETTER = regex.compile(r"\p{L}")
@@ -158,15 +160,39 @@ class Model:
         return langs, scores
 
 
+def _inner(piece: str, whole: bool) -> str:
+    """A piece without the words that its ends may have cut."""
+    words = piece.split(" ")
+    return piece if whole or len(words) < 3 else " ".join(words[1:-1])
+
+
+def even_shares(sizes: list[int], total: int) -> list[int]:
+    """``total`` shared evenly over the sizes; what a size leaves goes to the others."""
+    out, left = [0] * len(sizes), total
+    for k, i in enumerate(sorted(range(len(sizes)), key=lambda i: (sizes[i], i))):
+        out[i] = min(sizes[i], left // (len(sizes) - k))
+        left -= out[i]
+    return out
+
+
 def fit(docs: DataFrame, docs_per_language: int = 40, chars_per_doc: int = 2000, train_bytes: int = 32_768) -> Model:
-    """Learn from rows with text and lang (a bounded sample, see the parameters)."""
-    rows = docs.filter("lang is not null and text is not null").select(
-        "doc_id", "lang", F.substring("text", 1, chars_per_doc).alias("text"))
+    """Learn from rows with text and lang (a bounded sample, see the parameters).
+
+    Of a sampled text above ``chars_per_doc`` characters, ``PIECES`` pieces at places drawn by hash from
+    all of it are taken; a language's ``train_bytes`` are shared evenly over its sampled texts.
+    """
+    each = max(1, chars_per_doc // PIECES)
+    length, text = F.char_length("text"), F.col("text")
+    place = lambda j: F.pmod(F.xxhash64(F.col("doc_id"), j), length - each + 1).cast("int") + 1
+    drawn = F.when(length <= chars_per_doc, F.array(text)).otherwise(
+        F.transform(F.sequence(F.lit(1), F.lit(PIECES)), lambda j: F.substr(text, place(j), F.lit(each))))
+    rows = docs.filter("lang is not null and text is not null").select("doc_id", "lang", drawn.alias("pieces"))
     sample, counts = sample_per_class(rows, "lang", docs_per_language)
-    texts: dict[str, bytes] = {}
+    raw: dict[str, list[bytes]] = {}
     for r in sample:
-        flat, _ = normalise([r["text"]])
-        texts[r["lang"]] = (texts.get(r["lang"], b"") + flat.tobytes())[:train_bytes]
+        flat, _ = normalise([" ".join(_inner(p, len(r["pieces"]) == 1) for p in r["pieces"])])
+        raw.setdefault(r["lang"], []).append(flat.tobytes())
+    texts = {lang: b"".join(x[:n] for x, n in zip(own, even_shares([len(x) for x in own], train_bytes))) for lang, own in raw.items()}
     return Model(texts, sorted(counts, key=lambda k: (-counts[k], k)))
 
 

@@ -17,8 +17,8 @@ Spark broadcasts when the staged source table is small and splits when skewed.
 
 Defined results: a null or empty text has size 0; a source without words has
 target and rate 0; a null source is a source of its own, apart from any
-string.  Repeated rows of one doc_id share their draw, as do all rows with a
-null doc_id.  Extra columns are left alone; an empty table gives an empty result.
+string.  Repeated rows of one doc_id share their draw, as do rows with a null
+doc_id and equal texts.  Extra columns are left alone; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,11 +42,16 @@ def size_of(text):
 
 
 def draw(seed: int):
-    """Uniform in [0, 1) from the seed and the doc_id: 52 bits of an MD5."""
-    key = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    """Uniform in [0, 1) from the seed and the doc_id (``__mark`` where that is null): 52 bits of an MD5."""
+    key = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null|"), F.col("__mark"))))
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, DRAW_BITS // 4), 16, 10).cast("double") / float(2 ** DRAW_BITS)
 
 
+def mark():
+    """The text's digest, where there is no doc_id to draw by."""
+    return F.when(F.col("doc_id").isNull(), F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("__mark")
+
+
 def source_targets(sizes: DataFrame, most: int) -> DataFrame:
     """(source, source_size, target) from (source, size)."""
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -73,8 +78,8 @@ def _share(free: int, left: int):
 
 def mix(docs: DataFrame, most: int = 3, seed: int = 17) -> DataFrame:
     """(row columns of ``sized``) plus source_size, target, copies, taken: one row per row of ``docs``."""
-    sized = stage(docs.select("doc_id", "source", size_of(F.col("text")).alias("size")), "sizes")
-    return with_copies(sized, source_targets(sized, most), seed)
+    sized = stage(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), mark()), "sizes")
+    return with_copies(sized, source_targets(sized, most), seed).drop("__mark")
 
 
 def with_copies(rows: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
@@ -90,7 +95,7 @@ def mixed_documents(docs: DataFrame, most: int = 3, seed: int = 17) -> DataFrame
     sized = docs.select("source", size_of(F.col("text")).alias("size"))
     targets = source_targets(stage(sized, "sizes"), most)
     keep = docs.columns
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], "doc_id", "source")
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], "doc_id", "source", mark())
     taken = with_copies(plain, targets, seed).filter("copies > 0")
     return (taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
             .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)]))

@@ -177,7 +177,7 @@ SQL = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (bad.key IS NULL), '')) AS kept_sha256
         FROM keys LEFT JOIN bad ON keys.key = bad.key GROUP BY doc_id""",
     "op7_source_mixing": r"""
-        WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+        WITH sized AS (SELECT doc_id, source, coalesce(doc_id::VARCHAR, 'null|' || md5(coalesce(text, ''))) AS mark, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
                        FROM documents),
         sums AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
         ranked AS (SELECT *, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS weight FROM sums),
@@ -193,7 +193,7 @@ SQL = {
                                  (3 * source_size)::DOUBLE) END AS target FROM ranked),
         rated AS (SELECT doc_id, size, source_size, target,
                          CASE WHEN source_size = 0 THEN 0.0 ELSE target / source_size END AS rate,
-                         ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE
+                         ('0x' || substr(md5('17|' || mark), 1, 13))::BIGINT::DOUBLE
                          / 4503599627370496.0 AS draw
                   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
         SELECT doc_id, size, source_size, target,

@@ -33,9 +33,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..session import stage
-from .arrow import longs, text_bytes, text_slices
+from ..session import drop_stages, stage
+from .arrow import as_bytes, longs, map_slices, text_bytes, text_slices
 from .components import components
 
 SEED = 42
@@ -62,12 +63,15 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
+def _prints(texts: list[bytes], shingle: int) -> pa.Array:
+    return pa.array(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
+
+
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed long."""
     def run(batches):
         for part in text_slices(batches):
-            fp = np.array([fingerprint(t, shingle) for t in text_bytes(part)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([longs(part, "doc_id"), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([longs(part, "doc_id"), _prints(text_bytes(part), shingle)], names=["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
@@ -260,20 +264,42 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
     return dealt.mapInArrow(compare, "u long, v long")
 
 
-def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id): one row per document."""
+def _decided(docs: DataFrame, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Staged (doc_id, fp) of every row, and (fp, root, component_id) of every fingerprint."""
     rows = stage(fingerprints(docs, shingle), "fingerprints")
     distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(links(distinct, radius))
     rooted = stage(distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
     least = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
-    decisions = stage(rooted.join(least, "root").select("fp", "component_id"), "decisions")
+    decisions = stage(rooted.join(least, "root").select("fp", "root", "component_id"), "decisions")
+    drop_stages(distinct, rooted, least)
+    return rows, decisions
+
+
+def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """(doc_id, fp, component_id): one row per document."""
+    rows, decisions = _decided(docs, shingle, radius)
     return rows.join(decisions, "fp").select("doc_id", "fp", "component_id")
 
 
 def near_dedup(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of each group (rows of one doc_id stay or go together)."""
-    groups = near_groups(docs, shingle, radius)
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["__keep"]), "left_semi")
+    """One row of ``docs`` of each group: that with the smallest doc_id.
+
+    Rows that a doc_id doesn't tell apart (null or repeated ids) are looked at again by fingerprint: of
+    several with the group's smallest doc_id, or of a group without any, the one whose text has the
+    smallest hash stays.
+    """
+    rows, decisions = _decided(docs, shingle, radius)
+    shared = stage(rows.groupBy("doc_id").count().filter("doc_id is null or count > 1").select(F.col("doc_id").alias("__shared")), "shared-ids")
+    keep = rows.join(decisions, "fp").filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__keep"))
+    keep = keep.join(shared, F.col("__keep") == F.col("__shared"), "left_anti")
+    out = docs.join(keep, docs["doc_id"] == keep["__keep"], "left_semi")
+    if shared.limit(1).count() == 0:
+        return out
+    again = docs.join(shared, docs["doc_id"].eqNullSafe(shared["__shared"]), "left_semi")
+    plain = again.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+    marked = map_slices(plain, lambda _, texts: [_prints(as_bytes(texts), shingle)], StructType().add("fp", "long"))
+    chosen = marked.join(decisions, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min_by("row", F.xxhash64("text")).alias("row")).select("row.*")
+    return out.unionByName(chosen)

@@ -215,28 +215,38 @@ def _most(at: np.ndarray, count: np.ndarray) -> np.ndarray:
     return at[np.argsort(-count[at], kind="stable")]
 
 
-def _distinct(texts: list[str], toxic: np.ndarray) -> list[int]:
-    """Positions without near copies of earlier texts of the label (a common minimum of hashed 4-word shingles)."""
-    seen, kept = set(), []
+def _distinct(texts: list[str], toxic: np.ndarray, words: int = 5, similarity: float = 0.8) -> list[int]:
+    """Positions without near copies of earlier texts of the label.
+
+    Texts with a common minimum of hashed shingles are candidates; a text goes only where the Jaccard
+    similarity of its shingles with a kept one's reaches ``similarity``.
+    """
+    holders: dict[tuple[int, int, int], list[int]] = {}
+    shingles: dict[int, np.ndarray] = {}
     for i, (t, k) in enumerate(zip(texts, toxic)):
         w = t.lower().split()
-        h = np.array([zlib.crc32(" ".join(w[j:j + 4]).encode()) for j in range(max(1, len(w) - 3))], np.uint64)
-        marks = {(int(k), a, int((h * np.uint64(a) & np.uint64(0xFFFFFFFF)).min())) for a in (1, 2654435761, 40503001, 97643519)}
-        if not marks & seen:
-            kept.append(i)
-        seen |= marks
-    return kept
+        h = np.unique(np.array([zlib.crc32(" ".join(w[j:j + words]).encode()) for j in range(max(1, len(w) - words + 1))], np.uint32))
+        marks = [(int(k), a, int((h * np.uint64(a) & np.uint64(0xFFFFFFFF)).min())) for a in (1, 2654435761, 40503001, 97643519)]
+        for j in {j for m in marks for j in holders.get(m, ())}:
+            both = len(np.intersect1d(h, shingles[j], assume_unique=True))
+            if both >= similarity * (len(h) + len(shingles[j]) - both):
+                break
+        else:
+            shingles[i] = h
+            for m in marks:
+                holders.setdefault(m, []).append(i)
+    return list(shingles)
 
 
 def train(texts: list[str], toxic: np.ndarray, landmarks: int = 300, rounds: int = 4, seed: int = 5,
           totals: tuple[int, int] | None = None) -> Model:
     """Fit on labelled texts (a bounded sample); ``totals``: the rows of label 0 and 1 that they stand for."""
     toxic = np.asarray(toxic, np.int64)
-    stands = np.ones(2) if totals is None else np.array(totals) / np.maximum(np.bincount(toxic, minlength=2), 1)
     if len(texts) == 0 or toxic.min() == toxic.max():
         return Model(None, 0, 0, 0, flat=float(toxic.mean()) if len(texts) else 0.0)
     own = _distinct(texts, toxic)
     texts, toxic = [texts[i] for i in own], toxic[own]
+    stands = np.ones(2) if totals is None else np.array(totals) / np.maximum(np.bincount(toxic, minlength=2), 1)
     rng = np.random.default_rng(seed)
     part = np.ones(len(texts), bool)
     if min(np.bincount(toxic)) >= 40:
