@@ -40,11 +40,12 @@ class FittedPreprocessor:
     dictionary: DataFrame | None
     nominal: list[str] = field(default_factory=list)
 
-    def transform(self, df: DataFrame, vector: str | None = "features") -> tuple[DataFrame, list[str]]:
-        """Key, columns and vector, and the names of the vector's parts.  Above ``MAX_DENSE_LEVELS``
+    def transform(self, df: DataFrame, vector: str | None = "features", keep: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+        """Key (and ``keep``), columns and vector, and the names of the vector's parts.  Above ``MAX_DENSE_LEVELS``
         one-hot levels the vector is sparse and a nominal column is one part, ``<column>_onehot``,
         whose positions are the slots of ``dictionary``; there are no columns per level then, so
         ``vector=None`` raises."""
+        keep = list(dict.fromkeys([self.key, *[c for c in df.columns if c == "row_index"], *keep]))
         built = build_features(df, self.spec, self.config.feature_engineering,
                                self.config.add_log_features)
         out = P.apply_numeric(built, self.numeric)
@@ -53,11 +54,10 @@ class FittedPreprocessor:
             out = P.apply_ordinal(out, self.ordinal_levels, self.ordinal)
             names += list(self.ordinal_levels)
         if self.dictionary is not None and vector and P.too_wide(self.dictionary):
-            return self._sparse(out, names, [self.key] + [c for c in df.columns if c == "row_index"], vector)
+            return self._sparse(out, names, keep, vector)
         if self.dictionary is not None:
             out, oh = P.onehot_columns(out, self.dictionary)
             names += oh
-        keep = [self.key] + [c for c in df.columns if c == "row_index"]
         out = out.select(*keep, *[F.col(f"`{n}`") for n in names])
         if vector:
             from .models import assemble

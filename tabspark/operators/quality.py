@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions.clean import absent, is_quote_wrapped, string_columns, to_number
+from ..functions.encode import row_text
 from ..functions.features import numeric_columns
 from ..functions.stats import count_true, not_finite, safe_corr, skew_unbiased
 from .quantiles import column_quantiles, quantile_wide
@@ -39,11 +40,9 @@ def table_counts(df: DataFrame, target: str | None = None) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """A2: rows beyond the first of each identical row (nulls compare equal)."""
-    cols = list(cols or df.columns)
-    # rows meet by a 256-bit digest of their values, so wide text columns are not shuffled
-    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]), {"ignoreNullFields": "false"})
-    groups = df.groupBy(F.sha2(row, 256).alias("_row")).agg(F.count(F.lit(1)).alias("_n"))
+    """A2: rows beyond the first of each identical row (nulls compare equal, as do NaNs and both zeros)."""
+    # rows meet by a 256-bit digest of their typed values, so wide text columns are not shuffled
+    groups = df.groupBy(F.sha2(row_text(df, cols), 256).alias("_row")).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(
         F.sum("_n").cast("bigint").alias("rows"),
         F.count(F.lit(1)).cast("bigint").alias("distinct_rows"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.infer import apply_output_template, with_row_index
-from ..operators.quality import null_profile
+from ..operators.quality import duplicate_rows, null_profile
 from ..operators.split import stratified_split
 from ..session import checkpoint_dir
 from ..sources.io import read_csv_table
@@ -40,7 +40,7 @@ def csv_contract(spark, sf):
     d.write.options(header=True, quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False,
                     ignoreTrailingWhiteSpace=False).csv(path)
     schema = StructType([StructField("doc_id", LongType()), StructField("n_chars", LongType()), StructField("text", StringType())])
-    return read_csv_table(spark, path, schema).select("doc_id", "n_chars", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    return read_csv_table(spark, path, schema, multi_line=True).select("doc_id", "n_chars", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 @query
@@ -49,3 +49,12 @@ def template_fill(spark, sf):
     template = with_row_index(read_table(spark, sf, "documents").select(F.col("doc_id").alias("Id")))
     pred = read_table(spark, sf, "documents").select(F.col("doc_id").alias("Id"), (F.col("n_chars") / 2.0).alias("Prediction"))
     return apply_output_template(pred, template)
+
+
+@query
+def dup_events(spark, sf):
+    """A2: duplicate rows among events, whose timestamps differ in microseconds."""
+    e = read_table(spark, sf, "events")
+    ts = F.col("ts").cast("timestamp")
+    moved = F.when(F.col("event_id") % 20 == 0, F.timestamp_micros(F.unix_micros(ts) + F.col("event_id") % 3)).otherwise(ts)
+    return duplicate_rows(e.unionByName(e.filter(F.col("event_id") % 10 == 0).withColumn("ts", moved.cast(e.schema["ts"].dataType))))

@@ -8,6 +8,8 @@ round trip do.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from ..operators import oof as O
 from ..operators.oof import ml_fit_predict
 from ..operators.search import coarse_to_fine
 from ..operators.split import nested_kfold, stratified_kfold
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 from ..sources.tables import docs, ord_table
 from .catalogue import query
 from .catalogue_models import BASE_MODELS, oof_base
@@ -165,12 +167,20 @@ def _dense_inputs(spark, sf):
 
 @query
 def dense_score(spark, sf):
-    from ..operators.models import init_dense
-    x, feats, get = _dense_inputs(spark, sf)
-    ws = init_dense(len(feats), (16, 8), seed=0)
-    scored = O.dense_score(x.select("doc_id", "n_chars", *feats), feats, ws, "relu", out="zhat")
-    return rounded(scored.select("doc_id", P.target_inverse(F.col("zhat"), "n_chars", get, "log1p")
-                                 .alias("pred")), 4)
+    """M8 + M9 + S9: a net fitted on dev rows, stored with its preparation, loaded and scored on all rows."""
+    from pyspark.ml import Pipeline
+
+    from ..functions.features import FeatureSpec
+    from ..operators import artifacts as A
+    from ..operators.design import PreprocessConfig
+    s = docs_split(spark, sf).select("doc_id", "n_chars", *NUM, "split")
+    plain = PreprocessConfig(feature_engineering=False, add_log_features=False, numeric_only=True)
+    net = A.DenseNet(layers=(16, 8), activation="relu", epochs=12, lr=0.02, seed=0)
+    model = Pipeline(stages=[A.Preparation("doc_id", "n_chars", FeatureSpec(), plain), A.ScaledTarget(net, "n_chars", "log")]).fit(
+        s.filter(F.col("split") == "dev").drop("split"))
+    root = f"{checkpoint_dir(spark).rstrip('/')}/net-{uuid.uuid4().hex}"
+    A.save_scorers(root, model)
+    return rounded(A.predict_from_store(spark, root, s.drop("n_chars", "split"), out="pred").select("doc_id", "pred"), 4)
 
 
 @query
@@ -191,7 +201,6 @@ def dense_fit(spark, sf):
 def csv_roundtrip(spark, sf):
     """Write the order table as CSV (nulls become empty cells), read it
     back under the declared schema with NA tokens and coercion."""
-    import uuid
     from ..sources.io import read_csv_table
     o = ord_table(spark, sf).select("o_orderkey", "l_qty", "l_n_lines", "c_mktsegment")
     path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
@@ -234,3 +243,37 @@ def table_digest(spark, sf):
     from ..sources.io import table_digest as td
     from ..sources.tables import read_table
     return td(read_table(spark, sf, "lineitem"))
+
+
+@query
+def score_from_artifacts(spark, sf):
+    """I1 + S9 + S10: preparation and least-squares models stored as pipelines, loaded and scored in
+    single and ensemble mode, and in ensemble mode on a stream.  Member m learns from the rows outside fold m."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from ..functions.features import FeatureSpec
+    from ..operators import artifacts as A
+    from ..operators.design import PreprocessConfig
+    from ..operators.models import make_estimator
+    from ..sources.tables import line_count, word_count
+    from ..streaming.score import run_to_table, stream_table
+    f = docs_folds(spark, sf).select("doc_id", "fold", "n_chars", "n_words", "n_lines")
+    plain = PreprocessConfig(feature_engineering=False, add_log_features=False, numeric_only=True)
+    prepared = A.Preparation("doc_id", "n_chars", FeatureSpec(), plain, exclude=["fold"]).fit(f.filter(F.col("fold") != 0))
+    design = materialize(prepared.transform(f))
+
+    def fitted(m):
+        learner = A.ScaledTarget(make_estimator("ridge"), "n_chars")
+        return PipelineModel([prepared, *Pipeline(stages=[learner]).fit(design.filter(F.col("fold") != m)).stages])
+    root = f"{checkpoint_dir(spark).rstrip('/')}/scorers-{uuid.uuid4().hex}"
+    A.save_scorers(root, fitted(0), {f"fold{m}": fitted(m) for m in (1, 2, 3)}, {"target": "n_chars", "seed": FOLD_SEED})
+    rows = f.select("doc_id", "n_words", "n_lines")
+
+    def from_text(s):
+        return A.predict_from_store(spark, root, s.select(
+            "doc_id", word_count("text").cast("bigint").alias("n_words"), line_count("text").cast("bigint").alias("n_lines")),
+            "ensemble", "streamed").select("doc_id", "streamed")
+    streamed = run_to_table(stream_table(spark, sf, "documents"), from_text)
+    single = A.predict_from_store(spark, root, rows, "single", "single").select("doc_id", "single")
+    many = A.predict_from_store(spark, root, rows, "ensemble", "ensemble").select("doc_id", "ensemble")
+    return rounded(single.join(many, "doc_id").join(streamed, "doc_id"), 3)

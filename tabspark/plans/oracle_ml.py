@@ -119,3 +119,22 @@ SELECT doc_id, {r('my - bw * mw - bl * ml + bw * n_words + bl * n_lines', 2)} AS
 
 SQL["predictions_csv"] = f"""{BASE}
 SELECT doc_id AS "Id", printf('%.6f', p_words) AS "Prediction", row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM oof"""
+
+
+def _two_feature_fit(m: int) -> str:
+    """Least squares of n_chars on n_words and n_lines over the rows outside fold m: fit_m(b0, bw, bl)."""
+    w = f"FILTER (fold <> {m})"
+    return f"""mo{m} AS (SELECT avg(n_chars) {w} AS my, avg(n_words) {w} AS mw, avg(n_lines) {w} AS ml,
+          var_pop(n_words) {w} AS ww, var_pop(n_lines) {w} AS ll, covar_pop(n_words, n_lines) {w} AS wl,
+          covar_pop(n_chars, n_words) {w} AS wy, covar_pop(n_chars, n_lines) {w} AS ly FROM docs_f),
+    be{m} AS (SELECT *, (wy * ll - ly * wl) / (ww * ll - wl * wl) AS bw, (ly * ww - wy * wl) / (ww * ll - wl * wl) AS bl FROM mo{m}),
+    fit{m} AS (SELECT my - bw * mw - bl * ml AS b0, bw, bl FROM be{m})"""
+
+
+_MEAN = " + ".join(f"(fit{m}.b0 + fit{m}.bw * n_words + fit{m}.bl * n_lines)" for m in (1, 2, 3))
+SQL["score_from_artifacts"] = f"""WITH {DOCS_BINS},
+{folds("docs_b", "doc_id", "docs_f")},
+{", ".join(_two_feature_fit(m) for m in range(4))}
+SELECT doc_id, {r("greatest(fit0.b0 + fit0.bw * n_words + fit0.bl * n_lines, 0)", 3)} AS single,
+       {r(f"greatest(({_MEAN}) / 3, 0)", 3)} AS ensemble, {r(f"greatest(({_MEAN}) / 3, 0)", 3)} AS streamed
+FROM docs_f, fit0, fit1, fit2, fit3"""

@@ -15,24 +15,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType, StructType
 
 from ..functions.clean import na_to_null, to_number
+from ..functions.encode import row_text
 
 
 # ------------------------------------------------------------------ S1 CSV with NA tokens
 
-def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv_table(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False,
+                   extra: str = "raise") -> DataFrame:
     """Read every column as text, turn NA tokens into null, then coerce to the
     declared type (bad numbers become null).
 
     Columns are found by the name in the header, in any order; a column that the
-    header lacks raises an error naming it, extra ones are left out.  Quoted
-    values follow RFC 4180: doubled quotes, commas and line breaks.
+    header lacks raises an error naming it, and so does one that the schema lacks
+    (V1), unless ``extra`` is ``drop`` or ``keep`` (as text, behind the others).
+    Quoted values follow RFC 4180: doubled quotes, commas and, with ``multi_line``,
+    line breaks; without it a file is read in splits by many tasks.
     """
-    rfc = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": "", "mode": "PERMISSIVE"}
+    if extra not in ("raise", "drop", "keep"):
+        raise ValueError(f"extra must be raise, drop or keep, not {extra!r}")
+    rfc = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "emptyValue": "", "mode": "PERMISSIVE"}
     # the header is read from the files themselves; without inference every column is text
     raw = spark.read.options(**rfc).option("inferSchema", False).option("enforceSchema", False).csv(path)
     missing = [f.name for f in schema.fields if f.name not in raw.columns]
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")
+    others = [c for c in raw.columns if c not in schema.names]
+    if others and extra == "raise":
+        raise ValueError(f"columns of {path} that the schema lacks: {others}")
     cols = []
     for f in schema.fields:
         c = na_to_null(F.col(f"`{f.name}`"))
@@ -41,6 +50,8 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFr
         elif not isinstance(f.dataType, StringType):
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
+    if extra == "keep":
+        cols += [na_to_null(F.col(f"`{c}`")).alias(c) for c in others]
     return raw.select(*cols)
 
 
@@ -111,13 +122,18 @@ def file_sha256(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table_digest(df: DataFrame) -> DataFrame:
-    """Order-free digest of a table's rows (sum of 64-bit row hashes,
-    wrapping): equal for the same multiset of rows however partitioned."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    # decimal(38,0) holds the sum of ~10^19 hashes without overflow
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.sum(h.cast("decimal(38,0)")).alias("_s")).select(
-        "rows", F.pmod(F.col("_s"), F.lit(str(2 ** 64)).cast("decimal(38,0)")).cast("string").alias("digest"))
+    """Order-free digest of a table's rows: equal for the same multiset of rows however partitioned.
+
+    A row's digest is the MD5 of its typed, null-marked values; its two halves are summed modulo 2^64
+    over all rows and written in hex."""
+    row = F.md5(row_text(df).cast("binary"))
+    half = lambda at: F.conv(F.substring(row, at, 16), 16, 10).cast("decimal(20,0)")
+    wrap = lambda c: F.pmod(F.col(c), F.lit(str(2 ** 64)).cast("decimal(38,0)")).cast("string")
+    # decimal(38,0) holds the sum of ~10^18 halves without overflow
+    sums = df.select(half(1).alias("_a"), half(17).alias("_b")).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.col("_a").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("_a"),
+        F.coalesce(F.sum(F.col("_b").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("_b"))
+    return sums.select("rows", F.lower(F.concat(*[F.lpad(F.conv(wrap(c), 10, 16), 16, "0") for c in ("_a", "_b")])).alias("digest"))
 
 
 # ------------------------------------------------------------------ S9 / S10 stores
