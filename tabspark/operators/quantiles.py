@@ -1,28 +1,42 @@
-"""Exact linear-interpolated quantiles of many columns in one distributed pass.
+"""Exact linear-interpolated quantiles of many columns from sketches and counts.
 
 ``percentile`` (exact) merges a value->count map of the whole column inside
-one task; on a cluster-sized column that map is unbounded.  Here all columns
-are unpivoted to (column, value), ranked per column with the range-partitioned
-row number (no task holds a whole column), and only the two order statistics
-around each requested position are fetched:
+one task; on a cluster-sized column that map is unbounded, and ranking all values
+shuffles every cell.  Here a sketch of every column (``percentile_approx``, combined
+map-side) gives a bracket around each requested order statistic; one pass then
+counts the cells below, between and above the brackets' ends and groups those inside
+by value.  Counts say whether a bracket holds its order statistics (if not it is
+widened) and how many rows it holds (if too many it is sketched again, which narrows
+it a hundredfold); then the few values inside give
 
     h = (n - 1) * p,   q = v[floor h] + (h - floor h) * (v[ceil h] - v[floor h])
 
-which is pandas/numpy ``linear`` and DuckDB ``quantile_cont``.  Optionally the
-statistics are computed per group (``by``), e.g. per fold.
-``method="memory"`` uses Spark's ``percentile`` for small inputs and
-``method="approx"`` ``percentile_approx`` for a sketch.
+which is pandas/numpy ``linear`` and DuckDB ``quantile_cont``.  Rows are scanned twice
+and never shuffled or copied.  Optionally the statistics are computed per group
+(``by``), e.g. per fold; above ``MAX_GROUPS`` groups the values are ranked instead
+(``method="sort"``: unpivoted, range-partitioned row numbers).  ``method="memory"``
+uses Spark's ``percentile`` for small inputs and ``method="approx"``
+``percentile_approx`` alone.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from ..session import drop_stages, stage
 from .rank import grouped_row_number
 
+POINTS, ACCURACY = 400, 4000  # points of a sketch, and its rank error as 1 / ACCURACY
+MAX_GROUPS = 64
+MAX_INSIDE = 200_000  # distinct values inside brackets that are fetched, and
+MIN_INSIDE = 100  # for each statistic at least: brackets get no narrower than a few rows
+
 
 def unpivot_values(df: DataFrame, cols: Sequence[str], key: str,
                    by: Sequence[str] = ()) -> DataFrame:
@@ -36,9 +50,12 @@ def unpivot_values(df: DataFrame, cols: Sequence[str], key: str,
 
 
 def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                     key: str, by: Sequence[str] = (), method: str = "sort") -> DataFrame:
-    """Small table (by..., column, p, value) of exact linear quantiles."""
-    by = list(by)
+                     key: str, by: Sequence[str] = (), method: str = "sketch") -> DataFrame:
+    """Small table (by..., column, p, value) of exact linear quantiles (null and NaN cells are passed over)."""
+    by, cols = list(by), list(cols)
+    if method == "sketch":
+        if not by or df.select(*by).distinct().limit(MAX_GROUPS + 1).count() <= MAX_GROUPS:
+            return _from_brackets(df, cols, [float(p) for p in probs], by)
     if method in ("memory", "approx"):
         fn = F.percentile if method == "memory" else F.percentile_approx
         aggs = [fn(F.col(c).cast("double"), list(probs)).alias(c) for c in cols]
@@ -60,7 +77,12 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             .withColumn("_hi", F.ceil("_h").cast("bigint") + 1))
     picks = need.select(*by, "column", "p", "_h", F.explode(F.array("_lo", "_hi")).alias("_rn"))
     # picks has groups x columns x probs x 2 rows: bounded by the parameters
-    hit = ranked.join(F.broadcast(picks), [*by, "column", "_rn"])
+    keys = [*by, "column", "_rn"]
+    picks = picks.select("p", "_h", *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+    same = F.lit(True)
+    for i, c in enumerate(keys):  # null-safe: a null group is a group
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"_k{i}"))
+    hit = ranked.join(F.broadcast(picks), same)
     return (hit.groupBy(*by, "column", "p", "_h")
             .agg(F.min("value").alias("_vlo"), F.max("value").alias("_vhi"))
             .select(*by, "column", "p",
@@ -68,6 +90,121 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     .alias("value")))
 
 
+def _cell(c: str) -> Column:
+    v = F.col(f"`{c}`").cast("double")
+    return F.when(~F.isnan(v), v + F.lit(0.0))  # both zeros are one
+
+
+def _code(x: Column, ends: list[float], low: int = 0, high: int | None = None) -> Column:
+    """2 i for a value between the ends i - 1 and i, 2 i + 1 for the end i itself."""
+    high = len(ends) if high is None else high
+    if low == high:
+        return F.lit(2 * low)
+    mid = (low + high) // 2
+    return F.when(x < ends[mid], _code(x, ends, low, mid)).when(x == ends[mid], F.lit(2 * mid + 1)).otherwise(_code(x, ends, mid + 1, high))
+
+
+def _inside(x: Column, brackets: list[tuple[float, float]]) -> Column:
+    """Whether a value lies in one of the brackets."""
+    merged: list[list[float]] = []
+    for lo, hi in sorted(brackets):
+        if merged and lo <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], hi)
+        else:
+            merged.append([lo, hi])
+    out = F.lit(False)
+    for lo, hi in merged:
+        out = out | x.between(F.lit(lo), F.lit(hi))
+    return out
+
+
+def _sketches(df: DataFrame, by: list[str], cells: dict[str, Column]) -> dict[tuple, tuple[int, np.ndarray]]:
+    """(group, column) -> cells and ``POINTS`` + 1 approximate order statistics."""
+    probs = [i / POINTS for i in range(POINTS + 1)]
+    aggs = []
+    for i, x in enumerate(cells.values()):
+        aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, probs, ACCURACY).alias(f"q{i}")]
+    out = {}
+    for r in df.groupBy(*by).agg(*aggs).collect():
+        for i, c in enumerate(cells):
+            if r[f"n{i}"]:
+                out[tuple(r[b] for b in by), c] = (r[f"n{i}"], np.array(r[f"q{i}"]))
+    return out
+
+
+def _from_brackets(df: DataFrame, cols: list[str], probs: list[float], by: list[str]) -> DataFrame:
+    spark = df.sparkSession
+    sketch = _sketches(df, by, {c: _cell(c) for c in cols})
+    count = {k: n for k, (n, _) in sketch.items()}
+    place = {(k, p): (count[k] - 1) * p for k in count for p in probs}
+    inf = math.inf
+    # of each statistic: bracket, cells of its sketch below the bracket, and rows of doubt around the sketch's ranks
+    bracket = {t: (-inf, inf) for t in place}
+    below = {t: 0 for t in place}
+    doubt = dict.fromkeys(place, 3.0)
+    value: dict[tuple, float] = {}
+    open_, last = list(place), math.inf
+    while open_:
+        nearer = {}
+        for t in open_:
+            k, p = t
+            lo, hi = bracket[t]
+            n, points = sketch[k]
+            step, h = n / POINTS, place[t]
+            # points of the sketch inside the bracket, with the ranks they stand for
+            own = points[(points >= lo) & (points <= hi)]
+            ranks = below[t] + np.arange(len(own)) * step
+            margin = doubt[t] * (step + n / ACCURACY) + 2
+            left, right = own[ranks <= h - margin], own[ranks >= h + 1 + margin]
+            nearer[t] = (float(left[-1]) if len(left) else lo, float(right[0]) if len(right) else hi)
+        ends = {c: sorted({e for (k, _), b in nearer.items() if k[1] == c for e in b if math.isfinite(e)}) for c in cols}
+        parts = []
+        for c in cols:
+            own = [b for (k, _), b in nearer.items() if k[1] == c]
+            if own:
+                x = _cell(c)
+                parts.append(F.struct(F.lit(c).alias("column"), _code(x, ends[c]).alias("code"), F.when(_inside(x, own), x).alias("value"), x.isNotNull().alias("has")))
+        cells = df.select(*[F.col(b) for b in by], F.explode(F.array(*parts)).alias("_c")).select(*by, "_c.*").filter("has")
+        found = stage(cells.groupBy(*by, "column", "code", "value").count(), "quantile-cells")
+        codes: dict[tuple, dict[int, int]] = {}
+        for r in found.groupBy(*by, "column", "code").agg(F.sum("count").alias("n")).collect():
+            codes.setdefault((tuple(r[b] for b in by), r["column"]), {})[r["code"]] = r["n"]
+        distinct = found.filter("value is not null").count()
+        fits = distinct <= max(MAX_INSIDE, MIN_INSIDE * len(open_)) or distinct >= last
+        last = distinct
+        values: dict[tuple, list] = {}
+        if fits:
+            for r in found.filter("value is not null").select(*by, "column", "value", "count").collect():
+                values.setdefault((tuple(r[b] for b in by), r["column"]), []).append((r["value"], r["count"]))
+        drop_stages(found)
+        again, wide = [], []
+        for t in open_:
+            k, p = t
+            (lo, hi), at, own = nearer[t], ends[k[1]], codes.get(k, {})
+            h = place[t]
+            under = 0 if lo == -inf else sum(n for code, n in own.items() if code < 2 * at.index(lo) + 1)
+            upto = count[k] if hi == inf else sum(n for code, n in own.items() if code <= 2 * at.index(hi) + 1)
+            if under > math.floor(h) or upto <= math.ceil(h):  # missed: from the bracket before, with more doubt
+                doubt[t] *= 4
+                again.append(t)
+                last = math.inf
+            elif fits:
+                some = sorted((v, n) for v, n in values.get(k, []) if lo <= v <= hi)
+                upper = under + np.cumsum([n for _, n in some])
+                a, b = (some[int(np.searchsorted(upper, i, side="right"))][0] for i in (math.floor(h), math.ceil(h)))
+                value[t] = a + (h - math.floor(h)) * (b - a)
+            else:
+                bracket[t], below[t], doubt[t] = (lo, hi), under, 3.0
+                again.append(t)
+                wide.append(t)
+        open_ = again
+        if wide:
+            brackets = {c: [bracket[t] for t in open_ if t[0][1] == c] for c in cols}
+            sketch |= _sketches(df, by, {c: F.when(_inside(_cell(c), b), _cell(c)) for c, b in brackets.items() if b})
+    schema = StructType([*[df.schema[b] for b in by], StructField("column", StringType()), StructField("p", DoubleType()), StructField("value", DoubleType())])
+    return spark.createDataFrame([(*k[0], k[1], p, v) for (k, p), v in value.items()], schema)
+
+
 def quantile_wide(q: DataFrame, by: Sequence[str] = (), names: dict[float, str] | None = None) -> DataFrame:
     """(by, column, p, value) -> one row per (by, column) with a column per p."""
     names = names or {}
