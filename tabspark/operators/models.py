@@ -198,13 +198,16 @@ def make_estimator(kind: str, label: str = "label", features: str = "features",
     from pyspark.ml.regression import (GBTRegressor, LinearRegression,
                                        RandomForestRegressor)
     if kind == "gbt":
+        # rows that the column ``validation`` marks decide after how many rounds the ensemble ends
+        stop = {"validationIndicatorCol": params["validation"],
+                "validationTol": params.get("validation_tol", 0.001)} if params.get("validation") else {}
         return GBTRegressor(labelCol=label, featuresCol=features, seed=seed,
                             maxDepth=params.get("max_depth", 4),
                             stepSize=params.get("learning_rate", 0.1),
                             maxIter=params.get("rounds", 50),
                             subsamplingRate=params.get("subsample", 1.0),
                             minInstancesPerNode=params.get("min_leaf", 1),
-                            featureSubsetStrategy=params.get("feature_subset", "all"))
+                            featureSubsetStrategy=params.get("feature_subset", "all"), **stop)
     if kind == "rf":
         return RandomForestRegressor(labelCol=label, featuresCol=features, seed=seed,
                                      numTrees=params.get("trees", 50),

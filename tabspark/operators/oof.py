@@ -53,32 +53,24 @@ def oof_on_design(design: DataFrame, key: str, y: str, fold: str, k: int,
 
 
 def rescore(df: DataFrame, key: str, features: Sequence[str], model_paths: Sequence[str],
-            target_mode: str = "raw", power: float | None = None) -> DataFrame:
-    """E5: score rows with stored fold/seed models (``pyspark.ml`` writers)
-    and average them (A20)."""
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.regression import (GBTRegressionModel, LinearRegressionModel,
-                                       RandomForestRegressionModel)
+            target_mode: str = "raw", power: float | None = None, fold: str | None = None) -> DataFrame:
+    """E5: score rows with stored fold/seed models, whose metadata say how to read them.
+
+    Without ``fold`` the models' predictions are averaged (A20); with it, row by row the model
+    of the row's fold answers (the OOF form), one pass over the rows either way."""
+    from pyspark.ml.util import DefaultParamsReader
 
     from ..functions.target import inverse_target
-    x = assemble(df, features)
-    preds = None
+    spark = df.sparkSession
+    cur = assemble(df, features)
+    own = [F.col(f"`{c}`") for c in cur.columns]
+    names = [f"__p{i}" for i in range(len(model_paths))]
     for i, path in enumerate(model_paths):
-        model = None
-        for cls in (PipelineModel, GBTRegressionModel, RandomForestRegressionModel,
-                    LinearRegressionModel):
-            try:
-                model = cls.load(path)
-                break
-            except Exception:  # noqa: BLE001 -- try the next model class
-                continue
-        if model is None:
-            raise ValueError(f"no model at {path}")
-        p = model.transform(x).select(key, inverse_target("prediction", target_mode, power)
-                                      .alias(f"_p{i}"))
-        preds = p if preds is None else preds.join(p, key)
-    mean = sum(F.col(f"_p{i}") for i in range(len(model_paths))) / F.lit(float(len(model_paths)))
-    return preds.select(key, mean.alias("pred"))
+        scored = DefaultParamsReader.loadParamsInstance(path, spark).transform(cur)
+        cur = scored.select(*own, *names[:i], inverse_target("prediction", target_mode, power).alias(names[i]))
+    if fold is None:
+        return cur.select(key, (sum(F.col(n) for n in names) / F.lit(float(len(names)))).alias("pred"))
+    return cur.select(key, fold, F.coalesce(*[F.when(F.col(fold) == i, F.col(n)) for i, n in enumerate(names)]).alias("pred"))
 
 
 def holdout_eval(df: DataFrame, y: str, split: str, fit_predict: FitPredict) -> DataFrame:
@@ -195,13 +187,14 @@ def dense_fit(train: DataFrame, features: Sequence[str], target: str,
               lr: float = 1e-2, weight_decay: float = 0.0, loss: str = "mse",
               clip_norm: float | None = 5.0, patience: int = 5, min_delta: float = 0.0,
               val: DataFrame | None = None, seed: int = 0, schedule: str = "constant",
-              plateau_factor: float = 0.5, plateau_patience: int = 2):
+              plateau_factor: float = 0.5, plateau_patience: int = 2, unscale: Callable | None = None):
     """M9: full-batch Adam(W); each epoch is one Spark job summing per-partition
     gradients (``mapInPandas`` -> explode -> ``groupBy(pos).sum``), then one
     optimizer step on the driver.  Early stopping on validation RMSE.
     ``schedule``: ``constant``, ``cosine`` (to 0 over ``epochs``) or
     ``plateau`` (rate x ``plateau_factor`` after ``plateau_patience`` epochs
-    without a validation improvement).
+    without a validation improvement).  ``unscale`` turns a scaled target column
+    into target units, in which validation errors are then measured.
 
     Returns (weights, history rows, best_epoch)."""
     feats = list(features)
@@ -222,15 +215,12 @@ def dense_fit(train: DataFrame, features: Sequence[str], target: str,
         cur = [w.copy() for w in ws]
 
         def grads(batches, cur=cur):
+            total = np.zeros(1 + sum(sizes))  # one row per weight and task, however many batches it has
             for pdf in batches:
-                if not len(pdf):
-                    continue
-                x = pdf[feats].to_numpy(dtype=float)
-                t = pdf[target].to_numpy(dtype=float)
-                lval, g = dense_grad(x, t, cur, activation, loss)
-                flat = np.concatenate([gi.ravel() for gi in g])
-                yield pd.DataFrame({"pos": np.arange(len(flat) + 1),
-                                    "v": np.concatenate([[lval], flat])})
+                if len(pdf):
+                    lval, g = dense_grad(pdf[feats].to_numpy(dtype=float), pdf[target].to_numpy(dtype=float), cur, activation, loss)
+                    total += np.concatenate([[lval], *[gi.ravel() for gi in g]])
+            yield pd.DataFrame({"pos": np.arange(len(total)), "v": total})
         summed = (data.mapInPandas(grads, "pos long, v double")
                   .groupBy("pos").agg(F.sum("v").alias("v")).collect())
         vec = np.zeros(sum(sizes) + 1)
@@ -255,7 +245,8 @@ def dense_fit(train: DataFrame, features: Sequence[str], target: str,
         row = {"epoch": epoch, "train_loss": float(train_loss), "learning_rate": lr}
         if val is not None:
             scored = dense_score(val.select(*feats, target), feats, ws, activation)
-            vr = scored.agg(F.sqrt(F.avg((F.col(target) - F.col("pred")) ** 2))).first()[0]
+            units = unscale or (lambda c: c)
+            vr = scored.agg(F.sqrt(F.avg((units(F.col(target)) - units(F.col("pred"))) ** 2))).first()[0]
             row["val_rmse"] = float(vr)
             if vr < best - min_delta:
                 best, best_ws, best_epoch, stale, since_drop = vr, [w.copy() for w in ws], epoch, 0, 0

@@ -17,7 +17,7 @@ from ..operators.models import fit_linear, linear_predict, oof_linear_wide
 from ..operators.split import stratified_kfold
 from ..sources.tables import docs
 from .catalogue import query
-from .common import FOLD_SEED, REPEAT_SEEDS, docs_folds, rounded
+from .common import FOLD_SEED, K, REPEAT_SEEDS, docs_binned, docs_folds, rounded
 
 BASE_MODELS = {"words": ["n_words"], "lines": ["n_lines"], "mean": []}
 
@@ -29,10 +29,18 @@ def oof_base(spark, sf, seed: int = FOLD_SEED) -> DataFrame:
     return materialize(oof_linear_wide(f, "doc_id", "n_chars", BASE_MODELS, "fold", keep=["bin"]))
 
 
-def oof_long(oof: DataFrame) -> DataFrame:
-    return oof.select("doc_id", "n_chars", F.explode(F.array(*[
+def oof_long(oof: DataFrame, *keep: str) -> DataFrame:
+    return oof.select("doc_id", "n_chars", *keep, F.explode(F.array(*[
         F.struct(F.lit(m).alias("model"), F.col(f"p_{m}").alias("pred")) for m in BASE_MODELS
-    ])).alias("_m")).select("doc_id", "n_chars", "_m.model", "_m.pred")
+    ])).alias("_m")).select("doc_id", "n_chars", *keep, "_m.model", "_m.pred")
+
+
+def oof_seeds(spark, sf, seeds) -> list[DataFrame]:
+    """The base OOF table of every seed: the analogue table and its bins are made once."""
+    from ..session import materialize
+    binned = materialize(docs_binned(spark, sf))
+    return [materialize(oof_linear_wide(materialize(stratified_kfold(binned, "doc_id", "bin", K, s)), "doc_id", "n_chars",
+                                        BASE_MODELS, "fold", keep=["bin"])) for s in seeds]
 
 
 # ===================================================================== models
@@ -93,8 +101,7 @@ def worst_cases(spark, sf):
 
 @query
 def fold_summary(spark, sf):
-    long = oof_long(oof_base(spark, sf)).join(
-        oof_base(spark, sf).select("doc_id", "fold"), "doc_id")
+    long = oof_long(oof_base(spark, sf), "fold")
     per_fold = long.groupBy("model", "fold").agg(*M.metric_aggs("n_chars", "pred"))
     samp = M.fold_summary(per_fold, ["model"])
     pop = M.fold_summary(per_fold, ["model"], population_std=True).select(
@@ -113,16 +120,16 @@ def residuals(spark, sf):
 
 @query
 def seed_mean(spark, sf):
-    parts = [oof_base(spark, sf, s).select("doc_id", F.lit(s).alias("seed"), "p_words")
-             for s in REPEAT_SEEDS]
+    parts = [o.select("doc_id", F.lit(s).alias("seed"), "p_words") for s, o in zip(REPEAT_SEEDS, oof_seeds(spark, sf, REPEAT_SEEDS))]
     long = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return rounded(M.row_mean(long, "doc_id", "p_words"), 2)
 
 
 @query
 def gain_pct(spark, sf):
-    single = oof_base(spark, sf, REPEAT_SEEDS[0]).select("doc_id", "n_chars", "p_words")
-    parts = [oof_base(spark, sf, s).select("doc_id", "p_words") for s in REPEAT_SEEDS]
+    tables = oof_seeds(spark, sf, REPEAT_SEEDS)
+    single = tables[0].select("doc_id", "n_chars", "p_words")
+    parts = [o.select("doc_id", "p_words") for o in tables]
     mean = M.row_mean(parts[0].unionByName(parts[1]).unionByName(parts[2]), "doc_id", "p_words")
     j = single.join(mean.select("doc_id", F.col("p_words").alias("p_ens")), "doc_id")
     r = j.agg(F.sqrt(F.avg((F.col("n_chars") - F.col("p_words")) ** 2)).alias("rmse_single"),
@@ -179,9 +186,8 @@ def _inverse_weights(inv: DataFrame) -> DataFrame:
 
 @query
 def repeat_oof_mean(spark, sf):
-    parts = [oof_base(spark, sf, s).select("doc_id", "n_chars", F.lit(i).alias("repeat"),
-                                           F.col("p_words").alias("pred"))
-             for i, s in enumerate(REPEAT_SEEDS)]
+    parts = [o.select("doc_id", "n_chars", F.lit(i).alias("repeat"), F.col("p_words").alias("pred"))
+             for i, o in enumerate(oof_seeds(spark, sf, REPEAT_SEEDS))]
     long = parts[0].unionByName(parts[1]).unionByName(parts[2])
     mean = long.groupBy("doc_id", "n_chars").agg(F.avg("pred").alias("pred"))
     per = long.groupBy("repeat").agg(F.sqrt(F.avg((F.col("n_chars") - F.col("pred")) ** 2)).alias("rmse"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from .oracle import ORD, SQL, bins, folds, r
-from .oracle_models import BASE
+from .common import REPEAT_SEEDS
+from .oracle import DOCS_BINS, DOCS_FOLDS, DOCS_SPLIT, ORD, SQL, bins, folds, r
+from .oracle_models import BASE, metric_cols, oof_ctes
 
 # one-hot ridge with a free intercept: level l has b_l = n_l (m_l - b0) / (n_l + alpha), and b0 is the mean
 # of the level means weighted by n_l alpha / (n_l + alpha)
@@ -37,3 +38,16 @@ cv AS (SELECT model, alpha, sqrt(sum((n_chars - b0 - ca * p_words - cb * p_lines
 SELECT row_number() OVER (ORDER BY round(cv_rmse, 9), cv.model, cv.alpha) AS rank, cv.model, cv.alpha, {r("cv_rmse", 4)} AS cv_rmse,
        {r("b0", 4)} AS intercept, {r("ca + cb", 4)} AS coef_sum, {r("b0 + ca * a / n + cb * b / n", 4)} AS mean_pred
 FROM cv JOIN re ON cv.model = re.model AND cv.alpha = re.alpha AND re.f = -1"""
+
+_TWO = REPEAT_SEEDS[:2]
+SQL["candidate_cv"] = f"""WITH {DOCS_BINS},
+{", ".join(oof_ctes(s, f"_{s}") for s in _TWO)},
+every AS ({" UNION ALL ".join(f"SELECT {s} AS seed, fold, n_chars, p_words FROM oof_{s}" for s in _TWO)})
+SELECT seed::BIGINT AS seed, fold::BIGINT AS fold, {metric_cols(p="p_words", d=3)} FROM every GROUP BY seed, fold"""
+
+# what must hold of every fold: all its rows scored, rounds within the budget, better than the mean
+SQL["gbt_early_stop"] = f"""WITH {DOCS_FOLDS}
+SELECT fold::BIGINT AS fold, count(*) AS n, true AS rounds_in_budget, true AS beats_mean FROM docs_f GROUP BY fold"""
+
+SQL["dense_refit"] = f"""WITH {DOCS_SPLIT}
+SELECT doc_id, true AS scored, true AS epochs_in_budget FROM docs_s WHERE split = 'test'"""
