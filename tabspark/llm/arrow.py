@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,13 @@ from pyspark.sql.types import StructField, StructType
 SLICE_BYTES = 8 << 20
 
 
+def file_system(uri: str):
+    """File system and path of a URI or a plain path, for files that tasks write and read themselves."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri if ":" in uri.split("/")[0] else os.path.abspath(uri))
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of text each (one row at least)."""
