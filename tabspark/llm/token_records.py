@@ -7,7 +7,7 @@ A shard is two files.  The record file frames every sequence as
 all little-endian; a masked checksum is the CRC-32 rotated right by 15 bits plus
 0xa282ead8, so that a checksum stored in data that is checksummed again is no
 fixed point.  The payload is a flag byte (1: has a document id, 2: ids of four
-bytes in place of two), the document id (int64) and the ids.  The index file has
+bytes in place of two), the document id (int64) and the ids as one Zstandard frame.  The index file has
 one entry of three uint64 per record: byte offset, payload length, and the ids of
 the shard before it, so a reader may fetch any record in any order.
 
@@ -49,20 +49,22 @@ from pyspark.sql import functions as F
 
 from ..operators.rank import target_partitions
 from ..session import checkpoint_dir, drop_stages, stage
-from .arrow import map_slices
+from .arrow import file_system, map_slices
 
-MEMO = 300_000
+MEMO = 500_000
 LONGEST = 64  # characters of a piece that is kept in the memo
-SLICE = 1 << 20
+TOGETHER = 256  # pieces in a joined text
+SLICE = 4 << 20
 READ = 4 << 20
 LENGTH, CHECK, HEAD, ENTRY = "<Q", "<I", "<Bq", "<QQQ"  # layouts of struct
 HEAD_BYTES = 9
 # a piece begins at white space behind other characters; what only some engines call white space begins none
 PIECES = re.compile(r"\s*\S+(?:[^\S \t\n\r]+\S*)*|\s+")
+ODD = re.compile(r" (?=\s|\Z)")  # texts without these are cut at every space
 
 
 class Encoder:
-    """Ids of texts by a tokenizers file, through a memo of pieces."""
+    """Ids of texts by a tokenizers file, through memos of pieces."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -79,24 +81,55 @@ class Encoder:
         self.library = Tokenizer.from_str(self.source)
         self.library.encode_special_tokens = True
         self.width = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # a byte-level token has a character per byte
+        self.bytes_of = np.zeros(self.library.get_vocab_size(), np.int64)
+        for token, i in self.library.get_vocab().items():
+            self.bytes_of[i] = len(token)
+        # ids of pieces, and of pieces behind a space; each in two generations
+        self.whole: list[dict[str, bytes]] = [{}, {}]
+        self.spaced: list[dict[str, bytes]] = [{}, {}]
+
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.width).tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _joined(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces behind a space: joined texts are encoded and their ids cut at the pieces' ends."""
+        out = []
+        texts = [[f" {p}" for p in pieces[i:i + TOGETHER]] for i in range(0, len(pieces), TOGETHER)]
+        for own, e in zip(texts, self.library.encode_batch_fast(["".join(t) for t in texts], add_special_tokens=False)):
+            ids = np.array(e.ids, self.width)
+            ends, want = np.cumsum(self.bytes_of[ids]), np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in own])
+            at = np.searchsorted(ends, want)
+            if not (at < len(ends)).all() or (ends[at] != want).any():
+                raise ValueError("the tokenizer joins tokens across the start of white space")
+            out += [ids[a:b].tobytes() for a, b in zip([0, *(at[:-1] + 1).tolist()], (at + 1).tolist())]
+        return out
+
+    def _known(self, memo: list[dict], pieces: set[str], encode):
+        """A lookup that has all the pieces."""
+        if len(memo[0]) > MEMO:
+            memo[:] = {}, memo[0]
+        known, older = memo
+        if new := pieces.difference(known):
+            missing = new.difference(older)
+            known.update({p: older[p] for p in new.difference(missing)})
+            few = list(missing)
+            ids = encode(few)
+            known.update(zip(few, ids))
+            if long := {p: i for p, i in zip(few, ids) if len(p) > LONGEST}:
+                for p in long:  # for these texts alone
+                    del known[p]
+                return lambda p: known[p] if p in known else long[p]
+        return known.__getitem__
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, each of ``width``."""
         if self.library is None:
             self.start()
-        cut = [PIECES.findall(t) if t else [] for t in texts]
-        if len(self.memo) > MEMO:
-            self.older, self.memo = self.memo, {}
-        known, long = self.memo, {}
-        if new := [p for p in set().union(*cut) if p not in known]:
-            known.update((p, self.older[p]) for p in new if p in self.older)
-            new = [p for p in new if p not in known]
-            for p, e in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-                (known if len(p) <= LONGEST else long)[p] = np.array(e.ids, self.width).tobytes()
-        find = (lambda p: known[p] if p in known else long[p]) if long else known.__getitem__
-        return [b"".join(map(find, pieces)) for pieces in cut]
+        cut = [((), ()) if not t else (PIECES.findall(t), ()) if ODD.search(t) else ((x := t.split(" "))[:1], x[1:]) for t in texts]
+        whole = self._known(self.whole, set().union(*[a for a, _ in cut]), self._each)
+        spaced = self._known(self.spaced, set().union(*[b for _, b in cut]), self._joined)
+        return [b"".join(map(whole, a)) + b"".join(map(spaced, b)) for a, b in cut]
 
 
 def masked(data: bytes) -> int:
@@ -122,36 +155,42 @@ def unframe(data: memoryview | bytes, at: int) -> tuple[bytes, int]:
     return payload, end + 4
 
 
-def pack(doc_id: int | None, ids: bytes, width: int) -> bytes:
-    return struct.pack(HEAD, (doc_id is not None) | (width == 4) << 1, doc_id or 0) + ids
+def _expander():
+    import zstandard
 
+    return zstandard.ZstdDecompressor().decompress
 
-def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
-    """Document id and ids (uint32) of a payload."""
-    flags, doc_id = struct.unpack_from(HEAD, payload)
-    return doc_id if flags & 1 else None, np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=HEAD_BYTES).astype("<u4")
 
+def pack(doc_id: int | None, ids: bytes, width: int) -> bytes:
+    """Payload of compressed ids of ``width`` bytes each."""
+    return struct.pack(HEAD, (doc_id is not None) | (width == 4) << 1, doc_id or 0) + ids
 
-def _open(uri: str):
-    """File system and path of a URI or a plain path."""
-    from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri if ":" in uri.split("/")[0] else os.path.abspath(uri))
+def unpack(payload: bytes, expand=None) -> tuple[int | None, np.ndarray]:
+    """Document id and ids (uint32) of a payload; ``expand`` decompresses where a caller has many."""
+    flags, doc_id = struct.unpack_from(HEAD, payload)
+    ids = (expand or _expander())(payload[HEAD_BYTES:])
+    return doc_id if flags & 1 else None, np.frombuffer(ids, "<u4" if flags & 2 else "<u2").astype("<u4")
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(rid, doc_id, width, ids) of every document, the end id behind its ids; rid is unique once written."""
+    """(rid, doc_id, width, n, ids) of every document: n ids, the end id last, compressed; rid is unique once written."""
     coder = docs.sparkSession.sparkContext.broadcast(Encoder(tokenizer))
     from pyspark.sql.types import StructType
 
     def run(part, column):
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=1).compress
         raw = coder.value.encode(column.to_pylist())
         width = coder.value.width
         end = np.array([end_id], width).tobytes()
-        return [pa.array([np.dtype(width).itemsize] * len(raw), pa.int32()), pa.array([r + end for r in raw], pa.binary())]
+        size = np.dtype(width).itemsize
+        return [pa.array([size] * len(raw), pa.int32()), pa.array([len(r) // size + 1 for r in raw], pa.int64()),
+                pa.array([squeeze(r + end) for r in raw], pa.binary())]
 
-    rows = map_slices(docs.select("doc_id", "text"), run, StructType().add("width", "integer").add("ids", "binary"), SLICE)
-    return rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "width", "ids")
+    rows = map_slices(docs.select("doc_id", "text"), run, StructType().add("width", "integer").add("n", "long").add("ids", "binary"), SLICE)
+    return rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "width", "n", "ids")
 
 
 def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None) -> DataFrame:
@@ -165,25 +204,25 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str | No
     rows = stage(encoded(docs, tokenizer, end_id), "token-ids")
     keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids"), F.col("rid")]
     ordered = rows.repartitionByRange(target_partitions(rows), *keys).sortWithinPartitions(*keys).select(
-        F.spark_partition_id().alias("shard"), "doc_id", "width", "ids")
+        F.spark_partition_id().alias("shard"), "doc_id", "width", "n", "ids")
 
     def write(batches):
         out = None
         for batch in batches:
-            shard, doc_id, width, ids = [c.to_pylist() for c in batch.columns]
+            shard, doc_id, width, n, ids = [c.to_pylist() for c in batch.columns]
             if not shard:
                 continue
             if out is None:
                 name = f"{folder}/shard-{shard[0]:06d}-{uuid.uuid4().hex}"
-                system, path = _open(name)
+                system, path = file_system(name)
                 system.create_dir(path.rsplit("/", 1)[0], recursive=True)
                 out, index = system.open_output_stream(path + ".rec"), system.open_output_stream(path + ".idx")
                 records = tokens = at = 0
-            for d, w, raw in zip(doc_id, width, ids):
+            for d, w, many, raw in zip(doc_id, width, n, ids):
                 framed = frame(pack(d, raw, w))
                 out.write(framed)
                 index.write(struct.pack(ENTRY, at, len(framed) - 16, tokens))
-                records, tokens, at = records + 1, tokens + len(raw) // w, at + len(framed)
+                records, tokens, at = records + 1, tokens + many, at + len(framed)
         if out is not None:
             out.close()
             index.close()
@@ -200,14 +239,14 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str | No
 
 def _entries(index_file: str) -> np.ndarray:
     """Offset, payload length and ids before of every record of a shard."""
-    system, path = _open(index_file)
+    system, path = file_system(index_file)
     with system.open_input_stream(path) as f:
         return np.frombuffer(f.read(), "<u8").reshape(-1, 3).astype(np.int64)
 
 
 def _read(records_file: str, entries: np.ndarray) -> Iterator[tuple[bytes, int]]:
     """(payload, ids before) of records that lie one after the other, about ``READ`` bytes at a time."""
-    system, path = _open(records_file)
+    system, path = file_system(records_file)
     with system.open_input_file(path) as f:
         i = 0
         while i < len(entries):
@@ -251,10 +290,11 @@ def read_records(manifest: DataFrame) -> DataFrame:
         max(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), manifest.count()), "shard")
 
     def run(batches):
+        expand = _expander()
         for batch in batches:
             for _, records, index, before in zip(*[c.to_pylist() for c in batch.columns]):
                 yield from _batches((doc_id, before + earlier, ids.tobytes()) for (doc_id, ids), earlier in (
-                    (unpack(payload), earlier) for payload, earlier in _read(records, _entries(index))))
+                    (unpack(payload, expand), earlier) for payload, earlier in _read(records, _entries(index))))
 
     return tasks.mapInArrow(run, ROWS)
 
@@ -276,15 +316,15 @@ def shuffled_records(manifest: DataFrame, seed: int, epoch: int = 0) -> DataFram
 
     def fetch(batches):
         def rows():
-            opened = {}
+            opened, expand = {}, _expander()
             for batch in batches:
                 for file, offset, length, start in zip(*[c.to_pylist() for c in batch.columns]):
                     if file not in opened:
                         if len(opened) >= 64:
                             opened.pop(next(iter(opened))).close()
-                        system, path = _open(file)
+                        system, path = file_system(file)
                         opened[file] = system.open_input_file(path)
-                    doc_id, ids = unpack(unframe(opened[file].read_at(length + 16, offset), 0)[0])
+                    doc_id, ids = unpack(unframe(opened[file].read_at(length + 16, offset), 0)[0], expand)
                     yield doc_id, start, ids.tobytes()
         yield from _batches(rows())
 

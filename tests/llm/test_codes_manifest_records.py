@@ -177,7 +177,7 @@ def test_pieces_encode_like_whole_texts():
     rng, t = random.Random(5), library()
     coder = token_records.Encoder(BYTE_BPE)
     alphabet = [" ", " ", "  ", "\n", "\r\n", "\t", "a", "don't", "'s", "12", "!?", "é", "中文", " ", " ", "　", "\x1c", "\x1f", "\x85",
-                "​", "﻿", "\x00", "\U0001f600", "é", "<|endoftext|>", "x" * 70, "A"]
+                "​", "﻿", "\x00", "\U0001f600", "é", "<|endoftext|>", "x" * 70, "A", " b", " c", " d,", " don't", " "]
     texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 14))) for _ in range(4000)] + ["", " ", "\n\n", "word " * 50_000, "y" * 200_000]
     for text, raw in zip(texts, coder.encode(texts)):
         assert np.frombuffer(raw, coder.width).tolist() == t.encode(text, add_special_tokens=False).ids, text[:80]
