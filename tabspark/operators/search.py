@@ -42,6 +42,39 @@ def choice(u: Column, options: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(o) for o in options]), idx + 1)
 
 
+def space_steps(d: int) -> list[float]:
+    """Steps of a d-dimensional low-discrepancy sequence frac(i * step): powers of 1 / g, where g^(d+1) = g + 1."""
+    g = 2.0
+    for _ in range(80):
+        g = (1.0 + g) ** (1.0 / (d + 1))
+    return [g ** -(j + 1) for j in range(d)]
+
+
+def search_space(spark: SparkSession, n: int, space: dict[str, tuple], seed: int = 0) -> DataFrame:
+    """Trials 0..n-1 over a space of named parameters, each (kind, *bounds[, (parent, value)]).
+
+    Kinds are ``int`` and ``float`` (low, high), ``log`` (low, high, uniform in the logarithm) and ``choice``
+    (options).  With a last (parent, value) the parameter is null unless the parent has that value; parents
+    stand before.  Trials are numbered expressions, so any of them can be made again alone; another seed
+    starts further along the same sequence."""
+    t = spark.range(n).select(F.col("id").cast("bigint").alias("trial"))
+    for (name, (kind, *rest)), step in zip(space.items(), space_steps(len(space))):
+        parent = rest.pop() if rest and isinstance(rest[-1], tuple) and kind != "choice" or len(rest) > 1 and kind == "choice" else None
+        u = weyl(F.col("trial") + 1 + seed * 100_003, step)
+        if kind == "int":
+            value = int_uniform(u, *rest)
+        elif kind == "float":
+            value = F.lit(float(rest[0])) + u * F.lit(float(rest[1]) - float(rest[0]))
+        elif kind == "log":
+            value = log_uniform(u, *rest)
+        elif kind == "choice":
+            value = choice(u, rest[0])
+        else:
+            raise ValueError(f"unknown kind {kind!r} of {name!r}")
+        t = t.withColumn(name, value if parent is None else F.when(F.col(parent[0]) == parent[1], value))
+    return t
+
+
 def ridge_candidates(spark: SparkSession, n: int, features: Sequence[str],
                      decades: tuple[int, int] = (-2, 6)) -> DataFrame:
     """Trial -> (feature, alpha) with alpha on a decade grid (repeats

@@ -17,6 +17,10 @@ from .common import FOLD_SEED, K, REPEAT_SEEDS, docs_binned, docs_folds, rounded
 STACK = {"both": ["p_words", "p_lines"], "lines": ["p_lines"], "words": ["p_words"]}
 ALPHAS = (0.0, 10.0, 1000.0)
 
+# parameters of a net or a boosted ensemble over a table's documents
+SPACE = {"kind": ("choice", ["net", "gbt"]), "rounds": ("int", 20, 400, ("kind", "gbt")), "depth": ("int", 2, 8, ("kind", "gbt")),
+         "width": ("int", 8, 128, ("kind", "net")), "lr": ("log", 1e-4, 0.3), "subsample": ("float", 0.5, 1.0, ("kind", "gbt"))}
+
 
 @query
 def ridge_design_oof(spark, sf):
@@ -108,3 +112,12 @@ def dense_refit(spark, sf):
     A.save_scorers(root, model, metadata={"epochs": epochs})
     scored = A.predict_from_store(spark, root, s.filter("split = 'test'").select("doc_id", *cols), out="pred")
     return scored.select("doc_id", (F.col("pred") >= 0).alias("scored"), F.lit(3 <= epochs <= 8).alias("epochs_in_budget"))
+
+
+@query
+def search_space(spark, sf):
+    """One trial per thousand characters of the corpus over a mixed, conditional space."""
+    from ..operators.search import search_space as sample
+    from ..sources.tables import read_table
+    n = read_table(spark, sf, "documents").agg(F.sum("n_chars")).first()[0] // 1000
+    return rounded(sample(spark, n, SPACE), 9)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ..operators.search import space_steps
+from .catalogue_stack import SPACE
 from .common import REPEAT_SEEDS
 from .oracle import DOCS_BINS, DOCS_FOLDS, DOCS_SPLIT, ORD, SQL, bins, folds, r
 from .oracle_models import BASE, metric_cols, oof_ctes
@@ -51,3 +53,25 @@ SELECT fold::BIGINT AS fold, count(*) AS n, true AS rounds_in_budget, true AS be
 
 SQL["dense_refit"] = f"""WITH {DOCS_SPLIT}
 SELECT doc_id, true AS scored, true AS epochs_in_budget FROM docs_s WHERE split = 'test'"""
+
+
+def _space_sql() -> str:
+    cols = []
+    for (name, (kind, *rest)), step in zip(SPACE.items(), space_steps(len(SPACE))):
+        x = f"((trial + 1)::DOUBLE * CAST('{step!r}' AS DOUBLE))"
+        u = f"({x} - floor({x}))"
+        if kind == "choice":
+            value = f"(CAST({rest[0]!r} AS VARCHAR[]))[least(floor({u} * {len(rest[0])}), {len(rest[0]) - 1})::INTEGER + 1]"
+        elif kind == "int":
+            value = f"({rest[0]} + floor({u} * {rest[1] - rest[0] + 1}))::BIGINT"
+        elif kind == "float":
+            value = f"round({rest[0]} + {u} * {rest[1] - rest[0]}, 9)"
+        else:
+            value = f"round(exp(ln({rest[0]!r}::DOUBLE) + {u} * (ln({rest[1]!r}::DOUBLE) - ln({rest[0]!r}::DOUBLE))), 9)"
+        parent = rest[-1] if kind != "choice" and isinstance(rest[-1], tuple) else None
+        cols.append(f"CASE WHEN {parent[0]} = '{parent[1]}' THEN {value} END AS {name}" if parent else f"{value} AS {name}")
+    return f"""WITH t AS (SELECT unnest(range((sum(n_chars) // 1000)::BIGINT)) AS trial FROM documents)
+SELECT trial, {", ".join(cols)} FROM t"""
+
+
+SQL["search_space"] = _space_sql()

@@ -144,10 +144,6 @@ def save_params(tables: Mapping[str, DataFrame], root: str) -> None:
         t.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
 
 
-def load_params(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
-
-
 def config_signature(config: Mapping) -> str:
     """Short hash of a config (sorted JSON), for model reuse."""
     import hashlib

@@ -10,7 +10,8 @@ SUBSET = ["clean_strings", "na_tokens", "feature_builder", "dup_rows", "null_pro
           "iqr_outliers", "eta_squared", "target_hist", "template_check", "split_80_20",
           "kfold_nested", "standard_scale", "onehot_rare", "fold_params", "ols_oof",
           "metrics_by_quartile", "calibration_cv", "grid_blend", "median_prune",
-          "early_stop", "nested_bag", "holdout_metrics"]
+          "early_stop", "nested_bag", "holdout_metrics", "table_digest", "dup_events",
+          "ridge_design_oof", "stack_board", "candidate_cv", "search_space", "score_from_artifacts"]
 
 
 @pytest.fixture(scope="module")
