@@ -167,6 +167,16 @@ def _dense_inputs(spark, sf):
 
 @query
 def dense_score(spark, sf):
+    from ..operators.models import init_dense
+    x, feats, get = _dense_inputs(spark, sf)
+    ws = init_dense(len(feats), (16, 8), seed=0)
+    scored = O.dense_score(x.select("doc_id", "n_chars", *feats), feats, ws, "relu", out="zhat")
+    return rounded(scored.select("doc_id", P.target_inverse(F.col("zhat"), "n_chars", get, "log1p")
+                                 .alias("pred")), 4)
+
+
+@query
+def dense_fitted_score(spark, sf):
     """M8 + M9 + S9: a net fitted on dev rows, stored with its preparation, loaded and scored on all rows."""
     from pyspark.ml import Pipeline
 
