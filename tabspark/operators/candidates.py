@@ -28,14 +28,20 @@ from .search import selected_epochs
 FoldFit = Callable[[DataFrame, DataFrame, int], tuple[DataFrame, float | None]]
 """(training rows, rows to score, seed) -> (scored rows with ``pred``, rounds or epochs used)."""
 
+Scorer = Callable[[DataFrame], DataFrame]
+"""Rows -> the same rows and columns plus ``pred``: a projection, so scorers can follow one another."""
 
-def candidate_fit(kind: str, key: str, cols: Sequence[str], y: str, target_mode: str = "raw", power: float | None = None,
-                  winsorize: bool = False, scaler: str = "standard", validation: float = 0.0, **params) -> FoldFit:
-    """The numeric pipeline and a ``pyspark.ml`` estimator, both fitted on a fold's training rows.
+Learner = Callable[[DataFrame, int], tuple[Scorer, float | None]]
+"""(training rows, seed) -> (scorer, rounds used)."""
+
+
+def candidate(kind: str, key: str, cols: Sequence[str], y: str, target_mode: str = "raw", power: float | None = None,
+              winsorize: bool = False, scaler: str = "standard", validation: float = 0.0, **params) -> Learner:
+    """The numeric pipeline and a ``pyspark.ml`` estimator, both fitted on the training rows.
 
     With ``validation`` (boosting) that share of the training rows, by a hash of the key, decides after how
     many rounds to stop; the ensemble ends there and the rounds are reported."""
-    def fit(train: DataFrame, score: DataFrame, seed: int):
+    def learn(train: DataFrame, seed: int):
         prepared = P.fit_numeric(train, cols, key, winsorize=winsorize, scaler=scaler)
         rows = P.apply_numeric(train, prepared).withColumn("label", forward_target(y, target_mode, power))
         more = {}
@@ -43,9 +49,22 @@ def candidate_fit(kind: str, key: str, cols: Sequence[str], y: str, target_mode:
             rows = rows.withColumn("__val", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(10_000)) < int(10_000 * validation))
             more = {"validation": "__val"}
         model = make_estimator(kind, seed=seed, **params, **more).fit(assemble(rows, prepared.output_cols))
-        out = model.transform(assemble(P.apply_numeric(score, prepared), prepared.output_cols))
-        used = float(model.getNumTrees) if kind == "gbt" else None
-        return out.withColumn("pred", inverse_target("prediction", target_mode, power)).drop("features", "prediction"), used
+
+        def score(given: DataFrame) -> DataFrame:
+            own = given.select(*cols, F.struct(*[F.col(f"`{c}`") for c in given.columns]).alias("__given"))
+            out = model.transform(assemble(P.apply_numeric(own, prepared), prepared.output_cols))
+            return out.select("__given.*", inverse_target("prediction", target_mode, power).alias("pred"))
+        return score, float(model.getNumTrees) if kind == "gbt" else None
+    return learn
+
+
+def candidate_fit(*args, **params) -> FoldFit:
+    """A ``candidate`` in the form that ``cross_validate`` takes."""
+    learn = candidate(*args, **params)
+
+    def fit(train: DataFrame, score: DataFrame, seed: int):
+        scorer, used = learn(train, seed)
+        return scorer(score), used
     return fit
 
 

@@ -23,35 +23,6 @@ FitPredict = Callable[[DataFrame, DataFrame], DataFrame]
 """(train rows, rows to score) -> rows to score with a ``pred`` column."""
 
 
-def fold_design(df: DataFrame, key: str, fold: str, k: int, cols: Sequence[str],
-                winsorize: bool = False, scaler: str = "standard",
-                out: str = "fit_fold") -> tuple[DataFrame, list[str]]:
-    """F11 for the whole CV at once: every row once per fold (``fit_fold``),
-    the numeric pipeline fitted for all folds in one grouped pass over the
-    training copies (rows with ``fold != fit_fold``), applied with a k-row
-    broadcast join, and written once.  Fold f's model then trains on
-    ``fit_fold = f, fold != f`` and scores ``fit_fold = f, fold = f``."""
-    from .prep import apply_numeric, fit_numeric
-    ex = df.withColumn(out, F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-    model = fit_numeric(ex.filter(F.col(fold) != F.col(out)), cols, key, winsorize=winsorize,
-                        scaler=scaler, by=(out,))
-    return materialize(apply_numeric(ex, model)), model.output_cols
-
-
-def oof_on_design(design: DataFrame, key: str, y: str, fold: str, k: int,
-                  fit_predict: FitPredict, fit_fold: str = "fit_fold") -> DataFrame:
-    """E4 over a ``fold_design`` table."""
-    parts = []
-    for f in range(k):
-        mine = design.filter(F.col(fit_fold) == f)
-        scored = fit_predict(mine.filter(F.col(fold) != f), mine.filter(F.col(fold) == f))
-        parts.append(materialize(scored.select(key, fold, y, "pred")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def rescore(df: DataFrame, key: str, features: Sequence[str], model_paths: Sequence[str],
             target_mode: str = "raw", power: float | None = None, fold: str | None = None) -> DataFrame:
     """E5: score rows with stored fold/seed models, whose metadata say how to read them.

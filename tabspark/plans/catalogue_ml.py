@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..operators import blend as B
 from ..operators import prep as P
 from ..operators import oof as O
-from ..operators.oof import ml_fit_predict
+from ..operators.candidates import candidate
+from ..operators.champion import out_of_fold
 from ..operators.search import coarse_to_fine
 from ..operators.split import nested_kfold, stratified_kfold
 from ..session import checkpoint_dir, materialize
@@ -29,13 +30,10 @@ NUM = ["n_words", "n_lines", "quality", "toxic"]
 
 
 def _oof_ml(spark, sf, kind, target_mode="raw", **params) -> DataFrame:
-    """Numeric pipeline fitted per fold on training rows only (F11, one
-    grouped pass for all folds), then a pyspark.ml estimator per fold."""
+    """The numeric pipeline (F11) and a pyspark.ml estimator, both fitted per fold on training rows only."""
     f = docs_folds(spark, sf).select("doc_id", "fold", "n_chars", *NUM)
-    design, feats = O.fold_design(f, "doc_id", "fold", K, NUM)
-    fp = ml_fit_predict(kind, feats, "n_chars", seed=7, target_mode=target_mode, **params)
-    oof = O.oof_on_design(design, "doc_id", "n_chars", "fold", K, fp)
-    return rounded(oof.select("doc_id", "fold", "n_chars", "pred"), 2)
+    oof = out_of_fold(f, "fold", K, {"ml": candidate(kind, "doc_id", NUM, "n_chars", target_mode, **params)}, seed=7)
+    return rounded(oof.select("doc_id", "fold", "n_chars", F.col("p_ml").alias("pred")), 2)
 
 
 @query
@@ -57,11 +55,9 @@ def huber_meta(spark, sf):
     o = oof_base(spark, sf).join(docs(spark, sf).select("doc_id", "n_lines"), "doc_id")
     cols = ["p_words", "p_lines", "n_lines"]
     meta = stratified_kfold(o, "doc_id", "bin", 7, 7, out="meta_fold")
-    design, feats = O.fold_design(meta.select("doc_id", "meta_fold", "n_chars", *cols),
-                                  "doc_id", "meta_fold", 7, cols, scaler="robust")
-    fp = ml_fit_predict("huber", feats, "n_chars", epsilon=1.35)
-    out = O.oof_on_design(design, "doc_id", "n_chars", "meta_fold", 7, fp)
-    return rounded(out.select("doc_id", "meta_fold", "pred"), 2)
+    learn = candidate("huber", "doc_id", cols, "n_chars", scaler="robust", epsilon=1.35)
+    out = out_of_fold(meta.select("doc_id", "meta_fold", "n_chars", *cols), "meta_fold", 7, {"huber": learn})
+    return rounded(out.select("doc_id", "meta_fold", F.col("p_huber").alias("pred")), 2)
 
 
 # ------------------------------------------------------------------ iterative blends (B1, B2, M4)

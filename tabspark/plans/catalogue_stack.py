@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import candidates as C
+from ..operators import champion as H
 from ..operators import gram as G
 from ..operators.prep import fit_onehot
 from ..operators.split import stratified_kfold, target_bins
@@ -12,7 +13,7 @@ from ..session import materialize
 from ..sources.tables import ord_table
 from .catalogue import query
 from .catalogue_models import oof_base
-from .common import FOLD_SEED, K, REPEAT_SEEDS, docs_binned, docs_folds, rounded
+from .common import FOLD_SEED, K, REPEAT_SEEDS, docs_binned, docs_folds, docs_split, rounded
 
 STACK = {"both": ["p_words", "p_lines"], "lines": ["p_lines"], "words": ["p_words"]}
 ALPHAS = (0.0, 10.0, 1000.0)
@@ -99,7 +100,6 @@ def dense_refit(spark, sf):
     from ..operators import artifacts as A
     from ..operators.design import PreprocessConfig
     from ..session import checkpoint_dir
-    from .common import docs_split
     cols, net = ["n_words", "n_lines", "quality", "toxic"], {"layers": (8,), "activation": "relu", "lr": 0.05}
     s = docs_split(spark, sf).select("doc_id", "bin", "n_chars", *cols, "split")
     dev = stratified_kfold(s.filter("split = 'dev'"), "doc_id", "bin", 3, FOLD_SEED).drop("split", "bin")
@@ -121,3 +121,41 @@ def search_space(spark, sf):
     from ..sources.tables import read_table
     n = read_table(spark, sf, "documents").agg(F.sum("n_chars")).first()[0] // 1000
     return rounded(sample(spark, n, SPACE), 9)
+
+
+FEATURES = ["n_words", "n_lines", "quality", "toxic"]
+
+
+@query
+def nested_bag_tree(spark, sf):
+    """B8 over boosted trees, and over least squares by the same operator: the direct weight and the errors."""
+    from ..session import stage
+    members = {"trees": C.candidate("gbt", "doc_id", FEATURES, "n_chars", "log", max_depth=3, rounds=5, learning_rate=0.3),
+               "words": C.candidate("ridge", "doc_id", ["n_words"], "n_chars")}
+    d = docs_folds(spark, sf).select("doc_id", "bin", "fold", "n_chars", *FEATURES)
+    nested = H.with_inner_folds(d, "doc_id", "bin", "fold", K, 4, FOLD_SEED + 100)
+    direct = H.out_of_fold(nested, "fold", K, members, seed=7)
+    bagged = stage(H.nested_bag(direct, "fold", K, 4, members, seed=7).select("n_chars", *[f"{c}_{m}" for c in "pb" for m in members]), "bagged")
+    w = H.direct_weights(bagged, "n_chars", list(members))
+    baseline = bagged.agg(F.stddev_pop("n_chars")).first()[0]
+    fine = all(r["rmse"] <= min(r["rmse_direct"], r["rmse_bag"]) and r["rmse"] < baseline for r in w.values())
+    best = w["words"]
+    return rounded(spark.createDataFrame([(best["weight"], best["rmse_bag"], best["rmse"], fine)],
+                                         "direct_weight double, rmse_bag double, best_rmse double, blends_no_worse boolean"), 4)
+
+
+@query
+def champion_blend(spark, sf):
+    """Trees and least squares blended on dev rows, the trees swapped for a mix with refits, scored on test
+    rows: for each whether it has a score, and whether the blend beats dev's mean there."""
+    s = docs_split(spark, sf).select("doc_id", "bin", "n_chars", *FEATURES, "split")
+    dev = stratified_kfold(s.filter("split = 'dev'").drop("split"), "doc_id", "bin", K, FOLD_SEED)
+    members = {"trees": C.candidate("gbt", "doc_id", FEATURES, "n_chars", "log", max_depth=3, rounds=5, learning_rate=0.3),
+               "forest": C.candidate("rf", "doc_id", FEATURES, "n_chars", trees=8, max_depth=5),
+               "words": C.candidate("ridge", "doc_id", ["n_words"], "n_chars")}
+    test = s.filter("split = 'test'").drop("split", "bin")
+    scored, _ = H.champion(dev, test, "doc_id", "n_chars", "bin", "fold", K, members, ["trees", "forest"], k_inner=4, seeds=(7, 8))
+    scored = materialize(scored.select("doc_id", "n_chars", "pred"))
+    mean = dev.agg(F.avg("n_chars")).first()[0]
+    err, base = scored.agg(F.avg((F.col("n_chars") - F.col("pred")) ** 2), F.avg((F.col("n_chars") - mean) ** 2)).first()
+    return scored.select("doc_id", (F.col("pred") >= 0).alias("scored"), F.lit(err < base).alias("beats_mean"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..operators.search import space_steps
+from . import oracle_ml  # noqa: F401 -- its statement of nested_bag is used below
 from .catalogue_stack import SPACE
 from .common import REPEAT_SEEDS
 from .oracle import DOCS_BINS, DOCS_FOLDS, DOCS_SPLIT, ORD, SQL, bins, folds, r
@@ -75,3 +76,9 @@ SELECT trial, {", ".join(cols)} FROM t"""
 
 
 SQL["search_space"] = _space_sql()
+
+# least squares through the operator for any learner: the nested statement's numbers; trees: what must hold
+SQL["nested_bag_tree"] = f"SELECT *, true AS blends_no_worse FROM ({SQL['nested_bag']})"
+
+SQL["champion_blend"] = f"""WITH {DOCS_SPLIT}
+SELECT doc_id, true AS scored, true AS beats_mean FROM docs_s WHERE split = 'test'"""
