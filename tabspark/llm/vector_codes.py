@@ -46,6 +46,7 @@ from ..session import drop_stages, stage
 from .mph import mix
 
 MEMBERS = 1 << 16
+SLICE = 1 << 12  # rows of one matrix product
 FLUSH = 1 << 21  # parts gathered in a task before they are handed to the shuffle
 
 Codebooks = dict  # length -> list over positions of int64 arrays (entries, width)
@@ -66,8 +67,21 @@ def cuts(d: int, parts: int) -> list[tuple[int, int]]:
 
 
 def nearest(x: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Entry (lowest of the nearest) and squared distance of every row of x, in integers."""
-    entry = np.zeros(len(x), np.int64)
+    """Entry (lowest of the nearest) and squared distance of every row of x, exact.
+
+    Integers whose squared distances stay below 2^52 are exact in doubles however they are added, so distances
+    come from matrix products of slices; larger ones are summed as integers."""
+    top = max(int(np.abs(x).max(initial=0)), int(np.abs(book).max(initial=0)))
+    entry, least = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+    if x.shape[1] * (2 * top) ** 2 < 1 << 52:
+        b = book.astype(np.float64)
+        own = (b * b).sum(axis=1)
+        for at in range(0, len(x), SLICE):
+            v = x[at:at + SLICE].astype(np.float64)
+            far = v @ (-2.0 * b.T) + own  # less the row's own square, alike for all entries
+            entry[at:at + SLICE] = low = far.argmin(axis=1)
+            least[at:at + SLICE] = far[np.arange(len(v)), low] + np.einsum("ij,ij->i", v, v)
+        return entry, least
     least = ((x - book[0]) ** 2).sum(axis=1)
     for e in range(1, len(book)):
         far = ((x - book[e]) ** 2).sum(axis=1)

@@ -59,6 +59,17 @@ def order(rows):
     return sorted(map(tuple, rows), key=str)
 
 
+@pytest.mark.parametrize("top, width", [(3, 1), (4096, 8), (1 << 24, 8), ((1 << 25) - 1, 1), (1 << 25, 1), (1 << 29, 4), (0, 0)])
+def test_nearest_entries_are_exact_at_every_size(top, width):
+    rng = np.random.default_rng(top + width)
+    x, book = rng.integers(-top, top + 1, (9000, width)), rng.integers(-top, top + 1, (16, width))
+    x[:3], book[5], book[9] = top, book[2], -top
+    far = ((x.astype(object)[:, None, :] - book.astype(object)[None]) ** 2).sum(axis=2) if width else np.zeros((9000, 16), object)
+    entry, least = vector_codes.nearest(x, book)
+    assert entry.tolist() == [row.index(min(row)) for row in far.tolist()] and least.tolist() == far.min(axis=1).tolist()
+    assert [v.tolist() for v in vector_codes.nearest(x[:0], book)] == [[], []]
+
+
 @pytest.mark.parametrize("n, d, members", [(120, 16, 7), (40, 19, 1000), (5, 8, 2)])
 def test_codes_against_plain_rounds(spark, monkeypatch, n, d, members):
     monkeypatch.setattr(vector_codes, "MEMBERS", members)  # many salts
