@@ -56,9 +56,12 @@ def integer_vectors(rows: DataFrame, scale: int) -> DataFrame:
     """(rid, vec_id, label, d, x): kept rows with integer components; rid is unique once written."""
     v = F.col("embedding").cast("array<double>")
     fine = v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    bound = F.floor(F.lit(float(1 << 30)) / F.sqrt(F.greatest(F.size(v), F.lit(1))))
-    x = F.transform(v, lambda c: F.greatest(F.least(F.floor(c * float(scale)), bound), -bound))
-    return rows.filter(fine).select(F.monotonically_increasing_id().alias("rid"), "vec_id", "label", F.size(v).alias("d"), x.alias("x"))
+    # the length is read off the column itself: inside the lambda a cast would be made anew for every component
+    d = F.size("embedding")
+    bound = F.floor(F.lit(float(1 << 30)) / F.sqrt(F.greatest(d, F.lit(1))))
+    kept = rows.filter(fine).select("vec_id", "label", "embedding", d.alias("d"), bound.alias("bound"))
+    x = F.transform(v, lambda c: F.greatest(F.least(F.floor(c * float(scale)), F.col("bound")), -F.col("bound")))
+    return kept.select(F.monotonically_increasing_id().alias("rid"), "vec_id", "label", "d", x.alias("x"))
 
 
 def cuts(d: int, parts: int) -> list[tuple[int, int]]:
