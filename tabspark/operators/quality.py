@@ -16,6 +16,7 @@ from ..functions.clean import absent, is_quote_wrapped, string_columns, to_numbe
 from ..functions.encode import row_text
 from ..functions.features import numeric_columns
 from ..functions.stats import count_true, not_finite, safe_corr, skew_unbiased
+from ..session import drop_stages, written
 from .quantiles import column_quantiles, quantile_wide
 
 
@@ -117,7 +118,8 @@ def skewness_pair(df: DataFrame, y: str) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], key: str, top: int = 15) -> DataFrame:
     """Values strictly outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR], per column, top-k."""
-    df = nan_to_null(df)
+    # the cells alone, made once: quantiles and counts read them several times
+    df, staged = written(nan_to_null(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys(cols)])), "outlier-cells")
     q = {(r.column, r.p): r.value
          for r in column_quantiles(df, cols, [0.25, 0.75], key).collect()}
     counts = []
@@ -129,7 +131,10 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], key: str, top: int = 15) ->
         iqr = q3 - q1
         x = F.col(f"`{c}`")
         counts.append(count_true((x < F.lit(q1 - 1.5 * iqr)) | (x > F.lit(q3 + 1.5 * iqr))).alias(c))
-    long = _long(df.agg(*counts), cols, "n_outliers")
+    one = df.agg(*counts)
+    found = df.sparkSession.createDataFrame(one.collect(), one.schema)  # one row
+    drop_stages(*staged)
+    long = _long(found, cols, "n_outliers")
     return long.orderBy(F.desc("n_outliers"), F.asc("column")).limit(top)
 
 
@@ -152,7 +157,7 @@ def consistency(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
 
 def describe(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per column (transposed)."""
-    df = nan_to_null(df)
+    df, _ = written(nan_to_null(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys(cols)])), "described-cells")
     stats = df.agg(*[
         F.struct(F.count(F.col(f"`{c}`")).cast("bigint").alias("count"),
                  F.avg(F.col(f"`{c}`")).alias("mean"),
