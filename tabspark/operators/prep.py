@@ -184,12 +184,16 @@ def fit_numeric(df: DataFrame, cols: Sequence[str], key: str, winsorize: bool =
         wins = fit_winsor(cur, cols, key, by=by)
         cur = apply_winsor(cur, wins, cols)
     imp = fit_median_impute(cur, cols, key, by=by)
-    # one row per (group, feature, stat): a bounded fetch
-    stats = imp.table.filter(((F.col("stat") == "had_null") & (F.col("value") > 0))
-                             | ((F.col("stat") == "median") & F.col("value").isNotNull())) \
-        .select("feature", "stat").distinct().collect()
-    with_nulls = {r.feature for r in stats if r.stat == "had_null"}
-    with_values = {r.feature for r in stats if r.stat == "median"}
+    if by:
+        # one row per (group, feature, stat): a bounded fetch
+        stats = imp.table.filter(((F.col("stat") == "had_null") & (F.col("value") > 0))
+                                 | ((F.col("stat") == "median") & F.col("value").isNotNull())) \
+            .select("feature", "stat").distinct().collect()
+        found = {(r.feature, r.stat) for r in stats}
+    else:  # fetched once, for the projections as well
+        found = {(f, s) for (f, s), v in imp.values().items() if v is not None and (s == "median" or v > 0)}
+    with_nulls = {f for f, s in found if s == "had_null"}
+    with_values = {f for f, s in found if s == "median"}
     indicators = [c for c in cols if c in with_nulls]
     # a column without any value at fit is dropped (its indicator is kept)
     cols = [c for c in cols if c in with_values]

@@ -3,12 +3,14 @@ splits and folds, and output rounding (so both engines compare equal)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, ShortType
 
 from ..operators.split import stratified_kfold, stratified_split, target_bins
-from ..session import materialize
+from ..session import drop_stages, stage
 from ..sources.tables import docs, ord_table
 
 # Fixed parameters of the catalogue.
@@ -35,18 +37,26 @@ def docs_binned(spark: SparkSession, sf: str) -> DataFrame:
     return target_bins(docs(spark, sf), "n_chars", "doc_id")
 
 
-# The split and fold tables are written once (checkpoint folder) and every
-# later fit, apply and metric pass reads them, instead of re-deriving the
-# analogue table (text scans, lineitem aggregation) in each pass.
+# The analogue table (text scans, lineitem aggregation) is written once, for the
+# ranks of bins, splits and folds read it several times; so are the split and fold
+# tables, as Parquet below the checkpoint folder: every later fit, apply and
+# metric pass reads the columns that it needs.
+
+def assigned(table: DataFrame, key: str, target: str, assign: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``assign`` (a split or folds) of the table with its target bins, written."""
+    base = stage(table, "analogue")
+    out = stage(assign(target_bins(base, target, key)), "assigned")
+    drop_stages(base)
+    return out
+
 
 def docs_split(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize(stratified_split(docs_binned(spark, sf), "doc_id", "bin", SPLIT_SEED))
+    return assigned(docs(spark, sf), "doc_id", "n_chars", lambda b: stratified_split(b, "doc_id", "bin", SPLIT_SEED))
 
 
 def docs_folds(spark: SparkSession, sf: str, seed: int = FOLD_SEED, k: int = K) -> DataFrame:
-    return materialize(stratified_kfold(docs_binned(spark, sf), "doc_id", "bin", k, seed))
+    return assigned(docs(spark, sf), "doc_id", "n_chars", lambda b: stratified_kfold(b, "doc_id", "bin", k, seed))
 
 
 def ord_split(spark: SparkSession, sf: str) -> DataFrame:
-    b = target_bins(ord_table(spark, sf), "o_totalprice", "o_orderkey")
-    return materialize(stratified_split(b, "o_orderkey", "bin", SPLIT_SEED))
+    return assigned(ord_table(spark, sf), "o_orderkey", "o_totalprice", lambda b: stratified_split(b, "o_orderkey", "bin", SPLIT_SEED))
