@@ -2,7 +2,9 @@
 
 ``grams`` makes one matrix of [1, dense columns, one-hot slots, target] per fold in
 one pass: a task adds its rows up in numpy (a one-hot part costs a few additions per
-row, whatever its width), hands its matrices on as blocks of rows, and blocks are
+row, whatever its width), hands its matrices on as blocks of rows, of which only the
+cells that aren't zero where those are few (a one-hot part is mostly zeros, and a task's
+matrices must not grow the shuffle by folds x width^2 each), and blocks are
 summed in two rounds, salted ones first, so no task meets the partial sums of all
 others.  The driver gets folds x width^2 numbers; ``MAX_WIDTH`` is checked before.
 
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 MAX_WIDTH = 2500
 BLOCK_ROWS = 128
-BLOCKS = "fold int, block int, data binary"
+BLOCKS = "fold int, block int, at binary, data binary"  # ``at``: the cells that ``data`` has; null: all
 
 
 def _add(total: np.ndarray, z: np.ndarray, slots: np.ndarray) -> None:
@@ -45,27 +47,40 @@ def _add(total: np.ndarray, z: np.ndarray, slots: np.ndarray) -> None:
             np.add.at(total, (slots[both, t] + d, slots[both, u] + d), 1.0)
 
 
+def _packed(fold: int, block: int, x: np.ndarray) -> pa.RecordBatch:
+    """A block of a matrix, without its zeros where that is shorter."""
+    at = np.flatnonzero(x)
+    few = 2 * len(at) < len(x)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([fold], pa.int32()), pa.array([block], pa.int32()), pa.array([at.astype(np.int64).tobytes() if few else None], pa.binary()),
+         pa.array([(x[at] if few else x).tobytes()], pa.binary())], names=["fold", "block", "at", "data"])
+
+
+def _add_packed(total: np.ndarray, at: bytes | None, data: bytes) -> None:
+    """Add a packed block to the flat block ``total``."""
+    x = np.frombuffer(data, np.float64)
+    if at is None:
+        total += x
+    else:
+        total[np.frombuffer(at, np.int64)] += x
+
+
 def _blocks(totals: Mapping[int, np.ndarray]):
     for fold, g in totals.items():
         for b in range(0, len(g), BLOCK_ROWS):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([fold], pa.int32()), pa.array([b // BLOCK_ROWS], pa.int32()), pa.array([g[b:b + BLOCK_ROWS].tobytes()], pa.binary())],
-                names=["fold", "block", "data"])
+            yield _packed(fold, b // BLOCK_ROWS, g[b:b + BLOCK_ROWS].ravel())
 
 
-def _summed(batches):
-    """Blocks of one place added up."""
+def _summed(batches, size: int):
+    """Blocks of one place added up, of matrices of ``size`` columns."""
     held: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
-        for fold, block, data in zip(*[c.to_pylist() for c in batch.columns]):
-            x = np.frombuffer(data, np.float64)
-            if (fold, block) in held:
-                held[fold, block] += x
-            else:
-                held[fold, block] = x.copy()
+        for fold, block, at, data in zip(*[c.to_pylist() for c in batch.columns]):
+            if (fold, block) not in held:
+                held[fold, block] = np.zeros(min(BLOCK_ROWS, size - block * BLOCK_ROWS) * size)
+            _add_packed(held[fold, block], at, data)
     for (fold, block), x in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([fold], pa.int32()), pa.array([block], pa.int32()), pa.array([x.tobytes()], pa.binary())],
-                                         names=["fold", "block", "data"])
+        yield _packed(fold, block, x)
 
 
 @dataclass
@@ -118,12 +133,12 @@ def grams(df: DataFrame, y: str, dense: Sequence[str], fold: str | None = None,
     partial = picked.mapInArrow(run, BLOCKS)
     spread = max(1, math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     salted = partial.withColumn("salt", F.spark_partition_id() % spread).repartition("fold", "block", "salt").drop("salt")
-    found = salted.mapInArrow(_summed, BLOCKS).repartition("fold", "block").mapInArrow(_summed, BLOCKS).collect()
+    added = lambda batches: _summed(batches, size)
+    found = salted.mapInArrow(added, BLOCKS).repartition("fold", "block").mapInArrow(added, BLOCKS).collect()
     folds: dict[int, np.ndarray] = {}
     for r in found:
         g = folds.setdefault(r["fold"], np.zeros((size, size)))
-        x = np.frombuffer(r["data"], np.float64).reshape(-1, size)
-        g[r["block"] * BLOCK_ROWS:r["block"] * BLOCK_ROWS + len(x)] = x
+        _add_packed(g.ravel()[r["block"] * BLOCK_ROWS * size:(r["block"] + 1) * BLOCK_ROWS * size], r["at"], r["data"])
     names = ["1", *dense, *[f"slot{i}" for i in range(width)], y]
     return Grams(names, folds, {"1": 0.0, **shift})
 

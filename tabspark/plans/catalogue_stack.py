@@ -8,12 +8,12 @@ from ..operators import candidates as C
 from ..operators import champion as H
 from ..operators import gram as G
 from ..operators.prep import fit_onehot
-from ..operators.split import stratified_kfold, target_bins
+from ..operators.split import stratified_kfold
 from ..session import materialize
 from ..sources.tables import ord_table
 from .catalogue import query
 from .catalogue_models import oof_base
-from .common import FOLD_SEED, K, REPEAT_SEEDS, docs_binned, docs_folds, docs_split, rounded
+from .common import FOLD_SEED, K, REPEAT_SEEDS, assigned, docs_binned, docs_folds, docs_split, rounded
 
 STACK = {"both": ["p_words", "p_lines"], "lines": ["p_lines"], "words": ["p_words"]}
 ALPHAS = (0.0, 10.0, 1000.0)
@@ -27,7 +27,7 @@ SPACE = {"kind": ("choice", ["net", "gbt"]), "rounds": ("int", 20, 400, ("kind",
 def ridge_design_oof(spark, sf):
     """M2 + E4 over a wide design: one-hot of nation x segment x month (up to 1,500 columns), out of fold."""
     o = ord_table(spark, sf).select("o_orderkey", "o_totalprice", F.concat_ws("|", "n_name", "c_mktsegment", "o_month").alias("cell"))
-    f = materialize(stratified_kfold(target_bins(o, "o_totalprice", "o_orderkey"), "o_orderkey", "bin", K, FOLD_SEED))
+    f = assigned(o, "o_orderkey", "o_totalprice", lambda b: stratified_kfold(b, "o_orderkey", "bin", K, FOLD_SEED))
     design, width = G.nominal_slots(f, fit_onehot(f, ["cell"]), ["cell"])
     return rounded(G.ridge_design_oof(design, "o_orderkey", "o_totalprice", [], "fold", "slots", width, 1, alpha=10.0).select(
         "o_orderkey", "fold", "pred"), 3)

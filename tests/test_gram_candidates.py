@@ -125,3 +125,16 @@ def test_net_cross_validation_reports_epochs(spark, rows):
     folds = C.cross_validate(shifted, "y", {0: "fold"}, 2, C.net_fit("k", ["a", "b"], "y", layers=(4,), epochs=4, lr=0.1, patience=2), workers=2)
     assert all(1 <= r.used <= 4 and np.isfinite(r.rmse) for r in folds.collect())
     assert C.refit_epochs(folds, floor=3) >= 3
+
+
+def test_partial_matrices_of_a_wide_design_are_small(spark):
+    width = 600
+    totals = np.zeros((width + 2, width + 2))
+    G._add(totals, np.array([[1.0, 2.0], [1.0, -3.0]]), np.array([[5], [599]]))
+    parts = list(G._blocks({0: totals}))
+    assert sum(p.nbytes for p in parts) < totals.nbytes / 100
+    back = np.zeros_like(totals)
+    for batch in G._summed(parts + parts, width + 2):
+        (block,), (at,), (data,) = [batch.column(i).to_pylist() for i in (1, 2, 3)]
+        G._add_packed(back.ravel()[block * G.BLOCK_ROWS * (width + 2):(block + 1) * G.BLOCK_ROWS * (width + 2)], at, data)
+    assert (back == 2 * totals).all()
