@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.target import floor_prediction
+from ..session import stage
 
 
 def gram_moments(df: DataFrame, cols: Sequence[str], y: str, by: Sequence[str] = ()) -> DataFrame:
@@ -214,8 +215,9 @@ def nested_bag_weight(df: DataFrame, key: str, y: str, xs: Sequence[str], fold:
     schema = ", ".join([f"`{fold}` int", "_b0 double"] + [f"`_b_{x}` double" for x in xs])
     c = df.sparkSession.createDataFrame(coefs, schema)
     base = df.select(key, fold, y, direct, *xs).dropDuplicates([key])
-    both = base.join(F.broadcast(c), fold).withColumn(  # k rows
-        "p_bag", linear_predict(xs, F.col("_b0"), [F.col(f"_b_{x}") for x in xs]))
+    # written: the grid, the error and the caller read it; the join is with k rows
+    both = stage(base.join(F.broadcast(c), fold).withColumn(
+        "p_bag", linear_predict(xs, F.col("_b0"), [F.col(f"_b_{x}") for x in xs])), "bagged")
     best = grid_blend(both, direct, "p_bag", y, steps=steps).first()
     rmse_bag = both.agg(F.sqrt(F.avg((F.col(y) - F.col("p_bag")) ** 2))).first()[0]
     return {"direct_weight": best.weight, "best_rmse": best.rmse, "rmse_bag": rmse_bag,

@@ -15,6 +15,7 @@ from ..operators import metrics as M
 from ..operators import search as S
 from ..operators.models import fit_linear, linear_predict, oof_linear_wide
 from ..operators.split import stratified_kfold
+from ..session import stage
 from ..sources.tables import docs
 from .catalogue import query
 from .common import FOLD_SEED, K, REPEAT_SEEDS, docs_binned, docs_folds, rounded
@@ -24,9 +25,12 @@ BASE_MODELS = {"words": ["n_words"], "lines": ["n_lines"], "mean": []}
 
 def oof_base(spark, sf, seed: int = FOLD_SEED) -> DataFrame:
     """The OOF table is written once; blends, metrics and reports read it."""
-    from ..session import materialize
-    f = docs_folds(spark, sf, seed)
-    return materialize(oof_linear_wide(f, "doc_id", "n_chars", BASE_MODELS, "fold", keep=["bin"]))
+    return oof_table(docs_folds(spark, sf, seed))
+
+
+def oof_table(folds: DataFrame) -> DataFrame:
+    """The OOF table of a fold table, written."""
+    return stage(oof_linear_wide(folds, "doc_id", "n_chars", BASE_MODELS, "fold", keep=["bin"]), "oof")
 
 
 def oof_long(oof: DataFrame, *keep: str) -> DataFrame:
