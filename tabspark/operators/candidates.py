@@ -11,7 +11,7 @@ from __future__ import annotations
 import statistics
 import threading
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -35,6 +35,24 @@ Learner = Callable[[DataFrame, int], tuple[Scorer, float | None]]
 """(training rows, seed) -> (scorer, rounds used)."""
 
 
+_SHARING = threading.Lock()
+
+
+def numeric_fit(train: DataFrame, cols: Sequence[str], key: str, winsorize: bool, scaler: str) -> P.NumericModel:
+    """The numeric pipeline fitted on ``train``, once for all learners that get this same table."""
+    with _SHARING:
+        fits = train.__dict__.setdefault("_numeric_fits", {})
+        at = (tuple(cols), key, winsorize, scaler)
+        mine = at not in fits
+        fit = fits.setdefault(at, Future())
+    if mine:
+        try:
+            fit.set_result(P.fit_numeric(train, cols, key, winsorize=winsorize, scaler=scaler))
+        except BaseException as e:  # those who wait get it too
+            fit.set_exception(e)
+    return fit.result()
+
+
 def candidate(kind: str, key: str, cols: Sequence[str], y: str, target_mode: str = "raw", power: float | None = None,
               winsorize: bool = False, scaler: str = "standard", validation: float = 0.0, **params) -> Learner:
     """The numeric pipeline and a ``pyspark.ml`` estimator, both fitted on the training rows.
@@ -42,7 +60,7 @@ def candidate(kind: str, key: str, cols: Sequence[str], y: str, target_mode: str
     With ``validation`` (boosting) that share of the training rows, by a hash of the key, decides after how
     many rounds to stop; the ensemble ends there and the rounds are reported."""
     def learn(train: DataFrame, seed: int):
-        prepared = P.fit_numeric(train, cols, key, winsorize=winsorize, scaler=scaler)
+        prepared = numeric_fit(train, cols, key, winsorize, scaler)
         rows = P.apply_numeric(train, prepared).withColumn("label", forward_target(y, target_mode, power))
         more = {}
         if validation:

@@ -58,7 +58,8 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 def fold_scorers(base: DataFrame, fold: str, k: int, members: Mapping[str, Learner], seed: int = 0,
                  workers: int = 4) -> dict[int, dict[str, Scorer]]:
     """Per fold f and member, the scorer fitted on the rows outside f."""
-    fits = {(f, m): (base.filter(F.col(fold) != f), learn, seed) for f in range(k) for m, learn in members.items()}
+    training = {f: base.filter(F.col(fold) != f) for f in range(k)}  # a table that members share, and so their preparation
+    fits = {(f, m): (training[f], learn, seed) for f in range(k) for m, learn in members.items()}
     got = fit_all(fits, workers)
     return {f: {f"p_{m}": got[f, m] for m in members} for f in range(k)}
 
@@ -87,7 +88,8 @@ def nested_bag(base: DataFrame, fold: str, k: int, k_inner: int, members: Mappin
                inner: str = "inner", workers: int = 4) -> DataFrame:
     """Every row with a column b_<member>, the mean of k_inner models of its outer fold, each fitted on the
     outer training rows outside one inner fold.  ``base`` is a stored table with ``with_inner_folds``' array."""
-    fits = {(o, i, m): (base.filter((F.col(fold) != o) & (F.col(inner)[o] != i)), learn, seed + 100 * o + i)
+    training = {(o, i): base.filter((F.col(fold) != o) & (F.col(inner)[o] != i)) for o in range(k) for i in range(k_inner)}
+    fits = {(o, i, m): (training[o, i], learn, seed + 100 * o + i)
             for o in range(k) for i in range(k_inner) for m, learn in members.items()}
     got = fit_all(fits, workers)
     parts = []

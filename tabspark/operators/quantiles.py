@@ -257,6 +257,9 @@ def _from_brackets(df: DataFrame, cols: list[str], probs: list[float], by: list[
         if wide:
             brackets = {c: [bracket[t] for t in open_ if t[0][1] == c] for c in cols}
             sketch |= _sketches(df, by, {c: F.when(_inside(_cell(c), b), _cell(c)) for c, b in brackets.items() if b})
+    if not by:  # as Arrow: no Python worker makes the few rows again
+        parts = list(zip(*[(k[1], p, v) for (k, p), v in value.items()])) or [(), (), ()]
+        return spark.createDataFrame(pa.table({"column": pa.array(parts[0], pa.string()), "p": pa.array(parts[1], pa.float64()), "value": pa.array(parts[2], pa.float64())}))
     schema = StructType([*[df.schema[b] for b in by], StructField("column", StringType()), StructField("p", DoubleType()), StructField("value", DoubleType())])
     return spark.createDataFrame([(*k[0], k[1], p, v) for (k, p), v in value.items()], schema)
 

@@ -117,3 +117,13 @@ def test_champion_against_numpy(spark, rows, members):
     assert report["slope"] == pytest.approx(calibrated(1.0) - calibrated(0.0))
     pred = arrays(scored, "pred")[0]
     assert np.allclose(pred, np.maximum(calibrated(raw), 0.0)) and (pred >= 0).all()
+
+
+def test_learners_of_one_table_share_its_preparation(spark, monkeypatch):
+    from tabspark.operators import candidates, prep
+    calls, real = [], prep.fit_numeric
+    monkeypatch.setattr(prep, "fit_numeric", lambda *a, **b: calls.append(1) or real(*a, **b))
+    df = spark.createDataFrame([(i, float(i % 7), float(i)) for i in range(60)], "k long, x double, y double")
+    learners = [candidates.candidate("ridge", "k", ["x"], "y"), candidates.candidate("rf", "k", ["x"], "y", trees=2, max_depth=2)]
+    assert len(H.fit_all({i: (df, learn, 0) for i, learn in enumerate(learners)})) == 2
+    assert len(calls) == 1
