@@ -24,7 +24,7 @@ from ..session import checkpoint_dir, materialize
 from ..sources.tables import docs, ord_table
 from .catalogue import query
 from .catalogue_models import BASE_MODELS, oof_base, oof_table
-from .common import FOLD_SEED, K, docs_binned, docs_folds, docs_split, rounded
+from .common import FOLD_SEED, K, assigned, docs_binned, docs_folds, docs_split, rounded
 
 NUM = ["n_words", "n_lines", "quality", "toxic"]
 
@@ -114,7 +114,7 @@ def nested_bag(spark, sf):
     """Per outer fold, the mean of the inner-fold models (fitted on the
     inner training parts of the outer training rows) predicts the outer
     validation rows; the direct-vs-bag weight is chosen on a 101-point grid."""
-    folds = docs_folds(spark, sf)
+    folds = assigned(docs(spark, sf), "doc_id", "n_chars", lambda b: stratified_kfold(b, "doc_id", "bin", K, FOLD_SEED))
     f = folds.join(oof_table(folds).select("doc_id", "p_words"), "doc_id").select("doc_id", "bin", "fold", "n_chars", "n_words", "p_words")
     n = nested_kfold(f, "doc_id", "bin", K, 4, FOLD_SEED, FOLD_SEED + 100)
     r = B.nested_bag_weight(n, "doc_id", "n_chars", ["n_words"], "fold", "p_words")

@@ -8,12 +8,12 @@ from ..operators import candidates as C
 from ..operators import champion as H
 from ..operators import gram as G
 from ..operators.prep import fit_onehot
-from ..operators.split import stratified_kfold
+from ..operators.split import stratified_kfold, stratified_split
 from ..session import materialize
-from ..sources.tables import ord_table
+from ..sources.tables import docs, ord_table
 from .catalogue import query
 from .catalogue_models import oof_base
-from .common import FOLD_SEED, K, REPEAT_SEEDS, assigned, docs_binned, docs_folds, docs_split, rounded
+from .common import FOLD_SEED, K, REPEAT_SEEDS, SPLIT_SEED, assigned, docs_binned, docs_folds, docs_split, rounded
 
 STACK = {"both": ["p_words", "p_lines"], "lines": ["p_lines"], "words": ["p_words"]}
 ALPHAS = (0.0, 10.0, 1000.0)
@@ -148,7 +148,7 @@ def nested_bag_tree(spark, sf):
 def champion_blend(spark, sf):
     """Trees and least squares blended on dev rows, the trees swapped for a mix with refits, scored on test
     rows: for each whether it has a score, and whether the blend beats dev's mean there."""
-    s = docs_split(spark, sf).select("doc_id", "bin", "n_chars", *FEATURES, "split")
+    s = assigned(docs(spark, sf), "doc_id", "n_chars", lambda b: stratified_split(b, "doc_id", "bin", SPLIT_SEED)).select("doc_id", "bin", "n_chars", *FEATURES, "split")
     dev = stratified_kfold(s.filter("split = 'dev'").drop("split"), "doc_id", "bin", K, FOLD_SEED)
     members = {"trees": C.candidate("gbt", "doc_id", FEATURES, "n_chars", "log", max_depth=3, rounds=5, learning_rate=0.3),
                "forest": C.candidate("rf", "doc_id", FEATURES, "n_chars", trees=8, max_depth=5),

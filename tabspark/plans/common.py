@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, ShortType
 
 from ..operators.split import stratified_kfold, stratified_split, target_bins
-from ..session import drop_stages, stage
+from ..session import drop_stages, materialize, stage
 from ..sources.tables import docs, ord_table
 
 # Fixed parameters of the catalogue.
@@ -37,10 +37,11 @@ def docs_binned(spark: SparkSession, sf: str) -> DataFrame:
     return target_bins(docs(spark, sf), "n_chars", "doc_id")
 
 
-# The analogue table (text scans, lineitem aggregation) is written once, for the
-# ranks of bins, splits and folds read it several times; so are the split and fold
-# tables, as Parquet below the checkpoint folder: every later fit, apply and
-# metric pass reads the columns that it needs.
+# The split and fold tables are written once (checkpoint folder) and every
+# later fit, apply and metric pass reads them, instead of re-deriving the
+# analogue table (text scans, lineitem aggregation) in each pass.  Orders joined
+# with lines are written before that too, for the ranks of bins, splits and folds
+# read them several times; of documents those read no text.
 
 def assigned(table: DataFrame, key: str, target: str, assign: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``assign`` (a split or folds) of the table with its target bins, written."""
@@ -51,11 +52,11 @@ def assigned(table: DataFrame, key: str, target: str, assign: Callable[[DataFram
 
 
 def docs_split(spark: SparkSession, sf: str) -> DataFrame:
-    return assigned(docs(spark, sf), "doc_id", "n_chars", lambda b: stratified_split(b, "doc_id", "bin", SPLIT_SEED))
+    return materialize(stratified_split(docs_binned(spark, sf), "doc_id", "bin", SPLIT_SEED))
 
 
 def docs_folds(spark: SparkSession, sf: str, seed: int = FOLD_SEED, k: int = K) -> DataFrame:
-    return assigned(docs(spark, sf), "doc_id", "n_chars", lambda b: stratified_kfold(b, "doc_id", "bin", k, seed))
+    return materialize(stratified_kfold(docs_binned(spark, sf), "doc_id", "bin", k, seed))
 
 
 def ord_split(spark: SparkSession, sf: str) -> DataFrame:
