@@ -18,9 +18,11 @@ Reading takes the manifest's shards, a few megabytes of records at a time, and
 checks every frame against both checksums and the index.
 
 Texts are encoded by the tokenizers library.  The pattern that splits text ahead
-of the merges never joins across the start of white space, so a text is cut
-there, each distinct piece is encoded by the library once while it stays in a
-memo of two generations of ``MEMO`` pieces, and the ids are joined.
+of the merges never joins across the start of white space, nor (where its own
+splitter says so) a letter or digit with the punctuation behind it, so a text is
+cut there, each distinct piece is encoded by the library once while it stays in a
+memo of two generations of ``MEMO`` pieces, and the ids are joined.  Arrow cuts a slice of texts, numbers its
+distinct pieces and gathers their ids; only distinct pieces are Python strings.
 
 Scale: texts are encoded where they are read and only ids are sorted, by range
 partitions of (doc_id, hash of ids, row), so a repeated doc_id is no hot key.  A
@@ -41,9 +43,11 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,13 +58,18 @@ from .arrow import file_system, map_slices
 MEMO = 500_000
 LONGEST = 64  # characters of a piece that is kept in the memo
 TOGETHER = 256  # pieces in a joined text
-SLICE = 4 << 20
+CALL = 64  # joined texts in a call of the library
+SLICE = 8 << 20
 READ = 4 << 20
 LENGTH, CHECK, HEAD, ENTRY = "<Q", "<I", "<Bq", "<QQQ"  # layouts of struct
 HEAD_BYTES = 9
 # a piece begins at white space behind other characters; what only some engines call white space begins none
 PIECES = re.compile(r"\s*\S+(?:[^\S \t\n\r]+\S*)*|\s+")
-ODD = re.compile(r" (?=\s|\Z)")  # texts without these are cut at every space
+# texts with the mark of cuts, or with a space before white space (that of PIECES) or the end, are cut by PIECES
+ODD = r"\x00| (?:[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
+# the others at every space, and where ASCII punctuation (no apostrophe) or a line's end follows what any engine calls a letter or digit
+BEHIND = r"([0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{2af}\x{400}-\x{481}\x{4e00}-\x{9fa5}])([!-&(-/:-@\[-`{-~\n])"
+CUT = "\x00"
 
 
 class Encoder:
@@ -85,51 +94,87 @@ class Encoder:
         self.bytes_of = np.zeros(self.library.get_vocab_size(), np.int64)
         for token, i in self.library.get_vocab().items():
             self.bytes_of[i] = len(token)
-        # ids of pieces, and of pieces behind a space; each in two generations
-        self.whole: list[dict[str, bytes]] = [{}, {}]
-        self.spaced: list[dict[str, bytes]] = [{}, {}]
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.behind = self._cuts_behind()
+
+    def _cuts_behind(self) -> bool:
+        """Whether the tokenizer splits text at the places of ``BEHIND``."""
+        split = self.library.pre_tokenizer
+        if split is None or not all(t.special for t in self.library.get_added_tokens_decoder().values()):
+            return False
+        ends = [c for c in map(chr, range(128)) if re.match(r"[!-&(-/:-@\[-`{-~\n]", c)]
+        return all(split.pre_tokenize_str(f"{a}{a}{c}{a}")[0][1][1] == 2 for a in "a7\u00e9\u0436\u4e2d" for c in ends)
 
     def _each(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.width).tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def _joined(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces behind a space: joined texts are encoded and their ids cut at the pieces' ends."""
+        """Ids of pieces of a space and what follows: joined texts are encoded and their ids cut at the pieces' ends."""
         out = []
-        texts = [[f" {p}" for p in pieces[i:i + TOGETHER]] for i in range(0, len(pieces), TOGETHER)]
-        for own, e in zip(texts, self.library.encode_batch_fast(["".join(t) for t in texts], add_special_tokens=False)):
-            ids = np.array(e.ids, self.width)
-            ends, want = np.cumsum(self.bytes_of[ids]), np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in own])
+        for i in range(0, len(pieces), CALL * TOGETHER):
+            own = pieces[i:i + CALL * TOGETHER]
+            texts = ["".join(own[k:k + TOGETHER]) for k in range(0, len(own), TOGETHER)]
+            ids = np.concatenate([np.array(e.ids, self.width) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)])
+            ends, want = np.cumsum(self.bytes_of[ids]), np.cumsum(pc.binary_length(pa.array(own, pa.large_string())).to_numpy())
             at = np.searchsorted(ends, want)
             if not (at < len(ends)).all() or (ends[at] != want).any():
                 raise ValueError("the tokenizer joins tokens across the start of white space")
-            out += [ids[a:b].tobytes() for a, b in zip([0, *(at[:-1] + 1).tolist()], (at + 1).tolist())]
+            out += _cut(pa.py_buffer(ids), np.append(0, at + 1) * ids.itemsize)
         return out
 
-    def _known(self, memo: list[dict], pieces: set[str], encode):
-        """A lookup that has all the pieces."""
-        if len(memo[0]) > MEMO:
-            memo[:] = {}, memo[0]
-        known, older = memo
-        if new := pieces.difference(known):
-            missing = new.difference(older)
-            known.update({p: older[p] for p in new.difference(missing)})
-            few = list(missing)
-            ids = encode(few)
-            known.update(zip(few, ids))
-            if long := {p: i for p, i in zip(few, ids) if len(p) > LONGEST}:
-                for p in long:  # for these texts alone
-                    del known[p]
-                return lambda p: known[p] if p in known else long[p]
-        return known.__getitem__
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def _coded(self, pieces: list[str]) -> list[bytes]:
+        spaced = [p[:1] == " " for p in pieces]
+        joined = iter(self._joined([*compress(pieces, spaced)]))
+        each = iter(self._each([p for p, s in zip(pieces, spaced) if not s]))
+        return [next(joined if s else each) for s in spaced]
+
+    def _known(self, pieces: list[str], encode) -> list[bytes]:
+        """Ids of distinct pieces, from the memo where it has them."""
+        if len(self.memo) > MEMO:
+            self.memo, self.older = {}, self.memo
+        found = [*map(self.memo.get, pieces)]
+        new = [p for p, ids in zip(pieces, found) if ids is None]
+        if not new:
+            return found
+        ids = [*map(self.older.get, new)]
+        missing = iter(encode([p for p, x in zip(new, ids) if x is None]))
+        ids = [next(missing) if x is None else x for x in ids]
+        self.memo.update(zip(new, ids))
+        for p in [p for p in new if len(p) > LONGEST]:  # for these texts alone
+            del self.memo[p]
+        rest = iter(ids)
+        return [next(rest) if x is None else x for x in found]
+
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
         """Ids of each text, each of ``width``."""
         if self.library is None:
             self.start()
-        cut = [((), ()) if not t else (PIECES.findall(t), ()) if ODD.search(t) else ((x := t.split(" "))[:1], x[1:]) for t in texts]
-        whole = self._known(self.whole, set().union(*[a for a, _ in cut]), self._each)
-        spaced = self._known(self.spaced, set().union(*[b for _, b in cut]), self._joined)
-        return [b"".join(map(whole, a)) + b"".join(map(spaced, b)) for a, b in cut]
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(texts, ODD).fill_null(False)
+        cut = [PIECES.findall(t) for t in texts.filter(odd).to_pylist()]
+        pieces = [*set().union(*cut)]
+        ids = dict(zip(pieces, self._known(pieces, self._each)))
+        runs = iter([b"".join(map(ids.__getitem__, own)) for own in cut])
+        others = iter(self._even(texts.filter(pc.invert(odd))))
+        return [next(runs if o else others) for o in odd.to_pylist()]
+
+    def _even(self, texts: pa.Array) -> list[bytes]:
+        """Ids of texts without odd spaces: their distinct pieces are looked up and the ids gathered by number."""
+        marked = pc.replace_substring(texts, " ", f"{CUT} ")
+        if self.behind:
+            marked = pc.replace_substring_regex(marked, BEHIND, rf"\1{CUT}\2")
+        parts = pc.split_pattern(marked, CUT)
+        ends = np.append(0, np.cumsum(parts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)))
+        pieces = parts.flatten().dictionary_encode()
+        ids = pa.array(self._known(pieces.dictionary.to_pylist(), self._coded), pa.large_binary())
+        _, at, data = ids.take(pieces.indices).buffers()
+        return _cut(data, np.frombuffer(at, np.int64)[ends] if ends[-1] else ends)
+
+
+def _cut(data: pa.Buffer | None, at: np.ndarray) -> list[bytes]:
+    """The data between every two of the places."""
+    return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), data or pa.py_buffer(b"")]).to_pylist()
 
 
 def masked(data: bytes) -> int:
@@ -182,7 +227,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         import zstandard
 
         squeeze = zstandard.ZstdCompressor(level=1).compress
-        raw = coder.value.encode(column.to_pylist())
+        raw = coder.value.encode(column)
         width = coder.value.width
         end = np.array([end_id], width).tobytes()
         size = np.dtype(width).itemsize

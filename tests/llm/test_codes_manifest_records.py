@@ -1,6 +1,7 @@
 """Vector codes, the Merkle manifest and token records against plain versions, and their edge cases."""
 
 import hashlib
+import json
 import random
 import struct
 import zlib
@@ -8,8 +9,10 @@ from itertools import groupby
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tabspark.llm import merkle, queries, token_records, vector_codes
 
@@ -202,6 +205,49 @@ def test_memo_generations_change_nothing(monkeypatch):
         assert np.frombuffer(coder.encode([text])[0], coder.width).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_slices_of_texts_cut_at_punctuation_and_lines():
+    rng, t = random.Random(11), library()
+    alphabet = [" ", " ", " ", "a", "Zb", "7", "\u00c0", "\u00df", "\u00d7", "\u0436", "\u0483", "\u4e2d", "\u1f600", "\u2160", "\u00b2", "_", ".", ",", ");", "-", "'s", "'", "'re.",
+                "\n", "\n", "\n\n", "\r\n", "\t", "  ", " \n", "\x00", "\x0b", "\x1c", "\u0085", "\u00a0", "\u2028", "\u3000", "\u200b", "\u0301", "\U0001f600"]
+    texts = [None if rng.random() < 0.05 else "".join(rng.choices(alphabet, k=rng.randint(0, 12))) for _ in range(20_000)]
+    column, coder = pa.array(texts), token_records.Encoder(BYTE_BPE)
+    for at in range(0, len(texts), 700):
+        for text, raw in zip(texts[at:at + 700], coder.encode(column.slice(at, 700))):
+            assert np.frombuffer(raw, coder.width).tolist() == t.encode(text or "", add_special_tokens=False).ids, text
+    assert coder.encode(pa.array([None, "", None], pa.string())) == [b"", b"", b""] and coder.encode([]) == []
+
+
+def test_a_tokenizer_that_joins_words_and_punctuation(tmp_path):
+    plan = json.loads(open(BYTE_BPE, encoding="utf-8").read())
+    plan["model"]["vocab"]["a."] = max(plan["model"]["vocab"].values()) + 2
+    plan["model"]["merges"].insert(0, ["a", "."] if isinstance(plan["model"]["merges"][0], list) else "a .")
+    plan["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"String": " "}, "behavior": "MergedWithNext", "invert": False},
+                                                                  {**plan["pre_tokenizer"], "use_regex": False}]}
+    (tmp_path / "own.json").write_text(json.dumps(plan), encoding="utf-8")
+    coder, t = token_records.Encoder(str(tmp_path / "own.json")), Tokenizer.from_file(str(tmp_path / "own.json"))
+    text = "a. b a.a, c7. a."
+    ids = t.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(coder.encode([text])[0], coder.width).tolist() == ids and plan["model"]["vocab"]["a."] in ids
+
+
+def test_known_words_are_not_encoded_again_behind_other_punctuation():
+    class Counted:
+        def __init__(self, library):
+            self.library, self.characters = library, 0
+
+        def encode_batch_fast(self, texts, **how):
+            self.characters += sum(map(len, texts))
+            return self.library.encode_batch_fast(texts, **how)
+
+    words = [f"wort{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)]
+    coder = token_records.Encoder(BYTE_BPE)
+    coder.encode([" ".join(words)])
+    coder.library = counted = Counted(coder.library)
+    texts = [" ".join(["x", *[w + end for w in words]]) for end in (".", ",", ";", "?", "!")]
+    coder.encode(texts)
+    assert counted.characters < 100 < len(words)
+
+
 def test_records_of_null_repeated_and_clashing_rows(spark):
     rows = [(None, "null id"), (3, None), (3, ""), (3, "three"), (3, "three"), (-5, "minus"), (2 ** 62, "<|endoftext|> large"), (9, "long " * 100_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", *[F.lit("own").alias(c) for c in EXTRA])
