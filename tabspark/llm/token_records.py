@@ -65,11 +65,13 @@ LENGTH, CHECK, HEAD, ENTRY = "<Q", "<I", "<Bq", "<QQQ"  # layouts of struct
 HEAD_BYTES = 9
 # a piece begins at white space behind other characters; what only some engines call white space begins none
 PIECES = re.compile(r"\s*\S+(?:[^\S \t\n\r]+\S*)*|\s+")
-# texts with the mark of cuts, or with a space before white space (that of PIECES) or the end, are cut by PIECES
-ODD = r"\x00| (?:[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
-# the others at every space, and where ASCII punctuation (no apostrophe) or a line's end follows what any engine calls a letter or digit
+# white space as in PIECES; a slice of texts without a space before it or the end is cut at every space
+WHITE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+ODD = rf" (?:[{WHITE}]|\z)"
+RUNS = rf"([^{WHITE}])( )"  # another slice at every space behind other characters
+# and where ASCII punctuation (no apostrophe) or a line's end follows what any engine calls a letter or digit
 BEHIND = r"([0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{2af}\x{400}-\x{481}\x{4e00}-\x{9fa5}])([!-&(-/:-@\[-`{-~\n])"
-CUT = "\x00"
+CUT = "\x00"  # texts that have it are cut by PIECES
 
 
 class Encoder:
@@ -110,7 +112,7 @@ class Encoder:
         return [np.array(e.ids, self.width).tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def _joined(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces of a space and what follows: joined texts are encoded and their ids cut at the pieces' ends."""
+        """Ids of pieces of one space and what follows: joined texts are encoded and their ids cut at the pieces' ends."""
         out = []
         for i in range(0, len(pieces), CALL * TOGETHER):
             own = pieces[i:i + CALL * TOGETHER]
@@ -124,12 +126,12 @@ class Encoder:
         return out
 
     def _coded(self, pieces: list[str]) -> list[bytes]:
-        spaced = [p[:1] == " " for p in pieces]
+        spaced = [p[:1] == " " and p[1:2].strip() != "" for p in pieces]
         joined = iter(self._joined([*compress(pieces, spaced)]))
         each = iter(self._each([p for p, s in zip(pieces, spaced) if not s]))
         return [next(joined if s else each) for s in spaced]
 
-    def _known(self, pieces: list[str], encode) -> list[bytes]:
+    def _known(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces, from the memo where it has them."""
         if len(self.memo) > MEMO:
             self.memo, self.older = {}, self.memo
@@ -138,7 +140,7 @@ class Encoder:
         if not new:
             return found
         ids = [*map(self.older.get, new)]
-        missing = iter(encode([p for p, x in zip(new, ids) if x is None]))
+        missing = iter(self._coded([p for p, x in zip(new, ids) if x is None]))
         ids = [next(missing) if x is None else x for x in ids]
         self.memo.update(zip(new, ids))
         for p in [p for p in new if len(p) > LONGEST]:  # for these texts alone
@@ -151,23 +153,26 @@ class Encoder:
         if self.library is None:
             self.start()
         texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
-        odd = pc.match_substring_regex(texts, ODD).fill_null(False)
+        odd = pc.match_substring(texts, CUT).fill_null(False)
         cut = [PIECES.findall(t) for t in texts.filter(odd).to_pylist()]
         pieces = [*set().union(*cut)]
-        ids = dict(zip(pieces, self._known(pieces, self._each)))
-        runs = iter([b"".join(map(ids.__getitem__, own)) for own in cut])
-        others = iter(self._even(texts.filter(pc.invert(odd))))
-        return [next(runs if o else others) for o in odd.to_pylist()]
-
-    def _even(self, texts: pa.Array) -> list[bytes]:
-        """Ids of texts without odd spaces: their distinct pieces are looked up and the ids gathered by number."""
-        marked = pc.replace_substring(texts, " ", f"{CUT} ")
+        ids = dict(zip(pieces, self._known(pieces)))
+        own = iter([b"".join(map(ids.__getitem__, c)) for c in cut])
+        others = iter(self._marked(texts.filter(pc.invert(odd))))
+        return [next(own if o else others) for o in odd.to_pylist()]
+
+    def _marked(self, texts: pa.Array) -> list[bytes]:
+        """Ids of texts cut at marks: their distinct pieces are looked up and the ids gathered by number."""
+        if pc.any(pc.match_substring_regex(texts, ODD)).as_py():
+            marked = pc.replace_substring_regex(texts, RUNS, rf"\1{CUT}\2")
+        else:
+            marked = pc.replace_substring(texts, " ", f"{CUT} ")
         if self.behind:
             marked = pc.replace_substring_regex(marked, BEHIND, rf"\1{CUT}\2")
         parts = pc.split_pattern(marked, CUT)
         ends = np.append(0, np.cumsum(parts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)))
         pieces = parts.flatten().dictionary_encode()
-        ids = pa.array(self._known(pieces.dictionary.to_pylist(), self._coded), pa.large_binary())
+        ids = pa.array(self._known(pieces.dictionary.to_pylist()), pa.large_binary())
         _, at, data = ids.take(pieces.indices).buffers()
         return _cut(data, np.frombuffer(at, np.int64)[ends] if ends[-1] else ends)
 

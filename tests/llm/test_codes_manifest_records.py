@@ -211,15 +211,15 @@ def test_slices_of_texts_cut_at_punctuation_and_lines():
                 "\n", "\n", "\n\n", "\r\n", "\t", "  ", " \n", "\x00", "\x0b", "\x1c", "\u0085", "\u00a0", "\u2028", "\u3000", "\u200b", "\u0301", "\U0001f600"]
     texts = [None if rng.random() < 0.05 else "".join(rng.choices(alphabet, k=rng.randint(0, 12))) for _ in range(20_000)]
     column, coder = pa.array(texts), token_records.Encoder(BYTE_BPE)
-    for at in range(0, len(texts), 700):
-        for text, raw in zip(texts[at:at + 700], coder.encode(column.slice(at, 700))):
+    for at, many in [(at, 700) for at in range(0, 10_000, 700)] + [(at, 3) for at in range(10_000, len(texts), 3)]:  # small ones often have no odd space
+        for text, raw in zip(texts[at:at + many], coder.encode(column.slice(at, many))):
             assert np.frombuffer(raw, coder.width).tolist() == t.encode(text or "", add_special_tokens=False).ids, text
     assert coder.encode(pa.array([None, "", None], pa.string())) == [b"", b"", b""] and coder.encode([]) == []
 
 
 def test_a_tokenizer_that_joins_words_and_punctuation(tmp_path):
     plan = json.loads(open(BYTE_BPE, encoding="utf-8").read())
-    plan["model"]["vocab"]["a."] = max(plan["model"]["vocab"].values()) + 2
+    plan["model"]["vocab"]["a."] = max(plan["model"]["vocab"].values()) + 1
     plan["model"]["merges"].insert(0, ["a", "."] if isinstance(plan["model"]["merges"][0], list) else "a .")
     plan["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"String": " "}, "behavior": "MergedWithNext", "invert": False},
                                                                   {**plan["pre_tokenizer"], "use_regex": False}]}
@@ -230,6 +230,15 @@ def test_a_tokenizer_that_joins_words_and_punctuation(tmp_path):
     assert np.frombuffer(coder.encode([text])[0], coder.width).tolist() == ids and plan["model"]["vocab"]["a."] in ids
 
 
+def test_runs_of_spaces_are_not_encoded_alone():
+    coder, t = token_records.Encoder(BYTE_BPE), library()
+    coder.encode([" ".join(["x", *[f"wort{i:03d}" for i in range(600)]])])
+    coder._each = lambda pieces, each=coder._each: each(pieces) if len(pieces) < 20 else pytest.fail("words encoded one by one")
+    texts = [" ".join(f"neu{k}{i:03d}" for i in range(600)) + end for k, end in enumerate([" ", "   ", "  z", " \n", "\n  y"])]
+    for text, raw in zip(texts, coder.encode(texts)):
+        assert np.frombuffer(raw, coder.width).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_known_words_are_not_encoded_again_behind_other_punctuation():
     class Counted:
         def __init__(self, library):
